@@ -5,19 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of all keys, where null equals null."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys where null equals null; ``right`` is broadcast, so its size must be bounded."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(F.broadcast(renamed), same, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
     """Keys that hold more than ``share`` of all rows; there can be at most ``1 / share`` of them."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("total")).scalar()
+    total = df.agg(F.count("*").alias("total")).scalar()
     return counts.filter(F.col("_n") > total * share).select(*keys)
 
 
@@ -31,11 +33,8 @@ def lookup_join(
     ``how`` is one of inner, left, left_semi and left_anti.
     """
     hot = hot_keys(facts, keys, share)
-    flag = hot.withColumn("_hot", F.lit(True))
-    tagged = facts.join(F.broadcast(flag), same_keys(facts, flag, keys), "left").select(
-        *[facts[c] for c in facts.columns], "_hot"
-    )
-    hot_lookup = lookup.join(F.broadcast(hot), list(keys), "left_semi")
+    tagged = join_null_safe(facts, hot.withColumn("_hot", F.lit(True)), keys, "left")
+    hot_lookup = join_null_safe(lookup, hot, keys, "left_semi")
     hot_part = tagged.filter("_hot").drop("_hot").join(F.broadcast(hot_lookup), list(keys), how)
     cold_part = tagged.filter("_hot is null").drop("_hot").join(lookup, list(keys), how)
     return hot_part.unionByName(cold_part)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.operators.joins import same_keys
+from tablework.operators.joins import join_null_safe
 from tablework.session import pin
 
 _ROW_BITS = (1 << 33) - 1  # low bits of monotonically_increasing_id: the row number inside its partition
@@ -65,14 +65,15 @@ def position_in_group(
     edge_keys = edges.select("_part", F.inline(F.array_distinct(F.array("_first", "_last"))))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        pieces.join(F.broadcast(edge_keys), same_keys(pieces, edge_keys, ["_part", *keys]), "left_semi")
+        join_null_safe(pieces, edge_keys, ["_part", *keys], "left_semi")
         .select("_part", *keys, F.sum("_n").over(before).alias("_before"))
         .filter("_before is not null")
     )
-    position = (F.coalesce(offsets["_before"], F.lit(0)) + numbered["_local"]).cast("long")
-    return numbered.join(
-        F.broadcast(offsets), same_keys(numbered, offsets, ["_part", *keys]), "left"
-    ).select(*[numbered[c] for c in df.columns], position.alias(name))
+    return (
+        join_null_safe(numbered, offsets, ["_part", *keys], "left")
+        .withColumn(name, (F.coalesce("_before", F.lit(0)) + F.col("_local")).cast("long"))
+        .drop("_part", "_row", "_local", "_before")
+    )
 
 
 def batches_of_n(

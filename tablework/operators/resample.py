@@ -77,7 +77,7 @@ def oversample(
             for c in numeric
         ],
         *[
-            F.when(F.size("_near") > 0, _mode(F.transform("_near", lambda h, c=c: h[f"n_{c}"])))
+            F.when(F.size("_near") > 0, _mode(F.col(f"_near.n_{c}")))
             .otherwise(F.col(c))
             .alias(c)
             for c in categorical

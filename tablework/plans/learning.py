@@ -48,14 +48,14 @@ def labelled(t: Tables) -> DataFrame:
 
 @query("""
     SELECT c_nationkey, CAST(sum(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) AS total, count(*) AS n,
-           round(CAST(sum(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) / count(*), 6) AS mean,
+           CAST(sum(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) / count(*) AS mean,
            (SELECT count(DISTINCT c_nationkey) FROM customer) AS n_groups
     FROM customer GROUP BY 1""")
 def group_mean(t: Tables) -> DataFrame:
     balances = t.customer.select("c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"))
     means = features.group_mean(balances, "c_nationkey", "c_acctbal")
     n_groups = balances.agg(F.countDistinct("c_nationkey").alias("n")).scalar()
-    return means.withColumn("mean", F.round("mean", 6)).withColumn("n_groups", n_groups)
+    return means.withColumn("n_groups", n_groups)
 
 
 @query("""
@@ -234,7 +234,8 @@ def _smote_sql(numeric: list[str], seed: int, categorical: str | None) -> str:
     cat_col = f", {categorical}" if categorical else ""
     cat_syn = f", g.{categorical}" if categorical else ""
     cat_join = f"""JOIN (SELECT doc_id, {categorical} FROM (SELECT doc_id, n_{categorical} AS {categorical}, row_number()
-        OVER (PARTITION BY doc_id ORDER BY count(*) DESC, n_{categorical}) AS o FROM nb GROUP BY ALL) WHERE o = 1) g
+        OVER (PARTITION BY doc_id ORDER BY count(*) DESC, n_{categorical}) AS o FROM nb
+        GROUP BY doc_id, n_{categorical}) WHERE o = 1) g
         ON g.doc_id = c.doc_id""" if categorical else ""
     cat_nb = f", b.{categorical} AS n_{categorical}" if categorical else ""
     return f"""

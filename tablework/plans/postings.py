@@ -97,9 +97,9 @@ def _activity_sql() -> str:
       TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-01', INTERVAL 1 MONTH)) AS m))
     SELECT month,
       coalesce(new.n, 0) AS count_new, coalesce(active.n, 0) AS count_active, coalesce(removed.n, 0) AS count_removed,
-      round(coalesce(CAST(new.s AS DOUBLE) / new.n, 0), 4) AS salary_new,
-      round(coalesce(CAST(active.s AS DOUBLE) / active.n, 0), 4) AS salary_active,
-      round(coalesce(CAST(removed.s AS DOUBLE) / removed.n, 0), 4) AS salary_removed,
+      coalesce(CAST(new.s AS DOUBLE) / new.n, 0) AS salary_new,
+      coalesce(CAST(active.s AS DOUBLE) / active.n, 0) AS salary_active,
+      coalesce(CAST(removed.s AS DOUBLE) / removed.n, 0) AS salary_removed,
       coalesce(CAST(new.s AS DOUBLE), 0) AS salary_sum_new,
       coalesce(CAST(active.s AS DOUBLE), 0) AS salary_sum_active,
       coalesce(CAST(removed.s AS DOUBLE), 0) AS salary_sum_removed
@@ -109,9 +109,7 @@ def _activity_sql() -> str:
 
 @query(_activity_sql())
 def monthly_activity(t: Tables) -> DataFrame:
-    out = activity(dated_postings(t), "1995-01-01", "2001-12-01")
-    averages = {c: F.round(c, 4) for c in ("salary_new", "salary_active", "salary_removed")}
-    return out.withColumns(averages).orderBy("month")
+    return activity(dated_postings(t), "1995-01-01", "2001-12-01").orderBy("month")
 
 
 @query("""

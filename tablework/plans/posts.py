@@ -108,7 +108,7 @@ def ingest_partitions(t: Tables) -> DataFrame:
     """Events written to year, month, day and hour folders by event time, counted from the folders."""
     path = scratch(t.spark, "partitions")
     stamped = with_ingest_columns(t.events.select("event_id", "ts"), F.col("ts"))
-    append_json(stamped.drop("ts").repartition(*INGEST_COLUMNS), path, INGEST_COLUMNS)
+    append_json(stamped.drop("ts"), path, INGEST_COLUMNS)
     back = t.spark.read.schema("event_id long, " + ", ".join(f"{c} int" for c in INGEST_COLUMNS)).json(path)
     return back.groupBy(*INGEST_COLUMNS).agg(F.count("*").alias("n"))
 
@@ -119,7 +119,8 @@ def _land(df: DataFrame, path: str) -> str:
 
 
 def _read_sink(t: Tables, path: str, schema: str, fmt: str = "json") -> DataFrame:
-    return t.spark.read.schema(schema).format(fmt).load(path)
+    names = [column.split()[0] for column in schema.split(", ")]
+    return t.spark.read.schema(schema).format(fmt).load(path).select(*names)
 
 
 @query(f"""
@@ -129,7 +130,7 @@ def _read_sink(t: Tables, path: str, schema: str, fmt: str = "json") -> DataFram
 def stream_file_ingest(t: Tables) -> DataFrame:
     """Posts arrive as files, are enriched per micro-batch and written by hour; event time stands for the clock."""
     base = scratch(t.spark, "ingest")
-    _land(_posts(t).repartition(4), f"{base}/in")
+    _land(_posts(t).repartitionByRange(4, "ts"), f"{base}/in")
     stream = file_stream(t.spark, f"{base}/in", POST_SCHEMA, files_per_trigger=2)
 
     def enrich(frame: DataFrame) -> DataFrame:

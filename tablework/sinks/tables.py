@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.operators.joins import hot_keys, same_keys
+from tablework.operators.joins import hot_keys, join_null_safe
 from tablework.operators.mapping import require_schema
 
 
@@ -35,8 +35,8 @@ def bucketed(
     a hot key would all meet there; they go to the plain table ``<name>_hot`` instead. Returns (bucketed, hot).
     """
     hot = hot_keys(df, [key], share)
-    cold_rows = df.join(F.broadcast(hot), same_keys(df, hot, [key]), "left_anti")
-    hot_rows = df.join(F.broadcast(hot), same_keys(df, hot, [key]), "left_semi")
+    cold_rows = join_null_safe(df, hot, [key], "left_anti")
+    hot_rows = join_null_safe(df, hot, [key], "left_semi")
     (
         cold_rows.repartition(buckets, key)
         .write.format("parquet")
