@@ -9,13 +9,28 @@ from pyspark.sql import functions as F
 DATE_SHAPE = r"^(19|20)\d{2}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$"
 
 
+# The two common formats, which a plain cast reads many times faster than a pattern parser. The cast accepts more
+# than the format does, so the text must have its exact shape first.
+_CAST_SHAPES = {
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
+}
+
+
 def to_timestamp_or_null(c: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Timestamp, or null for text that does not fit; count the rejects with ``rejected``."""
-    return F.try_to_timestamp(F.col(c) if isinstance(c, str) else c, F.lit(fmt))
+    text = F.col(c) if isinstance(c, str) else c
+    if fmt in _CAST_SHAPES:
+        return F.when(text.rlike(_CAST_SHAPES[fmt]), text.try_cast("timestamp"))
+    return F.try_to_timestamp(text, F.lit(fmt))
 
 
 def to_date_or_null(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
-    return to_timestamp_or_null(c, fmt).cast("date")
+    """Date, or null for text that does not fit."""
+    text = F.col(c) if isinstance(c, str) else c
+    if fmt in _CAST_SHAPES:
+        return F.when(text.rlike(_CAST_SHAPES[fmt]), text.try_cast("date"))
+    return F.try_to_timestamp(text, F.lit(fmt)).cast("date")
 
 
 def rejected(text: str | Column, parsed: str | Column) -> Column:

@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+HOT_SHARE = 0.01  # a key with more than this share of the rows is hot; at most 1 / HOT_SHARE keys can be
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
+
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on keys where null equals null; ``right`` is broadcast, so its size must be bounded."""
@@ -16,25 +20,41 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(F.broadcast(renamed), same, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows; there can be at most ``1 / share`` of them."""
+def is_hot(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Column | None:
+    """Condition that a row's key holds more than ``share`` of all rows, or None when no key does.
+
+    One pass counts rows per key, combined before the shuffle. At most ``1 / share`` keys reach the driver.
+    """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = df.agg(F.count("*").alias("total")).scalar()
-    return counts.filter(F.col("_n") > total * share).select(*keys)
+    found = counts.filter(F.col("_n") > total * share).select(*keys).limit(int(1 / share) + 1).collect()
+    if not found:
+        return None
+    matches = [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(r[k])) for k in keys]) for r in found]
+    return reduce(lambda a, b: a | b, matches)
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a frame has at most so many rows and bytes as text; reads no more than ``max_rows`` + 1 rows."""
+    width = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    size = df.limit(max_rows + 1).agg(F.count("*").alias("n"), width.alias("bytes")).first()
+    return size["n"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", share: float = 0.01
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", share: float = HOT_SHARE
 ) -> DataFrame:
     """Join facts to a lookup with one row per key, where a few keys may hold most of the facts.
 
-    Facts under a hot key meet the at most ``1 / share`` lookup rows of those keys by broadcast and stay where
-    they are. The rest is an ordinary shuffled join. Null keys are hot if there are many and match nothing.
-    ``how`` is one of inner, left, left_semi and left_anti.
+    A lookup of checked small size is broadcast. Otherwise facts under a hot key meet the few lookup rows of those
+    keys by broadcast and stay where they are, and the rest is a shuffled join. Null keys match nothing, however
+    many there are. ``how`` is one of inner, left, left_semi and left_anti.
     """
-    hot = hot_keys(facts, keys, share)
-    tagged = join_null_safe(facts, hot.withColumn("_hot", F.lit(True)), keys, "left")
-    hot_lookup = join_null_safe(lookup, hot, keys, "left_semi")
-    hot_part = tagged.filter("_hot").drop("_hot").join(F.broadcast(hot_lookup), list(keys), how)
-    cold_part = tagged.filter("_hot is null").drop("_hot").join(lookup, list(keys), how)
-    return hot_part.unionByName(cold_part)
+    on = list(keys)
+    if is_small(lookup):
+        return facts.join(F.broadcast(lookup), on, how)
+    hot = is_hot(facts, keys, share)
+    if hot is None:
+        return facts.join(lookup, on, how)
+    hot_part = facts.filter(hot).join(F.broadcast(lookup.filter(hot)), on, how)
+    return hot_part.unionByName(facts.filter(~hot).join(lookup, on, how))

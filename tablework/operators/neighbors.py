@@ -1,6 +1,6 @@
 """Exact k nearest neighbours without pairing every row with every row.
 
-Points are grouped around a fixed number of pivots. Each query first looks at one block of its own group, which
+Points are grouped around pivots, about as many as the square root of their number and at most a few thousand. Each query first looks at one block of its own group, which
 bounds the distance to its k-th neighbour; the triangle inequality then rules out every group that cannot hold a
 closer point, and the query visits the remaining groups only. Groups are cut into blocks of limited size on both
 sides, so a dense region becomes many tasks. Equal feature vectors are searched once, and of many equal points
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.functions.hashing import hash_number
+from tablework.operators.joins import lookup_join
 from tablework.session import pin
 
 _SLACK = 1.0 + 1e-9  # keeps rounding in the bounds from excluding a tie
@@ -55,7 +56,7 @@ def nearest(
     mismatch: float = 0.0,
     carry: Sequence[str] = (),
     exclude_self: bool = False,
-    pivots: int = 128,
+    max_pivots: int = 4096,
     block_rows: int = 2048,
 ) -> DataFrame:
     """The ``k`` nearest points of each query: query columns, ``rank`` from 1, ``neighbor``, ``distance``, carried
@@ -81,16 +82,26 @@ def nearest(
         .drop("_copy")
     )
     candidates = pin(candidates, "candidates")
-    # at most `pivots` rows, spread by hash, reach the driver whatever the table size; small tables need fewer
-    wanted = min(pivots, _ceil_div(4 * candidates.count(), block_rows))
+    # at most `max_pivots` rows, spread by hash, reach the driver whatever the table size; a table that fits one
+    # block needs no groups
+    n_points = candidates.count()
+    wanted = 1 if n_points <= block_rows else min(max_pivots, int(n_points**0.5))
     chosen = candidates.select("neighbor", *fcols).orderBy(hash_number("neighbor"), "neighbor").limit(wanted).toPandas()
     centers = np.unique(chosen[fcols].to_numpy(dtype=float), axis=0)
     if len(centers) == 0:
         raise ValueError("no points to search")
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # rows handled at once, so that a distance matrix to all centers stays small
+    step = max(1, (4 << 20) // len(centers))
+
+    def sliced(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
         for pdf in batches:
-            d = np.sqrt(_squared(pdf[fcols].to_numpy(dtype=float), centers, n_num, mismatch))
+            for start in range(0, len(pdf), step):
+                part = pdf.iloc[start : start + step]
+                yield part, np.sqrt(_squared(part[fcols].to_numpy(dtype=float), centers, n_num, mismatch))
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, d in sliced(batches):
             cell = d.argmin(axis=1)
             yield pdf.assign(_cell=cell.astype("int32"), _to_center=d[np.arange(len(d)), cell])
 
@@ -109,8 +120,6 @@ def nearest(
     lo, hi = np.full(len(centers), np.inf), np.full(len(centers), -np.inf)
     size[stats["_cell"]], lo[stats["_cell"]], hi[stats["_cell"]] = stats["n"], stats["lo"], stats["hi"]
     blocks = np.array([_ceil_div(n, block_rows) for n in size])
-    between = np.sqrt(_squared(centers, centers, n_num, mismatch))
-
     block_counts = F.array(*[F.lit(int(b)) for b in blocks])
     point_block = F.pmod(hash_number("neighbor"), F.get(block_counts, F.col("_cell"))).cast("int")
     placed = placed.withColumn("_block", point_block)
@@ -122,7 +131,7 @@ def nearest(
         visits = pin(asked_part, "visits")
         per_block = visits.groupBy("_cell", "_block").agg(F.count("*").alias("n"))
         shares = per_block.select("_cell", "_block", F.ceil(F.col("n") / block_rows).cast("int").alias("_shares"))
-        left = visits.join(shares, ["_cell", "_block"]).withColumn(
+        left = lookup_join(visits, shares, ["_cell", "_block"], "inner").withColumn(
             "_share", F.pmod(hash_number("_q"), F.col("_shares")).cast("int")
         ).drop("_shares")
         right = placed.join(shares, ["_cell", "_block"]).select(
@@ -159,8 +168,7 @@ def nearest(
 
     def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filled = size > 0
-        for pdf in batches:
-            d = np.sqrt(_squared(pdf[fcols].to_numpy(dtype=float), centers, n_num, mismatch))
+        for pdf, d in sliced(batches):
             # all points of a cell lie within d + hi: enough cells in that order also bound the k-th distance
             far = np.where(filled, d + hi, np.inf)
             order = np.argsort(far, axis=1)
@@ -170,10 +178,11 @@ def nearest(
             general = np.where(enough.any(axis=1), far[rows, order[rows, at]], np.inf)
             kth = pdf["_kth"].to_numpy(dtype=float)
             radius = np.fmin(general, kth)
-            own = pdf["_cell"].to_numpy()
             nearest_possible = np.maximum(d - hi, lo - d)
+            own = pdf["_cell"].to_numpy()
+            between = np.sqrt(_squared(centers[own], centers, n_num, mismatch))
             with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (d**2 - (d[rows, own] ** 2)[:, None]) / (2 * between[own])
+                plane = (d**2 - (d[rows, own] ** 2)[:, None]) / (2 * between)
             nearest_possible = np.fmax(nearest_possible, np.where(np.isfinite(plane), plane, 0.0))
             visit = filled & (nearest_possible <= radius[:, None] * _SLACK + 1e-12)
             pdf = pdf.assign(_radius=radius, _cells=[np.flatnonzero(v).astype("int32") for v in visit])
@@ -194,7 +203,9 @@ def nearest(
         ).alias("_found")
     )
     # back from distinct vectors to rows; each list has at most k + 1 entries
-    rows = queries.select("*", F.md5(F.concat_ws(":", *vectors())).alias("_q")).join(listed, "_q")
+    rows = lookup_join(
+        queries.select("*", F.md5(F.concat_ws(":", *vectors())).alias("_q")), pin(listed, "neighbors"), ["_q"], "inner"
+    )
     hits = F.col("_found")
     if exclude_self:
         hits = F.filter(hits, lambda h: h["neighbor"] != F.col(id_col))

@@ -18,8 +18,15 @@ from tablework.session import pin
 _ROW_BITS = (1 << 33) - 1  # low bits of monotonically_increasing_id: the row number inside its partition
 
 
-def _ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
-    """Rows sorted over range partitions, tagged with partition number and row number, stored once."""
+def _ranged(df: DataFrame, order: Sequence[str | Column], unique: bool) -> DataFrame:
+    """Rows sorted over range partitions, tagged with partition number and row number, stored once.
+
+    Rows with equal order values cannot be split by range, so unless the order is known to be unique, each row
+    first gets a number of its own, fixed by storing it, and ends the order with it.
+    """
+    if not unique:
+        df = pin(df.withColumn("_tie", F.monotonically_increasing_id()), "numbered")
+        order = [*order, "_tie"]
     tagged = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -29,12 +36,17 @@ def _ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
             F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("_row"),
         )
     )
-    return pin(tagged, "ranged")
+    return pin(tagged.drop("_tie"), "ranged")
 
 
-def global_position(df: DataFrame, order: Sequence[str | Column], name: str = "position") -> DataFrame:
-    """Add the zero-based position of each row in ``order``, which must be total."""
-    stored = _ranged(df, order)
+def global_position(
+    df: DataFrame, order: Sequence[str | Column], name: str = "position", *, unique: bool = False
+) -> DataFrame:
+    """Add the zero-based position of each row in ``order``; equal rows take any order among themselves.
+
+    ``unique`` states that no two rows are equal in ``order``, and saves one copy of the data.
+    """
+    stored = _ranged(df, order, unique)
     # one row per partition, so the unkeyed window below is as small as the partition count
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -50,10 +62,10 @@ def global_position(df: DataFrame, order: Sequence[str | Column], name: str = "p
 
 
 def position_in_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position", *, unique: bool = False
 ) -> DataFrame:
     """Add the zero-based position of each row within its key, without gathering a key in one task."""
-    stored = _ranged(df, [*keys, *order])
+    stored = _ranged(df, [*keys, *order], unique)
     local = Window.partitionBy("_part", *keys).orderBy("_row")
     numbered = stored.withColumn("_local", F.row_number().over(local) - 1)
     pieces = stored.groupBy("_part", *keys).agg(F.count("*").alias("_n"))
@@ -77,10 +89,11 @@ def position_in_group(
 
 
 def batches_of_n(
-    df: DataFrame, order: Sequence[str | Column], size: int = 20, *, full_only: bool = True
+    df: DataFrame, order: Sequence[str], size: int = 20, *, full_only: bool = True
 ) -> DataFrame:
     """Distinct records cut into groups of ``size`` in ``order``; the incomplete last group waits."""
-    placed = global_position(df.dropDuplicates(), order, "_position")
+    rest = [c for c in df.columns if c not in order]
+    placed = global_position(df.dropDuplicates(), [*order, *rest], "_position", unique=True)
     batched = placed.withColumn("batch_id", F.floor(F.col("_position") / size).cast("long"))
     if full_only:
         total = placed.agg(F.count("*").alias("n")).scalar()
@@ -89,12 +102,13 @@ def batches_of_n(
 
 
 def list_per_key(df: DataFrame, key: str, value: str, name: str, chunk: int = 10_000) -> DataFrame:
-    """Sorted lists of a key's values in pieces of at most ``chunk`` values.
+    """Sorted lists of a key's distinct values in pieces of at most ``chunk`` values.
 
     A key with fewer values has the one piece 0. A key that holds a large share of all rows continues in further
     pieces, since no single row could carry its list.
     """
-    placed = position_in_group(df.select(key, value), [key], [value])
+    pairs = df.select(key, value).filter(F.col(value).isNotNull()).dropDuplicates()
+    placed = position_in_group(pairs, [key], [value], unique=True)
     return (
         placed.withColumn("piece", F.floor(F.col("position") / chunk).cast("long"))
         .groupBy(key, "piece")
@@ -103,7 +117,8 @@ def list_per_key(df: DataFrame, key: str, value: str, name: str, chunk: int = 10
 
 
 def rolling_mean(
-    df: DataFrame, order: Sequence[str | Column], value: str, window: int, name: str, block: int = 1 << 16
+    df: DataFrame, order: Sequence[str | Column], value: str, window: int, name: str, block: int = 1 << 16,
+    *, unique: bool = False,
 ) -> DataFrame:
     """Mean of the last ``window`` values in ``order``; null until ``window`` rows are present.
 
@@ -111,7 +126,7 @@ def rolling_mean(
     the block, less the running sum ``window`` rows earlier, gives each mean in constant time per row.
     """
     block = max(block, window)
-    placed = global_position(df, order, "_position")
+    placed = global_position(df, order, "_position", unique=unique)
     home = F.floor(F.col("_position") / block)
     copies = F.when(F.col("_position") % block >= block - window, F.array(home, home + 1)).otherwise(F.array(home))
     spread = placed.select("*", home.alias("_home"), F.explode(copies).alias("_block"))

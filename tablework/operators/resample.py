@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablework.functions.hashing import hash_number, hash_unit
 from tablework.operators.neighbors import nearest
 from tablework.operators.position import global_position
+from tablework.session import pin
 
 
 def category_penalty(minority: DataFrame, numeric: Sequence[str]) -> float:
@@ -37,10 +38,11 @@ def oversample(
     """All rows plus synthetic minority rows up to a 1:1 ratio, with ``synthetic`` telling them apart.
 
     A synthetic row lies on the line from a minority row to one of its ``k`` nearest minority rows; its categories
-    are the most frequent ones among those neighbours. Which neighbour and where on the line follow from a hash of
+    are the most frequent ones among those neighbours. ``id_col`` is unique. Which neighbour and where on the line follow from a hash of
     (seed, id, copy). A minority of a single row is repeated.
     """
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    per_class = df.groupBy(label).agg(F.count("*").alias("n")).limit(3).collect()
+    counts = {r[label]: r["n"] for r in per_class}
     if len(counts) != 2:
         raise ValueError(f"need two classes, found {sorted(counts)}")
     (small, n_small), (_, n_large) = sorted(counts.items(), key=lambda c: (c[1], c[0]))
@@ -57,7 +59,8 @@ def oversample(
     )
     # every minority row is copied equally often, the first ones in hash order once more
     placed = global_position(
-        minority.select(id_col, *columns).withColumn("_order", hash_number(seed, id_col)), ["_order", id_col], "_pos"
+        minority.select(id_col, *columns).withColumn("_order", hash_number(seed, id_col)), ["_order", id_col], "_pos",
+        unique=True,
     )
     n_copies = F.lit(missing // n_small) + F.when(F.col("_pos") < missing % n_small, 1).otherwise(0)
     copies = (
@@ -113,5 +116,5 @@ def oversample_and_clean(
     df: DataFrame, *, id_col: str, label: str, numeric: Sequence[str], k: int = 5, k_clean: int = 3, seed: int = 0
 ) -> DataFrame:
     """Oversample to 1:1, then drop rows whose nearest rows disagree with their label."""
-    grown = oversample(df, id_col=id_col, label=label, numeric=numeric, k=k, seed=seed)
+    grown = pin(oversample(df, id_col=id_col, label=label, numeric=numeric, k=k, seed=seed), "grown")
     return drop_disputed(grown, id_cols=[id_col, "copy"], label=label, features=numeric, k=k_clean)

@@ -352,7 +352,9 @@ def blend(t: Tables) -> DataFrame:
 def mlp_classify(t: Tables) -> DataFrame:
     """A network trained on balanced labelled documents and reported on the untouched held-out ones."""
     train, test = _split(labelled(t), "doc_id")
-    grown = oversample(train, id_col="doc_id", label="quality", numeric=NUMERIC, categorical=["lang_code"])
+    grown = pin(
+        oversample(train, id_col="doc_id", label="quality", numeric=NUMERIC, categorical=["lang_code"]), "balanced"
+    )
     stages = training.feature_stages(NUMERIC, ["lang_code"])
     net = training.network("quality", [len(NUMERIC) + 1, 16, 16, 2], epochs=40, step=0.01)
     model = training.train_and_store(grown, [*stages, net], scratch(t.spark, "network"))

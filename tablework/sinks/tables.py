@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.operators.joins import hot_keys, join_null_safe
+from tablework.operators.joins import HOT_SHARE, is_hot
 from tablework.operators.mapping import require_schema
 
 
@@ -27,32 +27,32 @@ def append_to(df: DataFrame, name: str) -> None:
 
 
 def bucketed(
-    df: DataFrame, name: str, path: str, key: str, buckets: int, sort_by: Sequence[str] = (), *, share: float = 0.01
+    df: DataFrame, name: str, path: str, key: str, buckets: int, sort_by: Sequence[str] = (), *, share: float = HOT_SHARE
 ) -> tuple[DataFrame, DataFrame]:
     """Save a table hashed by ``key``, and beside it the rows of keys that hold more than ``share`` of the table.
 
     Two such tables with equal bucket counts join without a shuffle. A bucket is read by one task, so the rows of
     a hot key would all meet there; they go to the plain table ``<name>_hot`` instead. Returns (bucketed, hot).
     """
-    hot = hot_keys(df, [key], share)
-    cold_rows = join_null_safe(df, hot, [key], "left_anti")
-    hot_rows = join_null_safe(df, hot, [key], "left_semi")
+    hot = is_hot(df, [key], share)
+    hot = F.lit(False) if hot is None else hot
     (
-        cold_rows.repartition(buckets, key)
+        df.filter(~hot)
+        .repartition(buckets, key)
         .write.format("parquet")
         .option("path", f"{path}/cold")
         .bucketBy(buckets, key)
         .sortBy(*(sort_by or [key]))
         .saveAsTable(name)
     )
-    hot_rows.write.format("parquet").option("path", f"{path}/hot").saveAsTable(f"{name}_hot")
+    df.filter(hot).write.format("parquet").option("path", f"{path}/hot").saveAsTable(f"{name}_hot")
     spark = df.sparkSession
     return spark.table(name), spark.table(f"{name}_hot")
 
 
 def join_bucketed(
     facts: tuple[DataFrame, DataFrame], lookup: tuple[DataFrame, DataFrame], key: str, how: str = "inner",
-    *, share: float = 0.01,
+    *, share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join two tables saved by ``bucketed`` under one key name, the lookup with one row per key.
 
@@ -61,9 +61,11 @@ def join_bucketed(
     """
     cold, hot = facts
     wanted, wanted_hot = lookup
-    all_wanted = wanted.unionByName(wanted_hot)
-    hot_lookup = all_wanted.join(F.broadcast(hot_keys(hot, [key], 0.0).limit(int(1 / share))), key, "left_semi")
-    cold_part = cold.join(wanted, key, how)
+    cold_part = cold.join(wanted.unionByName(wanted_hot) if not wanted_hot.isEmpty() else wanted, key, how)
+    hot_keys = [r[0] for r in hot.select(key).distinct().limit(int(1 / share) + 1).collect()]
+    if not hot_keys:
+        return cold_part
+    hot_lookup = wanted.unionByName(wanted_hot).filter(F.col(key).isin(hot_keys))
     return cold_part.unionByName(hot.join(F.broadcast(hot_lookup), key, how))
 
 

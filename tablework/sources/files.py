@@ -34,10 +34,7 @@ def read_titled_csv(spark: SparkSession, path: str, schema: T.StructType, titles
     split over tasks like any text.
     """
     lines = spark.read.text(path)
-    first_file = lines.select(F.min("_metadata.file_path").alias("f")).scalar()
-    head = [
-        r["value"] for r in lines.filter(F.col("_metadata.file_path") == first_file).limit(titles + 1).collect()
-    ]
+    head = [r["value"] for r in spark.read.text(min(lines.inputFiles())).limit(titles + 1).collect()]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     body = lines.filter(~F.col("value").isin(head))
     return body.select(F.from_csv("value", ddl).alias("r")).select("r.*")
