@@ -41,7 +41,7 @@ def ridge(df: DataFrame, label: str, alpha: float, features: str = "features", p
     The solver divides the squared error by n and measures the label in its own deviation, so the penalty is
     rescaled to mean the same.
     """
-    stats = df.agg(F.stddev_samp(label).alias("s"), F.count(label).alias("n")).first()
+    stats = df.agg(F.stddev_pop(label).alias("s"), F.count(label).alias("n")).first()
     estimator = LinearRegression(
         featuresCol=features, labelCol=label, predictionCol=prediction, elasticNetParam=0.0, standardization=False,
         solver="normal", regParam=alpha * float(stats["s"]) / stats["n"],
@@ -97,7 +97,7 @@ def loss_history(model) -> list[float]:
 
 def cross_validate(
     df: DataFrame, estimator, grid: Sequence[dict], evaluator: Evaluator, keys: Sequence[str], n_folds: int = 4,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> CrossValidatorModel:
     """Mean and spread of a metric per parameter set; folds follow from a hash of the row's key."""
     validator = CrossValidator(

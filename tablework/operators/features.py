@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.functions.hashing import hash_number
+from tablework.operators.joins import lookup_join
+from tablework.session import pin
 
 
 def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
@@ -55,20 +57,25 @@ def vocabulary(df: DataFrame, category: str, limit: int = 10_000) -> list[str]:
     return sorted(r[0] for r in rows)
 
 
-def tfidf(df: DataFrame, key: str, tokens: Column) -> DataFrame:
+def term_counts(df: DataFrame, key: str, text: str, pattern: str = "[A-Za-z]+") -> DataFrame:
+    """(key, term, tf): lower-cased matches of ``pattern`` per text, counted where the text is read first."""
+    found = F.regexp_extract_all(F.col(text), F.lit(f"({pattern})"), F.lit(1))
+    terms = df.select(key, F.explode(found).alias("term")).select(key, F.lower("term").alias("term"))
+    return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
+
+
+def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     """Weights (key, term, weight): count * (ln((1 + n) / (1 + df)) + 1), each row scaled to length 1.
 
-    ``key`` is unique. Terms are counted before any shuffle carries them on, so a frequent term costs one row per
-    document, not one per occurrence.
+    ``key`` is unique. The counts are stored, so that texts are cut into words once and not again for the document
+    frequencies. A term that is in most texts has one count per text, and is joined apart from the others.
     """
     n = df.agg(F.count("*").alias("n")).scalar()
-    counts = (
-        df.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    )
+    counts = pin(term_counts(df, key, text), "terms")
     seen = counts.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log((1 + F.col("n").cast("double")) / (1 + F.col("df"))) + 1
     weighted = (
-        counts.join(seen, "term")
+        lookup_join(counts, seen, ["term"], "inner")
         .withColumn("n", n)
         .select(key, "term", (F.col("tf") * idf).alias("w"))
     )
@@ -93,11 +100,6 @@ def group_mean(df: DataFrame, group: str, value: str) -> DataFrame:
     return sums.withColumn("mean", F.try_divide("total", F.col("n").cast("double")))
 
 
-def words(text: Column, pattern: str = "[A-Za-z]+") -> Column:
-    """Lower-cased words of a text."""
-    return F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), F.lower)
-
-
 def all_present(columns: Sequence[str]) -> Column:
     """True where no listed column is null; scoring rejects the other rows."""
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])

@@ -36,29 +36,41 @@ def failing_rows(df: DataFrame, row_id: str, rules: Mapping[str, tuple[Column, C
     )
 
 
-def date_rules(column: str, as_of: Column, shape: str = DATE_SHAPE) -> dict[str, tuple[Column, str]]:
+def with_days(df: DataFrame, *columns: str, shape: str = DATE_SHAPE, fmt: str = "yyyy-MM-dd") -> DataFrame:
+    """Add for each date text column whether it has the shape, and the day it stands for (null if there is none).
+
+    The date rules below read these columns, so that each text is matched and parsed once.
+    """
+    shaped = df.withColumns({f"{c}_shaped": has_shape(c, shape) for c in columns})
+
+    def day(c: str) -> Column:
+        # a text of the default shape can go to the plain cast
+        return F.col(c).try_cast("date") if shape == DATE_SHAPE else to_date_or_null(c, fmt)
+
+    return shaped.withColumns({f"{c}_day": F.when(F.col(f"{c}_shaped"), day(c)) for c in columns})
+
+
+def date_rules(column: str, as_of: Column) -> dict[str, tuple[Column, str]]:
     """Shape, calendar and not-in-the-future rules of one date text column.
 
     A text of the wrong shape fails the first rule only; the others look at well-formed texts.
     """
-    well_formed = has_shape(column, shape)
-    day = to_date_or_null(column)
+    shaped, day = F.col(f"{column}_shaped"), F.col(f"{column}_day")
     return {
-        f"{column}_format": (well_formed, column),
-        f"{column}_calendar": (~well_formed | day.isNotNull(), column),
-        f"{column}_before_now": (~well_formed | day.isNull() | (day < as_of), column),
+        f"{column}_format": (shaped, column),
+        f"{column}_calendar": (~shaped | day.isNotNull(), column),
+        f"{column}_before_now": (day.isNull() | (day < as_of), column),
     }
 
 
-def order_rule(first: str, second: str, shape: str = DATE_SHAPE) -> dict[str, tuple[Column, Column]]:
+def order_rule(first: str, second: str) -> dict[str, tuple[Column, Column]]:
     """``first`` must not come after ``second``, where both are real dates of the right shape."""
-    a, b = to_date_or_null(first), to_date_or_null(second)
-    comparable = has_shape(first, shape) & has_shape(second, shape) & a.isNotNull() & b.isNotNull()
-    return {f"{first}_after_{second}": (~comparable | (a <= b), F.concat_ws(" > ", first, second))}
+    a, b = F.col(f"{first}_day"), F.col(f"{second}_day")
+    return {f"{first}_after_{second}": (a.isNull() | b.isNull() | (a <= b), F.concat_ws(" > ", first, second))}
 
 
 def claim_rules(as_of: Column, code_shape: str = DIAGNOSIS_CODE) -> dict[str, tuple[Column, Column | str]]:
-    """The row rules of a claims delivery."""
+    """The row rules of a claims delivery, whose two date columns went through ``with_days``."""
     return {
         "claim_id_present": (F.col("claim_id").isNotNull(), F.lit(None)),
         "diagnosis_shape": (has_shape("diagnosis_codes", code_shape), "diagnosis_codes"),

@@ -16,7 +16,7 @@ from tablework.operators.counts import entities_with_codes, frequency, null_safe
 from tablework.operators.joins import lookup_join
 from tablework.operators.latest import duplicated_keys
 from tablework.operators.quality import (
-    claim_rules, date_rules, failing_rows, findings, invalid_codes, order_rule, report, schema_check,
+    claim_rules, date_rules, failing_rows, findings, invalid_codes, order_rule, report, schema_check, with_days,
 )
 from tablework.plans.registry import Tables, query
 
@@ -108,7 +108,7 @@ MIXED_SQL = """CASE l_linenumber WHEN 7 THEN strftime(l_shipdate, '%Y/%m/%d')
 def dq_date_format(t: Tables) -> DataFrame:
     lines = t.lineitem.select("l_orderkey", _mixed_date("l_shipdate", "l_linenumber").alias("date_service"))
     rules = date_rules("date_service", F.lit(AS_OF).cast("date"))
-    return failing_rows(lines, "l_orderkey", {"date_service_format": rules["date_service_format"]})
+    return failing_rows(with_days(lines, "date_service"), "l_orderkey", {"date_service_format": rules["date_service_format"]})
 
 
 @query(f"""
@@ -116,7 +116,8 @@ def dq_date_format(t: Tables) -> DataFrame:
     FROM lineitem WHERE l_shipdate >= TIMESTAMP '{AS_OF}'""")
 def dq_future_date(t: Tables) -> DataFrame:
     lines = t.lineitem.select("l_orderkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_service"))
-    return failing_rows(lines, "l_orderkey", date_rules("date_service", F.lit(AS_OF).cast("date")))
+    rules = date_rules("date_service", F.lit(AS_OF).cast("date"))
+    return failing_rows(with_days(lines, "date_service"), "l_orderkey", rules)
 
 
 @query("""
@@ -130,7 +131,8 @@ def dq_chronology(t: Tables) -> DataFrame:
     )
     services = t.orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_service"))
     dated = lookup_join(lines, services, ["o_orderkey"], "inner")
-    return failing_rows(dated, "o_orderkey", order_rule("date_service", "date_received"))
+    days = with_days(dated, "date_service", "date_received")
+    return failing_rows(days, "o_orderkey", order_rule("date_service", "date_received"))
 
 
 @query(f"""
@@ -211,7 +213,7 @@ def dq_report(t: Tables) -> DataFrame:
     unknown = invalid_codes(claims.select("claim_id", "procedure_code"), "procedure_code", _valid_parts(t), "p_partkey")
     repeated = duplicated_keys(claims.filter("claim_id is not null"), ["claim_id"])
     everything = report(
-        failing_rows(claims, "claim_id", claim_rules(as_of)),
+        failing_rows(with_days(claims, "date_service", "date_received"), "claim_id", claim_rules(as_of)),
         findings(unknown, "procedure_code_valid", "claim_id", "procedure_code"),
         findings(repeated, "claim_id_unique", "claim_id", "n_rows"),
     )

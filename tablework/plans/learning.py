@@ -145,7 +145,7 @@ def knn_regress(t: Tables) -> DataFrame:
           FROM c JOIN d USING (term))
     SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM x""")
 def tfidf(t: Tables) -> DataFrame:
-    weights = features.tfidf(t.documents.select("doc_id", "text"), "doc_id", features.words(F.col("text")))
+    weights = features.tfidf(t.documents.select("doc_id", "text"), "doc_id", "text")
     return weights.withColumn("weight", F.round("weight", 6))
 
 
