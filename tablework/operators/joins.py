@@ -53,6 +53,8 @@ def lookup_join(
     on = list(keys)
     if is_small(lookup):
         return facts.join(F.broadcast(lookup), on, how)
+    if facts.isStreaming:  # keys of a stream cannot be counted ahead; adaptive execution splits skewed batches
+        return facts.join(lookup, on, how)
     hot = is_hot(facts, keys, share)
     if hot is None:
         return facts.join(lookup, on, how)

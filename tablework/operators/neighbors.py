@@ -10,10 +10,12 @@ at most k rows per query, never pairs.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ from tablework.functions.hashing import hash_number
 from tablework.operators.joins import lookup_join
 from tablework.session import pin
 
+# the functions below travel to Python workers by value, so that executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SLACK = 1.0 + 1e-9  # keeps rounding in the bounds from excluding a tie
 
 

@@ -84,21 +84,26 @@ def encode_attributes(df: DataFrame, key: str, attributes: str) -> DataFrame:
     Text ``v`` under ``k`` becomes feature ``k_v`` with 1, a boolean becomes 0 or 1, a number keeps its value and a
     nested map is prefixed with its key. Text that is not JSON and null attributes give no rows.
     """
-    spark = df.sparkSession
-
-    def members(frame: DataFrame, variant: str) -> DataFrame:
-        pairs = spark.tvf.variant_explode(F.col(variant).outer()).select(
-            F.col("key").alias("_key"), F.col("value").alias("_value"), F.schema_of_variant("value").alias("_kind")
-        )
-        return frame.lateralJoin(pairs)
-
-    top = members(df.select(key, F.try_parse_json(attributes).alias("_attributes")), "_attributes")
-    nested = F.col("_kind").startswith("OBJECT")
-    inner = members(
-        top.filter(nested).select(key, F.col("_key").alias("_parent"), F.col("_value").alias("_map")), "_map"
+    tvf = df.sparkSession.tvf
+    top = tvf.variant_explode(F.col("_attributes").outer()).select(
+        F.col("key").alias("_key"), F.col("value").alias("_top"), F.schema_of_variant("value").alias("_top_kind")
     )
-    flat = top.filter(~nested).select(key, F.col("_key").alias("_name"), "_value", "_kind").unionByName(
-        inner.select(key, F.concat_ws("_", "_parent", "_key").alias("_name"), "_value", "_kind")
+    nested = F.col("_top_kind").startswith("OBJECT")
+    # one row of nulls for a value that is not a map, so that both levels come from one pass
+    inner = tvf.variant_explode_outer(F.when(nested, F.col("_top")).outer()).select(
+        F.col("key").alias("_sub_key"), F.col("value").alias("_sub")
+    )
+    flat = (
+        df.select(key, F.try_parse_json(attributes).alias("_attributes"))
+        .lateralJoin(top)
+        .lateralJoin(inner)
+        .filter(~nested | F.col("_sub_key").isNotNull())
+        .select(
+            key,
+            F.concat_ws("_", "_key", "_sub_key").alias("_name"),
+            F.when(nested, F.col("_sub")).otherwise(F.col("_top")).alias("_value"),
+        )
+        .withColumn("_kind", F.schema_of_variant("_value"))
     )
 
     def read(kind: str) -> Column:

@@ -68,19 +68,13 @@ def position_in_group(
     stored = _ranged(df, [*keys, *order], unique)
     local = Window.partitionBy("_part", *keys).orderBy("_row")
     numbered = stored.withColumn("_local", F.row_number().over(local) - 1)
-    pieces = stored.groupBy("_part", *keys).agg(F.count("*").alias("_n"))
-    # a key that spans partitions owns the first or the last rows of each partition it touches, so there are at
-    # most two such rows per partition
-    edges = stored.groupBy("_part").agg(
-        F.min_by(F.struct(*keys), "_row").alias("_first"), F.max_by(F.struct(*keys), "_row").alias("_last")
-    )
-    edge_keys = edges.select("_part", F.inline(F.array_distinct(F.array("_first", "_last"))))
+    pieces = stored.groupBy("_part", *keys).agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    # a key that spans partitions is the first or the last key of each partition it touches, so at most two rows
+    # per partition are left
+    last = pieces.groupBy("_part").agg(F.max("_first").alias("_last"))
+    edges = pieces.join(F.broadcast(last), "_part").filter("_first = 0 or _first = _last")
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        join_null_safe(pieces, edge_keys, ["_part", *keys], "left_semi")
-        .select("_part", *keys, F.sum("_n").over(before).alias("_before"))
-        .filter("_before is not null")
-    )
+    offsets = edges.select("_part", *keys, F.sum("_n").over(before).alias("_before")).filter("_before is not null")
     return (
         join_null_safe(numbered, offsets, ["_part", *keys], "left")
         .withColumn(name, (F.coalesce("_before", F.lit(0)) + F.col("_local")).cast("long"))

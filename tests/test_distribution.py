@@ -1,5 +1,9 @@
 """Positions, joins and neighbours where one key or one point holds a third of the rows."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -174,3 +178,18 @@ def test_disputed_rows_are_dropped(spark):
     df = spark.createDataFrame(rows, "id long, x double, y int")
     kept = {r["id"] for r in drop_disputed(df, id_cols=["id"], label="y", features=["x"]).collect()}
     assert 100 not in kept and {0, 1, 9, 200, 205} <= kept and not {4, 5} & kept
+
+
+def test_workers_need_no_package(tmp_path):
+    """Executors without this package on their path can run the neighbour search."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from tablework.session import local_session
+from tablework.operators.neighbors import nearest
+spark = local_session(2)
+p = spark.range(50).selectExpr('id', 'double(id * 7 % 50) AS x')
+print('rows', nearest(p, p, id_col='id', features=['x'], k=2, block_rows=16).count())
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows 100" in out.stdout, out.stderr[-2000:]

@@ -104,3 +104,20 @@ def test_zones_with_archive_and_merge(spark, tmp_path):
         merge_zone(spark, str(tmp_path / "stage" / "*"), schema, table, str(tmp_path / "cp2"), ["id"], [F.desc("place")])
     assert {r["id"]: r["title"] for r in table.read().collect()} == {1: "new", 2: "two"}
     assert {r["id"]: r["title"] for r in table.previous().collect()} == {1: "old", 2: "two"}
+
+
+def test_stored_model_scores_a_stream(spark, tmp_path):
+    from tablework.models import training
+    from tablework.models.group_mean import GroupMeanRegressor
+
+    train = spark.range(200).selectExpr("id", "double(id % 20) AS a", "double(id % 20 > 9) AS y", "id % 3 AS g")
+    model = training.train_and_store(train, [*training.feature_stages(["a"]), training.logistic("y")], str(tmp_path / "m"))
+    means = GroupMeanRegressor(groupCol="g", labelCol="y", predictionCol="mean").fit(train)
+    train.withColumn("a", F.when(F.col("id") > 4, F.col("a"))).write.json(str(tmp_path / "in"))
+    scored, rejected = training.score(model, file_stream(spark, str(tmp_path / "in"), train.schema), ["a"])
+    for name, part in (("scored", means.transform(scored).select("id", "y", "prediction", "mean")), ("rejected", rejected)):
+        q = part.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / f"cp-{name}"))
+        q.trigger(availableNow=True).start(str(tmp_path / name)).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "scored"))
+    assert out.count() == 195 and out.filter("y = prediction").count() > 180 and out.filter("mean is null").count() == 0
+    assert spark.read.parquet(str(tmp_path / "rejected")).count() == 5
