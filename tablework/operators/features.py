@@ -58,9 +58,14 @@ def vocabulary(df: DataFrame, category: str, limit: int = 10_000) -> list[str]:
 
 
 def term_counts(df: DataFrame, key: str, text: str, pattern: str = "[A-Za-z]+") -> DataFrame:
-    """(key, term, tf): lower-cased matches of ``pattern`` per text, counted where the text is read first."""
+    """(key, term, tf): lower-cased matches of ``pattern`` per text, whose ``key`` is unique.
+
+    Texts are distributed by key before they are cut, since a text is smaller than its words: the count per
+    (key, term) then needs no further shuffle.
+    """
     found = F.regexp_extract_all(F.col(text), F.lit(f"({pattern})"), F.lit(1))
-    terms = df.select(key, F.explode(found).alias("term")).select(key, F.lower("term").alias("term"))
+    spread = df.select(key, text).repartition(key)
+    terms = spread.select(key, F.explode(found).alias("term")).select(key, F.lower("term").alias("term"))
     return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.01  # a key with more than this share of the rows is hot; at most 1 / HOT_SHARE keys can be
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 20_000
 BROADCAST_BYTES = 16 << 20
 
 
@@ -23,22 +23,29 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 def is_hot(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Column | None:
     """Condition that a row's key holds more than ``share`` of all rows, or None when no key does.
 
-    One pass counts rows per key, combined before the shuffle. At most ``1 / share`` keys reach the driver.
+    One pass with a small sketch per task, which finds every key well above its error of a small part of a
+    percent; the keys themselves are not shuffled, and at most ``1 / share`` of them reach the driver. A key close
+    to the limit may fall on either side, which changes how rows travel but not what comes out.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*").alias("total")).scalar()
-    found = counts.filter(F.col("_n") > total * share).select(*keys).limit(int(1 / share) + 1).collect()
-    if not found:
+    item = F.col(keys[0]) if len(keys) == 1 else F.to_json(F.struct(*keys))
+    most = max(1, int(1 / share))
+    found = df.select(item.alias("item")).agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k(item, {most}, {max(8192, 8 * most)})").alias("top")
+    ).first()
+    hot = [t["item"] for t in found["top"] if t["count"] > found["n"] * share]
+    if not hot:
         return None
-    matches = [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(r[k])) for k in keys]) for r in found]
-    return reduce(lambda a, b: a | b, matches)
+    return reduce(lambda a, b: a | b, [item.eqNullSafe(F.lit(h)) for h in hot])
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a frame has at most so many rows and bytes as text; reads no more than ``max_rows`` + 1 rows."""
-    width = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    size = df.limit(max_rows + 1).agg(F.count("*").alias("n"), width.alias("bytes")).first()
-    return size["n"] <= max_rows and (size["bytes"] or 0) <= max_bytes
+    """Whether a frame has at most so many rows and bytes as text.
+
+    ``take`` reads partitions one after the other and stops, so that a large frame costs about one partition; only
+    row widths reach the driver.
+    """
+    widths = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("w")).take(max_rows + 1)
+    return len(widths) <= max_rows and sum(r["w"] for r in widths) <= max_bytes
 
 
 def lookup_join(

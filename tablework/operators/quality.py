@@ -92,7 +92,13 @@ def schema_check(df: DataFrame, declared: T.StructType) -> DataFrame:
     pairs = []
     for field in declared:
         c, kind = F.col(field.name), field.dataType.simpleString()
-        parsed = to_date_or_null(c) if isinstance(field.dataType, T.DateType) else c.try_cast(field.dataType)
+        if isinstance(field.dataType, T.DateType):
+            parsed = to_date_or_null(c)
+        elif isinstance(field.dataType, T.IntegralType):
+            # text without the shape of a number is refused cheaply; the cast then looks at the range
+            parsed = F.when(has_shape(c, r"^\s*[+-]?\d+\s*$"), c.try_cast(field.dataType))
+        else:
+            parsed = c.try_cast(field.dataType)
         bad_null = F.lit(0).cast("long") if field.nullable else F.count_if(c.isNull())
         pairs.append(
             F.struct(

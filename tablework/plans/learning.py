@@ -82,7 +82,7 @@ def class_balance(t: Tables) -> DataFrame:
     WINDOW w AS (ORDER BY ts, event_id ROWS 999 PRECEDING)""")
 def rolling_mean(t: Tables) -> DataFrame:
     values = t.events.select("event_id", "ts", F.col("value").cast("decimal(18,4)").alias("value"))
-    means = moving_mean(values, ["ts", "event_id"], "value", 1000, "mean", block=4096)
+    means = moving_mean(values, ["ts", "event_id"], "value", 1000, "mean")
     return means.select("event_id", F.round("mean", 6).alias("mean"))
 
 

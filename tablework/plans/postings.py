@@ -132,8 +132,9 @@ def bucketed_join(t: Tables) -> DataFrame:
     database = create_database(t.spark, path.rpartition("/")[2].replace("-", "_"), path)
     lines = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), "l_extendedprice", "l_discount")
     heads = t.orders.select(F.col("o_orderkey").alias("orderkey"), "o_orderstatus")
-    facts = bucketed(lines, f"{database}.lines", f"{path}/lines", "orderkey", 8)
-    lookup = bucketed(heads, f"{database}.heads", f"{path}/heads", "orderkey", 8)
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))  # as many as the cluster uses for any shuffle
+    facts = bucketed(lines, f"{database}.lines", f"{path}/lines", "orderkey", buckets)
+    lookup = bucketed(heads, f"{database}.heads", f"{path}/heads", "orderkey", buckets)
     price = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     return join_bucketed(facts, lookup, "orderkey").groupBy("o_orderstatus").agg(
         F.count("*").alias("n_lines"), F.sum(price).cast("double").alias("revenue")

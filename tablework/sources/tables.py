@@ -35,8 +35,12 @@ def define_table(
     """Declare a table over a folder; with partition columns, existing partitions are registered."""
     parts = f"PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     spark.sql(f"CREATE TABLE {name} ({columns}) USING {file_format} {parts} LOCATION '{location}'")
-    if partitioned_by:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return register_partitions(spark, name) if partitioned_by else name
+
+
+def register_partitions(spark: SparkSession, name: str) -> str:
+    """Make partition folders written since the last call known to the catalog."""
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return name
 
 

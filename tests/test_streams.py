@@ -121,3 +121,16 @@ def test_stored_model_scores_a_stream(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "scored"))
     assert out.count() == 195 and out.filter("y = prediction").count() > 180 and out.filter("mean is null").count() == 0
     assert spark.read.parquet(str(tmp_path / "rejected")).count() == 5
+
+
+def test_interval_trigger_keeps_running(spark, tmp_path):
+    land(spark, tmp_path / "in", [(1,)], "id int")
+    got = []
+    query = run_batches(file_stream(spark, str(tmp_path / "in"), "id int"),
+                        lambda frame, batch: got.extend(r["id"] for r in frame.collect()), str(tmp_path / "cp"),
+                        every="1 second")
+    query.processAllAvailable()
+    land(spark, tmp_path / "in", [(2,)], "id int")
+    query.processAllAvailable()
+    query.stop()
+    assert got == [1, 2]
