@@ -40,10 +40,19 @@ def _squared(a: np.ndarray, b: np.ndarray, n_numeric: int, mismatch: float) -> n
     return out
 
 
-def _smallest(d2: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Column numbers of the k nearest per row, ties by id; fewer columns than k give all of them."""
-    by_id = np.argsort(ids, kind="stable")
-    return by_id[np.argsort(d2[:, by_id], axis=1, kind="stable")[:, :k]]
+def _smallest(d2: np.ndarray, ids: np.ndarray, k: int, within: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of the k nearest per row, ties by id, none farther than the row's ``within``."""
+    k = min(k, d2.shape[1])
+    limit = np.partition(d2, k - 1, axis=1)[:, k - 1]
+    if within is not None:
+        limit = np.minimum(limit, within)
+    rows, cols = np.nonzero(d2 <= limit[:, None])
+    by_id = np.empty(len(ids), dtype=np.int64)
+    by_id[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    order = np.lexsort((by_id[cols], d2[rows, cols], rows))
+    rows, cols = rows[order], cols[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    return rows[place < k], cols[place < k]
 
 
 def _ceil_div(a: int, b: int) -> int:
@@ -147,14 +156,11 @@ def nearest(
             if len(q) == 0 or len(p) == 0:
                 return pd.DataFrame(columns=["_q", "_d2", *n_columns])
             d2 = _squared(q[fcols].to_numpy(dtype=float), p[fcols].to_numpy(dtype=float), n_num, mismatch)
-            cols = _smallest(d2, p["neighbor"].to_numpy(), keep)
-            rows = np.repeat(np.arange(len(q)), cols.shape[1])
-            flat = cols.ravel()
-            out = p[n_columns].iloc[flat].reset_index(drop=True)
-            out.insert(0, "_d2", d2[rows, flat])
+            within = (q[radius].to_numpy() * _SLACK) ** 2 + 1e-300 if radius else None
+            rows, cols = _smallest(d2, p["neighbor"].to_numpy(), keep, within)
+            out = p[n_columns].iloc[cols].reset_index(drop=True)
+            out.insert(0, "_d2", d2[rows, cols])
             out.insert(0, "_q", q["_q"].to_numpy()[rows])
-            if radius:
-                out = out[out["_d2"] <= (q[radius].to_numpy()[rows] * _SLACK) ** 2 + 1e-300]
             return out
 
         keys = ["_cell", "_block", "_share"]
