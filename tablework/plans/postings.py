@@ -39,8 +39,10 @@ def join_postings(master: DataFrame, title: DataFrame, timelog: DataFrame, *arri
     one task. Dates that do not parse become null.
     """
     latest = [F.desc(c) for c in arrival]
-    one_log = newest(timelog.withColumn("remove_date", to_timestamp_or_null("remove_date")), ["job_id"],
-                     [*open_first("remove_date"), *latest]).select("job_id", "remove_date")
+    ended = timelog.select("job_id", to_timestamp_or_null("remove_date").alias("d"))
+    # an open row has no date, so a date stands only where every row of the job has one
+    end = F.when(F.count("d") == F.count(F.lit(1)), F.max("d"))
+    one_log = ended.groupBy("job_id").agg(end.alias("remove_date"))
     one_title = newest(title, ["job_id"], [*latest, F.desc("title")]).select("job_id", "title")
     one_master = newest(master, ["job_id"], [*latest, F.desc("post_date")])
     return (
@@ -304,7 +306,7 @@ def lake_select(t: Tables) -> DataFrame:
     path = scratch(t.spark, "lake")
     database = create_database(t.spark, path.rpartition("/")[2].replace("-", "_"), path)
     events = t.events.select("event_id", "user_id", "value", "event_type")
-    early = F.col("value") < 20
+    early = F.coalesce(F.col("value") < 20, F.lit(False))
     append_json(events.filter(early), f"{path}/output", ["event_type"])
     columns = "event_id bigint, user_id bigint, value double, event_type string"
     name = define_table(t.spark, f"{database}.output", columns, f"{path}/output", partitioned_by=["event_type"])

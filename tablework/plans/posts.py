@@ -113,6 +113,11 @@ def ingest_partitions(t: Tables) -> DataFrame:
     return back.groupBy(*INGEST_COLUMNS).agg(F.count("*").alias("n"))
 
 
+def _files_per_trigger(t: Tables) -> int:
+    """A share of the files that a shuffle of this session writes, so that batches grow with the cluster."""
+    return max(1, int(t.spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+
+
 def _land(df: DataFrame, path: str) -> str:
     df.write.mode("append").json(path)
     return path
@@ -130,8 +135,8 @@ def _read_sink(t: Tables, path: str, schema: str, fmt: str = "json") -> DataFram
 def stream_file_ingest(t: Tables) -> DataFrame:
     """Posts arrive as files, are enriched per micro-batch and written by hour; event time stands for the clock."""
     base = scratch(t.spark, "ingest")
-    _land(_posts(t).repartitionByRange(4, "ts"), f"{base}/in")
-    stream = file_stream(t.spark, f"{base}/in", POST_SCHEMA, files_per_trigger=2)
+    _land(_posts(t).repartitionByRange("ts"), f"{base}/in")
+    stream = file_stream(t.spark, f"{base}/in", POST_SCHEMA, files_per_trigger=_files_per_trigger(t))
 
     def enrich(frame: DataFrame) -> DataFrame:
         return enrich_posts(frame).withColumn("ts", F.to_timestamp_ntz("created_utc", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")))
@@ -147,7 +152,8 @@ def stream_restart(t: Tables) -> DataFrame:
     base = scratch(t.spark, "restart")
     events = t.events.select("event_id", "event_type", "value")
     schema = events.schema
-    for part in (F.col("value") < 10, F.col("value") >= 10):
+    early = F.coalesce(F.col("value") < 10, F.lit(False))
+    for part in (early, ~early):
         _land(events.filter(part), f"{base}/in")
         run_zone(t.spark, f"{base}/in", schema, f"{base}/out", f"{base}/state", lambda frame: frame)
     return _read_sink(t, f"{base}/out", "event_id long, event_type string, value double")
@@ -169,20 +175,15 @@ def stream_two_stage(t: Tables) -> DataFrame:
 
 @query("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS seen FROM events")
 def stream_dedup(t: Tables) -> DataFrame:
-    """All events are sent twice in different files; each leaves once."""
+    """All events are sent twice, the second time after a restart; each leaves once."""
     base = scratch(t.spark, "dedup")
     events = t.events.select("event_id", "ts")
     for _ in range(2):
         _land(events, f"{base}/in")
-    stream = file_stream(t.spark, f"{base}/in", events.schema, files_per_trigger=1)
-    query_run = (
-        once_per_key(stream, ["event_id"], "ts", "60 days")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True)
-        .start(f"{base}/out")
-    )
-    query_run.awaitTermination()
+        stream = file_stream(t.spark, f"{base}/in", events.schema, files_per_trigger=_files_per_trigger(t))
+        once = once_per_key(stream, ["event_id"], "ts", "60 days").writeStream.format("parquet")
+        once = once.option("checkpointLocation", f"{base}/state").trigger(availableNow=True)
+        once.start(f"{base}/out").awaitTermination()
     out = t.spark.read.parquet(f"{base}/out")
     return out.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("seen"))
 
@@ -200,11 +201,11 @@ def stream_upsert(t: Tables) -> DataFrame:
     """Events arrive in three spans of time; the latest image per user is kept."""
     base = scratch(t.spark, "upsert-stream")
     events = t.events.select("event_id", "ts", "user_id", "value")
+    image = LatestImage(t.spark, f"{base}/out", events.schema, ["user_id"], [F.desc("ts"), F.desc("event_id")])
     for first, last in (("2000-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2100-01-01")):
         span = (F.col("ts") >= F.lit(first).cast("timestamp_ntz")) & (F.col("ts") < F.lit(last).cast("timestamp_ntz"))
-        _land(events.filter(span).coalesce(1), f"{base}/in")
-    image = LatestImage(t.spark, f"{base}/out", events.schema, ["user_id"], [F.desc("ts"), F.desc("event_id")])
-    image.run(file_stream(t.spark, f"{base}/in", events.schema, files_per_trigger=1), f"{base}/state")
+        _land(events.filter(span), f"{base}/in")
+        image.run(file_stream(t.spark, f"{base}/in", events.schema), f"{base}/state")
     return image.read().select("user_id", "event_id", "value")
 
 
@@ -213,7 +214,8 @@ def stream_archive(t: Tables) -> DataFrame:
     """Consumed files move to an archive; what they held is in the sink once."""
     base = scratch(t.spark, "archive")
     events = t.events.select("event_id", "user_id", "props")
-    for part in (F.col("event_type") == "click", F.col("event_type") != "click"):
+    clicks = F.coalesce(F.col("event_type") == "click", F.lit(False))
+    for part in (clicks, ~clicks):
         _land(t.events.filter(part).select(*events.columns), f"{base}/in")
         run_zone(t.spark, f"{base}/in", events.schema, f"{base}/out", f"{base}/state", lambda frame: frame,
                  archive=f"{base}/archive")

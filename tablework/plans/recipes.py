@@ -15,6 +15,8 @@ from tablework.operators.nested import relationalize as child_tables
 from tablework.operators.position import batches_of_n as cut_batches
 from tablework.operators.position import list_per_key
 from tablework.plans.registry import Tables, query
+from tablework.session import scratch
+from tablework.sinks.files import land_raw
 
 
 def _names(pattern: str):
@@ -109,7 +111,14 @@ def attribute_encode(t: Tables) -> DataFrame:
     n AS (SELECT *, row_number() OVER (ORDER BY user_id, event_type) - 1 AS p, count(*) OVER () AS total FROM d)
     SELECT CAST(floor(p / 20) AS BIGINT) AS batch_id, user_id, event_type FROM n WHERE p < total - total % 20""")
 def batches_of_n(t: Tables) -> DataFrame:
-    return cut_batches(t.events.select("user_id", "event_type"), ["user_id", "event_type"], 20)
+    """Distinct submissions leave in full batches of 20, land as text, and are read from there."""
+    path = scratch(t.spark, "raw")
+    batches = cut_batches(t.events.select("user_id", "event_type"), ["user_id", "event_type"], 20)
+    land_raw(batches.select("batch_id", F.to_json(F.struct("user_id", "event_type")).alias("value")), path)
+    landed = t.spark.read.schema("batch_id long, value string").parquet(path)
+    return landed.select("batch_id", F.from_json("value", "user_id long, event_type string").alias("r")).select(
+        "batch_id", "r.*"
+    )
 
 
 @query("""

@@ -21,8 +21,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
 
 
 def land_raw(df: DataFrame, path: str) -> None:
-    """Keep received text unaltered, one folder per batch (columns ``batch_id`` and ``value``)."""
-    df.select("batch_id", "value").write.mode("append").partitionBy("batch_id").text(path)
+    """Keep received text unaltered beside the batch it belongs to (columns ``batch_id`` and ``value``).
+
+    Batches are small and many, so the batch is a column and not a folder.
+    """
+    df.select("batch_id", "value").write.mode("append").parquet(path)
 
 
 def to_parquet(df: DataFrame, path: str) -> DataFrame:

@@ -71,9 +71,12 @@ def read_manifest(
     parts = []
     if mandatory:
         parts.append(reader.option("ignoreMissingFiles", False).csv(mandatory))
+    folders: dict[str, list[str]] = {}
     for url in optional:
         folder, _, name = url.rpartition("/")
-        parts.append(reader.option("pathGlobFilter", name).csv(folder))
+        folders.setdefault(folder, []).append(name)
+    for folder, names in folders.items():  # those that are there, in one read per folder
+        parts.append(reader.option("pathGlobFilter", "{" + ",".join(names) + "}").csv(folder))
     if not parts:
         return spark.createDataFrame([], schema)
     out = parts[0]

@@ -30,7 +30,11 @@ def merge_zone(
     spark: SparkSession, source: str, schema: T.StructType | str, table: VersionedTable, checkpoint: str,
     keys: Sequence[str], arrival: Sequence, *, glob: str | None = None,
 ) -> None:
-    """Merge all new staged rows into a table by key, the newest winning, and stop."""
+    """Merge all new staged rows into a table by key, the newest winning, and stop.
+
+    Each batch writes the whole table anew, which suits tables that are replaced as a whole; a large table under
+    frequent batches is kept as ``LatestImage``.
+    """
 
     def handle(frame: DataFrame, batch_id: int) -> None:
         frames = [table.read(), frame] if table.exists() else [frame]

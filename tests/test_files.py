@@ -53,10 +53,12 @@ def test_json_lines_files_and_arrays(spark, tmp_path):
 
 def test_manifest(spark, tmp_path):
     a, b = put(tmp_path / "a.csv", "id\n1\n"), put(tmp_path / "b.csv", "id\n2\n")
-    put(tmp_path / "c.csv", "id\n3\n")
-    entries = '{"entries": [{"url": "%s", "mandatory": true}, {"url": "%s", "mandatory": false}, {"url": "%s", "mandatory": false}]}'
-    manifest = put(tmp_path / "m" / "ok.manifest", entries % (a, b, tmp_path / "gone.csv"))
-    assert sorted(r["id"] for r in read_manifest(spark, manifest, "id int").collect()) == [1, 2]
+    c = put(tmp_path / "c.csv", "id\n3\n")
+    put(tmp_path / "d.csv", "id\n4\n")
+    urls = [(a, "true"), (b, "false"), (c, "false"), (tmp_path / "gone.csv", "false")]
+    entries = ", ".join('{"url": "%s", "mandatory": %s}' % u for u in urls)
+    manifest = put(tmp_path / "m" / "ok.manifest", '{"entries": [%s]}' % entries)
+    assert sorted(r["id"] for r in read_manifest(spark, manifest, "id int").collect()) == [1, 2, 3]
     broken = put(tmp_path / "m" / "bad.manifest", '{"entries": [{"url": "%s", "mandatory": true}]}' % (tmp_path / "no.csv"))
     with pytest.raises(Exception, match="(?i)not.*(exist|found)"):
         read_manifest(spark, broken, "id int").count()
@@ -92,7 +94,7 @@ def test_batches_replace_their_own_folder(spark, tmp_path):
 def test_raw_copy_is_unaltered(spark, tmp_path):
     text = '{"b": 1,  "a": "é \\u00e9"}'
     land_raw(spark.createDataFrame([(0, text)], "batch_id int, value string"), str(tmp_path / "raw"))
-    assert spark.read.text(str(tmp_path / "raw")).first()["value"] == text
+    assert spark.read.parquet(str(tmp_path / "raw")).first()["value"] == text
 
 
 def test_schema_drift_is_refused(spark, tmp_path):
