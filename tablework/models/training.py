@@ -127,5 +127,6 @@ def score(model: PipelineModel, df: DataFrame, inputs: Sequence[str]) -> tuple[D
     return model.transform(df.filter(complete)), df.filter(~complete)
 
 
-def logistic(label: str, *, penalty: float = 0.0) -> LogisticRegression:
-    return LogisticRegression(featuresCol="features", labelCol=label, regParam=penalty, threshold=0.5)
+def logistic(label: str, *, penalty: float = 0.0, epochs: int = 40) -> LogisticRegression:
+    """Linear classifier that says 1 from probability 0.5."""
+    return LogisticRegression(featuresCol="features", labelCol=label, regParam=penalty, threshold=0.5, maxIter=epochs)

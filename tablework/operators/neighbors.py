@@ -1,11 +1,12 @@
 """Exact k nearest neighbours without pairing every row with every row.
 
-Points are grouped around pivots, about as many as the square root of their number and at most a few thousand. Each query first looks at one block of its own group, which
-bounds the distance to its k-th neighbour; the triangle inequality then rules out every group that cannot hold a
-closer point, and the query visits the remaining groups only. Groups are cut into blocks of limited size on both
-sides, so a dense region becomes many tasks. Equal feature vectors are searched once, and of many equal points
-only the few with the smallest ids can be neighbours, so copies of one point cost no more than one. Tasks return
-at most k rows per query, never pairs.
+Points are grouped around pivots, about as many as the square root of their number and at most a few thousand, and
+each group is cut by distance to its pivot into rings of limited size. A query first looks at the ring of its own
+group in which it lies, which bounds the distance to its k-th neighbour. The triangle inequality then rules out the
+groups and rings that cannot hold a closer point, and the query visits the others only. Queries to one ring are cut
+to limited blocks too, so a dense region becomes many tasks. Equal feature vectors are searched once, and of many
+equal points only the few with the smallest ids can be neighbours, so copies of one point cost no more than one.
+Tasks return at most k rows per query, never pairs.
 """
 
 from __future__ import annotations
@@ -21,12 +22,13 @@ from pyspark.sql import functions as F
 
 from tablework.functions.hashing import hash_number
 from tablework.operators.joins import lookup_join
+from tablework.operators.position import position_in_group
 from tablework.session import pin
 
 # the functions below travel to Python workers by value, so that executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_SLACK = 1.0 + 1e-9  # keeps rounding in the bounds from excluding a tie
+_SLACK, _TINY = 1.0 + 1e-9, 1e-12  # keep rounding in the bounds from excluding a tie
 
 
 def _squared(a: np.ndarray, b: np.ndarray, n_numeric: int, mismatch: float) -> np.ndarray:
@@ -55,8 +57,70 @@ def _smallest(d2: np.ndarray, ids: np.ndarray, k: int, within: np.ndarray | None
     return rows[place < k], cols[place < k]
 
 
-def _ceil_div(a: int, b: int) -> int:
-    return max(1, -(-int(a) // b))
+class _Groups:
+    """Pivots, and how many points lie how near and far around each of them."""
+
+    def __init__(self, fcols: list[str], n_numeric: int, mismatch: float, centers: np.ndarray):
+        self.fcols, self.n_numeric, self.mismatch, self.centers = fcols, n_numeric, mismatch, centers
+        self.size = np.zeros(len(centers), dtype=np.int64)
+        self.lo, self.hi = np.full(len(centers), np.inf), np.full(len(centers), -np.inf)
+
+    def count(self, stats: pd.DataFrame) -> None:
+        cell = stats["_cell"].to_numpy()
+        self.size[cell], self.lo[cell], self.hi[cell] = stats["n"], stats["lo"], stats["hi"]
+
+    def squared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return _squared(a, b, self.n_numeric, self.mismatch)
+
+    def values(self, pdf: pd.DataFrame) -> np.ndarray:
+        return pdf[self.fcols].to_numpy(dtype=float)
+
+    def to_centers(self, batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+        """Rows with their distances to all centers, few enough rows at once to keep that matrix small."""
+        step = max(1, (4 << 20) // len(self.centers))
+        for pdf in batches:
+            for start in range(0, len(pdf), step):
+                part = pdf.iloc[start : start + step]
+                yield part, np.sqrt(self.squared(self.values(part), self.centers))
+
+    def assign(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Add the nearest center and the distance to it."""
+        for pdf, d in self.to_centers(batches):
+            cell = d.argmin(axis=1)
+            yield pdf.assign(_cell=cell.astype("int32"), _to_center=d[np.arange(len(d)), cell])
+
+    def reach(self, batches: Iterator[pd.DataFrame], keep: int) -> Iterator[pd.DataFrame]:
+        """Per query, a radius that holds its ``keep`` nearest points and the groups which that radius touches."""
+        filled = self.size > 0
+        for pdf, d in self.to_centers(batches):
+            rows = np.arange(len(d))
+            # all points of a group lie within d + hi, so enough groups in that order bound the radius as well
+            far = np.where(filled, d + self.hi, np.inf)
+            order = np.argsort(far, axis=1)
+            enough = np.cumsum(self.size[order], axis=1) >= keep
+            general = np.where(enough.any(axis=1), far[rows, order[rows, enough.argmax(axis=1)]], np.inf)
+            radius = np.fmin(general, pdf["_kth"].to_numpy(dtype=float))
+            possible = np.maximum(d - self.hi, self.lo - d)
+            own = pdf["_cell"].to_numpy()
+            between = np.sqrt(self.squared(self.centers[own], self.centers))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                plane = (d**2 - (d[rows, own] ** 2)[:, None]) / (2 * between)
+            possible = np.fmax(possible, np.where(np.isfinite(plane), plane, 0.0))
+            visit = filled & (possible <= radius[:, None] * _SLACK + _TINY)
+            yield pdf[["_q", *self.fcols]].assign(
+                _radius=radius,
+                _cells=[np.flatnonzero(v).astype("int32") for v in visit],
+                _away=[x[v] for x, v in zip(d, visit)],
+            )
+
+
+def _rings(placed: DataFrame, largest: int, block_rows: int) -> DataFrame:
+    """Points with ``_block``, their ring of at most ``block_rows`` points within their group."""
+    if largest <= block_rows:
+        return placed.withColumn("_block", F.lit(0))
+    ranked = position_in_group(placed, ["_cell"], ["_to_center", "neighbor"], "_place", unique=True)
+    ring = F.floor(F.col("_place") / block_rows).cast("int")
+    return pin(ranked.withColumn("_block", ring).drop("_place"), "rings")
 
 
 def nearest(
@@ -74,77 +138,63 @@ def nearest(
     block_rows: int = 2048,
 ) -> DataFrame:
     """The ``k`` nearest points of each query: query columns, ``rank`` from 1, ``neighbor``, ``distance``, carried
-    point columns prefixed ``n_``. Features and categorical columns are numeric, without nulls.
-    ``mismatch`` is the squared distance between two different categories.
+    point columns prefixed ``n_``. Features and categorical columns are numeric, without nulls; ids of points are
+    unique. ``mismatch`` is the squared distance between two different categories.
     """
     dims = [*features, *categorical]
     keep = k + 1 if exclude_self else k
-    n_num = len(features)
     fcols = [f"_f{i}" for i in range(len(dims))]
 
     def vectors() -> list[Column]:
         # + 0.0 makes -0.0 and 0.0 the same vector
         return [(F.col(c).cast("double") + F.lit(0.0)).alias(f) for c, f in zip(dims, fcols)]
 
-    # candidates: of equal points only the `keep` smallest ids can ever be chosen
+    # of equal points only the `keep` smallest ids can ever be chosen
     carried = [F.col(c).alias(f"n_{c}") for c in carry]
     by_id = Window.partitionBy(*fcols).orderBy("neighbor")
-    candidates = (
+    distinct_points = (
         points.select(F.col(id_col).alias("neighbor"), *vectors(), *carried)
         .withColumn("_copy", F.row_number().over(by_id))
         .filter(F.col("_copy") <= keep)
         .drop("_copy")
     )
-    candidates = pin(candidates, "candidates")
+    candidates = pin(distinct_points, "candidates")
     # at most `max_pivots` rows, spread by hash, reach the driver whatever the table size; a table that fits one
     # block needs no groups
     n_points = candidates.count()
     wanted = 1 if n_points <= block_rows else min(max_pivots, int(n_points**0.5))
     chosen = candidates.select("neighbor", *fcols).orderBy(hash_number("neighbor"), "neighbor").limit(wanted).toPandas()
-    centers = np.unique(chosen[fcols].to_numpy(dtype=float), axis=0)
-    if len(centers) == 0:
+    if len(chosen) == 0:
         raise ValueError("no points to search")
-
-    # rows handled at once, so that a distance matrix to all centers stays small
-    step = max(1, (4 << 20) // len(centers))
-
-    def sliced(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
-        for pdf in batches:
-            for start in range(0, len(pdf), step):
-                part = pdf.iloc[start : start + step]
-                yield part, np.sqrt(_squared(part[fcols].to_numpy(dtype=float), centers, n_num, mismatch))
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf, d in sliced(batches):
-            cell = d.argmin(axis=1)
-            yield pdf.assign(_cell=cell.astype("int32"), _to_center=d[np.arange(len(d)), cell])
+    groups = _Groups(fcols, len(features), mismatch, np.unique(chosen[fcols].to_numpy(dtype=float), axis=0))
 
     def with_cells(df: DataFrame) -> DataFrame:
-        return df.mapInPandas(assign, schema=f"{_ddl(df)}, _cell int, _to_center double")
+        return df.mapInPandas(groups.assign, schema=f"{_ddl(df)}, _cell int, _to_center double")
 
-    placed = pin(with_cells(candidates), "points")
+    in_cells = pin(with_cells(candidates), "points")
     vectors_asked = queries.select(*vectors()).groupBy(*fcols).agg(F.count("*").alias("_n")).drop("_n")
     asked = pin(with_cells(vectors_asked.withColumn("_q", F.md5(F.concat_ws(":", *fcols)))), "queries")
 
-    # per cell: how many points and how near and far they are; as many rows as pivots
-    stats = placed.groupBy("_cell").agg(
-        F.count("*").alias("n"), F.min("_to_center").alias("lo"), F.max("_to_center").alias("hi")
-    ).toPandas()
-    size = np.zeros(len(centers), dtype=np.int64)
-    lo, hi = np.full(len(centers), np.inf), np.full(len(centers), -np.inf)
-    size[stats["_cell"]], lo[stats["_cell"]], hi[stats["_cell"]] = stats["n"], stats["lo"], stats["hi"]
-    blocks = np.array([_ceil_div(n, block_rows) for n in size])
-    block_counts = F.array(*[F.lit(int(b)) for b in blocks])
-    point_block = F.pmod(hash_number("neighbor"), F.get(block_counts, F.col("_cell"))).cast("int")
-    placed = placed.withColumn("_block", point_block)
-    out_schema = f"_q string, _d2 double, {_ddl(candidates)}"
+    # as many rows as pivots
+    nearness = [F.min("_to_center").alias("lo"), F.max("_to_center").alias("hi")]
+    groups.count(in_cells.groupBy("_cell").agg(F.count("*").alias("n"), *nearness).toPandas())
+    placed = _rings(in_cells, groups.size.max(), block_rows)
+    # one row per group, with the rings in order
+    rings = pin(
+        placed.groupBy("_cell", "_block")
+        .agg(*nearness)
+        .groupBy("_cell")
+        .agg(F.array_sort(F.collect_list(F.struct("_block", "lo", "hi"))).alias("_rings")),
+        "ring-bounds",
+    )
     n_columns = list(candidates.columns)
+    out_schema = f"_q string, _d2 double, {_ddl(candidates)}"
 
-    def search(asked_part: DataFrame, radius: str | None) -> DataFrame:
-        """Best ``keep`` points of each (query, cell, block) row, the work cut to blocks on both sides."""
-        visits = pin(asked_part, "visits")
-        per_block = visits.groupBy("_cell", "_block").agg(F.count("*").alias("n"))
-        shares = per_block.select("_cell", "_block", F.ceil(F.col("n") / block_rows).cast("int").alias("_shares"))
+    def search(visits: DataFrame, radius: str | None) -> DataFrame:
+        """Best ``keep`` points per visit of a query to a ring, in blocks of limited size on both sides."""
+        visits = pin(visits, "visits")
+        per_ring = visits.groupBy("_cell", "_block").agg(F.count("*").alias("n"))
+        shares = per_ring.select("_cell", "_block", F.ceil(F.col("n") / block_rows).cast("int").alias("_shares"))
         left = lookup_join(visits, shares, ["_cell", "_block"], "inner").withColumn(
             "_share", F.pmod(hash_number("_q"), F.col("_shares")).cast("int")
         ).drop("_shares")
@@ -155,8 +205,8 @@ def nearest(
         def best(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
             if len(q) == 0 or len(p) == 0:
                 return pd.DataFrame(columns=["_q", "_d2", *n_columns])
-            d2 = _squared(q[fcols].to_numpy(dtype=float), p[fcols].to_numpy(dtype=float), n_num, mismatch)
-            within = (q[radius].to_numpy() * _SLACK) ** 2 + 1e-300 if radius else None
+            d2 = groups.squared(groups.values(q), groups.values(p))
+            within = (q[radius].to_numpy() * _SLACK) ** 2 + _TINY**2 if radius else None
             rows, cols = _smallest(d2, p["neighbor"].to_numpy(), keep, within)
             out = p[n_columns].iloc[cols].reset_index(drop=True)
             out.insert(0, "_d2", d2[rows, cols])
@@ -166,44 +216,28 @@ def nearest(
         keys = ["_cell", "_block", "_share"]
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(best, schema=out_schema)
 
-    # first visit: one block of the query's own cell bounds the k-th distance
-    own_block = F.pmod(hash_number("_q"), F.get(block_counts, F.col("_cell"))).cast("int")
-    if len(centers) > 1:
-        first = search(asked.withColumn("_block", own_block), None)
+    if n_points > block_rows:
+        own_ring = F.greatest(F.size(F.filter("_rings", lambda x: x["lo"] <= F.col("_to_center"))) - 1, F.lit(0))
+        first = search(lookup_join(asked, rings, ["_cell"], "inner").withColumn("_block", own_ring).drop("_rings"), None)
         bound = first.groupBy("_q").agg(F.count("*").alias("_n"), F.sqrt(F.max("_d2")).alias("_kth")).select(
             "_q", F.when(F.col("_n") >= keep, F.col("_kth")).alias("_kth")
         )
-        bounded = asked.join(bound, "_q", "left")
+        bounded = pin(asked.join(bound, "_q", "left"), "bounded")
     else:
         bounded = asked.withColumn("_kth", F.lit(None).cast("double"))
 
-    def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filled = size > 0
-        for pdf, d in sliced(batches):
-            # all points of a cell lie within d + hi: enough cells in that order also bound the k-th distance
-            far = np.where(filled, d + hi, np.inf)
-            order = np.argsort(far, axis=1)
-            enough = np.cumsum(size[order], axis=1) >= keep
-            at = enough.argmax(axis=1)
-            rows = np.arange(len(d))
-            general = np.where(enough.any(axis=1), far[rows, order[rows, at]], np.inf)
-            kth = pdf["_kth"].to_numpy(dtype=float)
-            radius = np.fmin(general, kth)
-            nearest_possible = np.maximum(d - hi, lo - d)
-            own = pdf["_cell"].to_numpy()
-            between = np.sqrt(_squared(centers[own], centers, n_num, mismatch))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (d**2 - (d[rows, own] ** 2)[:, None]) / (2 * between)
-            nearest_possible = np.fmax(nearest_possible, np.where(np.isfinite(plane), plane, 0.0))
-            visit = filled & (nearest_possible <= radius[:, None] * _SLACK + 1e-12)
-            pdf = pdf.assign(_radius=radius, _cells=[np.flatnonzero(v).astype("int32") for v in visit])
-            yield pdf[["_q", *fcols, "_radius", "_cells"]]
-
-    reach_schema = ", ".join(["_q string", *[f"{f} double" for f in fcols], "_radius double", "_cells array<int>"])
-    visits = (
-        bounded.mapInPandas(reachable, schema=reach_schema)
-        .select("_q", *fcols, "_radius", F.explode("_cells").alias("_cell"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.get(block_counts, F.col("_cell")) - 1)).alias("_block"))
+    numbers = [f"{f} double" for f in fcols]
+    reached = bounded.mapInPandas(
+        lambda batches: groups.reach(batches, keep),
+        schema=", ".join(["_q string", *numbers, "_radius double", "_cells array<int>", "_away array<double>"]),
+    ).select("_q", *fcols, "_radius", F.inline(F.arrays_zip("_cells", "_away")))
+    reached = reached.withColumnsRenamed({"_cells": "_cell"})
+    limit = F.col("_radius") * _SLACK + _TINY
+    touched = F.filter(
+        "_rings", lambda x: (x["lo"] - F.col("_away") <= limit) & (F.col("_away") - x["hi"] <= limit)
+    )
+    visits = lookup_join(reached, rings, ["_cell"], "inner").select(
+        "_q", *fcols, "_radius", "_cell", F.explode(F.transform(touched, lambda x: x["_block"])).alias("_block")
     )
     found = search(visits, "_radius")
     best_first = Window.partitionBy("_q").orderBy("_d2", "neighbor")

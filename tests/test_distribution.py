@@ -133,7 +133,7 @@ def test_neighbours_equal_brute_force(spark, n_dims, penalty, exclude_self):
     df = spark.createDataFrame(points)
     near = nearest(
         df, df, id_col="id", features=dims, categorical=["c"] if penalty else [], mismatch=penalty, k=4, carry=["lab"],
-        exclude_self=exclude_self, block_rows=64, max_pivots=12,
+        exclude_self=exclude_self, block_rows=40, max_pivots=6,
     )
     rows = near.orderBy("id", "rank").toPandas()
     assert (rows["n_lab"] == rows["neighbor"] % 7).all()
