@@ -21,9 +21,10 @@ def once_per_key(stream: DataFrame, keys: Sequence[str], time: str, delay: str)
     return timed.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def cursor(df: DataFrame, kind: str, key: str, time: str) -> DataFrame:
-    """Full name of the newest record, as the position to continue from."""
-    return df.agg(F.max_by(full_name(kind, key), F.struct(time, key)).alias("cursor"))
+def cursor(df: DataFrame, kind: str, key: str, time: str, previous: str | None = None) -> DataFrame:
+    """Full name of the newest record, as the position to continue from; ``previous`` stays if there is none."""
+    newest = F.max_by(full_name(kind, key), F.struct(time, key))
+    return df.agg(F.coalesce(newest, F.lit(previous)).alias("cursor"))
 
 
 class LatestImage:

@@ -81,6 +81,7 @@ def test_each_key_once_over_restarts(spark, tmp_path):
     assert sorted(r["id"] for r in out.collect()) == ["0", "1", "2", "3", "4", "9"]
     named = out.withColumn("kind", F.lit("t3"))
     assert cursor(named, "kind", "id", "ts").first()["cursor"] == "t3_9"
+    assert cursor(named.limit(0), "kind", "id", "ts", previous="t3_9").first()["cursor"] == "t3_9"
 
 
 def test_latest_image_and_compaction(spark, tmp_path):
