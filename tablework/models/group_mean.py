@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, Param, Params, TypeConverters
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.operators.joins import lookup_join
 
 
 class _GroupMeanParams(HasLabelCol, HasPredictionCol):
+    """Parameters of the regressor and its model."""
+
     groupCol = Param(Params._dummy(), "groupCol", "column whose groups are averaged", TypeConverters.toString)
 
 
@@ -28,7 +30,18 @@ class GroupMeanModel(Model, _GroupMeanParams):
         return joined.withColumn(name, F.coalesce(name, F.lit(self.overall)))
 
     def save_means(self, path: str) -> None:
-        self.means.withColumn("overall", F.lit(self.overall)).write.parquet(path)
+        """Store the means, with the overall mean under no group of its own."""
+        overall = self.means.sparkSession.range(1).select(F.lit(self.overall).alias("mean"), F.lit(True).alias("overall"))
+        marked = self.means.withColumn("overall", F.lit(False))
+        marked.unionByName(overall, allowMissingColumns=True).write.parquet(path)
+
+    @classmethod
+    def load_means(cls, spark: SparkSession, path: str, **params: str) -> GroupMeanModel:
+        """A stored model; ``params`` are those of the regressor."""
+        stored = spark.read.parquet(path)
+        overall = stored.filter("overall").first()["mean"]
+        model = cls(stored.filter("not overall").drop("overall"), overall)
+        return model._set(**params)
 
 
 class GroupMeanRegressor(Estimator, _GroupMeanParams):

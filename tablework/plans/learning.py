@@ -38,12 +38,13 @@ def labelled(t: Tables) -> DataFrame:
         return F.regexp_count("text", F.lit(pattern))
 
     lang = F.array_position(F.array(*[F.lit(x) for x in LANGS]), F.col("lang"))
-    joined = t.documents.join(t.labels, "doc_id")
-    return pin(joined.select(
+    # measured before the join, so that no text is shuffled
+    measured = t.documents.select(
         "doc_id", "n_chars", (count(r"\n") + 1).alias("n_lines"), count("[A-Z]").alias("n_upper"),
         count("[0-9]").alias("n_digits"), count("[.,;:!?]").alias("n_marks"),
-        F.when(lang > 0, lang - 1).otherwise(len(LANGS)).cast("int").alias("lang_code"), "quality", "toxic",
-    ), "labelled")
+        F.when(lang > 0, lang - 1).otherwise(len(LANGS)).cast("int").alias("lang_code"),
+    )
+    return pin(measured.join(t.labels.select("doc_id", "quality", "toxic"), "doc_id"), "labelled")
 
 
 @query("""

@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 from tablework.functions.hashing import hash_number, hash_unit
 from tablework.models import training
-from tablework.models.group_mean import GroupMeanRegressor
+from tablework.models.group_mean import GroupMeanModel, GroupMeanRegressor
 from tablework.operators import evaluate, features
 from tablework.operators.counts import category_widths
 
 
-def test_unseen_group_gets_the_overall_mean(spark):
+def test_unseen_group_gets_the_overall_mean(spark, tmp_path):
     train = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0)], "city string, stars double")
     test = spark.createDataFrame([("a",), ("z",), (None,)], "city string")
     model = GroupMeanRegressor(groupCol="city", labelCol="stars").fit(train)
     assert {r["city"]: r["prediction"] for r in model.transform(test).collect()} == {"a": 2.0, "z": 3.0, None: 3.0}
+    model.save_means(str(tmp_path / "means"))
+    again = GroupMeanModel.load_means(spark, str(tmp_path / "means"), groupCol="city", predictionCol="p")
+    assert {r["city"]: r["p"] for r in again.transform(test).collect()} == {"a": 2.0, "z": 3.0, None: 3.0}
 
 
 def test_constant_column_scales_to_zero(spark):
