@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from tablework.functions.dates import iso_utc
 
-# Fields of a post on a page and their types.
-POST_FIELDS = (
-    "subreddit string, title string, selftext string, upvote_ratio double, ups double, downs double, score double, "
-    "created_utc double, id string"
+# Layout of a page and of the posts on it.
+PAGE_SCHEMA = (
+    "data struct<children: array<struct<kind: string, data: struct<subreddit: string, title: string, "
+    "selftext: string, upvote_ratio: double, ups: double, downs: double, score: double, created_utc: double, "
+    "id: string>>>>"
 )
-PAGE_SCHEMA = f"data struct<children: array<struct<kind: string, data: struct<{POST_FIELDS.replace(' string', ': string').replace(' double', ': double')}>>>>"
 
 
 def posts(pages: DataFrame) -> DataFrame:

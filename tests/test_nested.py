@@ -1,7 +1,6 @@
 """Flattening, child tables, sets and attribute encoding."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tablework.operators.nested import (
     encode_attributes, flatten_struct, indicator_map, recipe_table, relationalize, search_parameters,
