@@ -14,6 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
 #: distinct words that a task remembers; a forgotten word is folded again
 REMEMBERED = 1 << 20
@@ -198,7 +199,6 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: s
             found = pa.array([np.frombuffer(x, "<i4") for x in encode(texts)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, ids])
 
-    from pyspark.sql.types import ArrayType, IntegerType, StructType
     return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(ids, ArrayType(IntegerType())))
 
 
@@ -237,5 +237,4 @@ def decode_ids(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out:
             found = [None if x is None else b"".join(map(pieces.__getitem__, x)) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, out])
 
-    from pyspark.sql.types import BinaryType, StructType
     return rows.mapInArrow(run, StructType([*rows.schema.fields]).add(out, BinaryType()))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, exact, urls, warc
+from tablework.llm import bpe, chat, contamination, exact, language, toxicity, urls, warc
 from tablework.plans.registry import Tables
 from tablework.session import pin, prepare, scratch
 
@@ -28,6 +28,45 @@ def operator(sql: str | None = None):
     return register
 
 
+@operator()
+def op1_language_id(t: Tables) -> DataFrame:
+    """Learned from the rows that are not held out, applied to all."""
+    docs = t.documents.select("doc_id", "text", "lang").withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+    filters = language.learn_filters(docs.filter("NOT held_out"))
+    return language.identify(docs.select("doc_id", "held_out", "text"), filters).drop("text")
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_CONTAMINATION_SQL = f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, list_slice(w, i::BIGINT, (i + least(len(w), 13) - 1)::BIGINT) AS win, least(len(w), 13) AS n
+  FROM items, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS u(i) WHERE len(w) > 0),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sizes AS (SELECT DISTINCT n FROM wins),
+spans AS (
+  SELECT doc_id, i, n, list_slice(w, i::BIGINT, (i + n - 1)::BIGINT) AS win
+  FROM docs, sizes, unnest(range(1, len(w) - n + 2)) AS u(i)),
+occ AS (SELECT doc_id, i, s.n, item_id FROM spans s JOIN wins USING (win)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM occ, unnest(range(i, i + n)) AS u(k) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@operator(_CONTAMINATION_SQL)
+def op2_decontaminate(t: Tables) -> DataFrame:
+    found = contamination.contamination(t.documents, t.benchmark)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 _CHAT_SQL = """
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -76,6 +115,9 @@ def op6_byte_bpe(t: Tables) -> DataFrame:
     return bpe.token_digests(t.documents, ranks, public_tokenizers.PATTERN)
 
 
+#: score from which a text counts as toxic
+TOXIC = 0.3
+
 URL_RULES = [
     urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"),
     urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/"),
@@ -87,6 +129,14 @@ def op7_url_filter(t: Tables) -> DataFrame:
     return urls.judge_urls(t.pages, URL_RULES)
 
 
+@operator()
+def op8_toxicity(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id", "text")
+    model = toxicity.learn(docs, t.labels)
+    scored = toxicity.score_texts(docs.withColumn("held_out", toxicity.held_out(F.col("doc_id"))), model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
+
+
 @operator("""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
 d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest, md5(body) AS other FROM p),
