@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, contamination, exact, language, toxicity, urls, warc
+from tablework.llm import bpe, chat, contamination, exact, jaccard, language, toxicity, urls, warc
 from tablework.plans.registry import Tables
 from tablework.session import pin, prepare, scratch
 
@@ -137,6 +137,29 @@ def op8_toxicity(t: Tables) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
 
 
+_JACCARD_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i::BIGINT, (i + 4)::BIGINT), ' ') AS g
+      FROM w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+t AS (SELECT s.* FROM s SEMI JOIN shared USING (g)),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT a, b FROM ways UNION SELECT r.a, x.b FROM reach r JOIN ways x ON r.b = x.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, m) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
+"""
+
+
+@operator(_JACCARD_SQL)
+def op9_jaccard_join(t: Tables) -> DataFrame:
+    return jaccard.similar_documents(t.documents)
+
+
 @operator("""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
 d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest, md5(body) AS other FROM p),
