@@ -51,5 +51,7 @@ def exact_groups(
 
 def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; of rows that repeat the id that stays, one."""
-    keep = exact_groups(docs, id, text).filter("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, F.col(id).eqNullSafe(F.col("__keep")), "left_semi").dropDuplicates([id])
+    keep = exact_groups(docs, id, text).filter("kept").select(F.col("doc_id").alias("keep")).distinct()
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id).alias("doc_id"))
+    rows = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("keep")), "left_semi").dropDuplicates(["doc_id"])
+    return rows.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))

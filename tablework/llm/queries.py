@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, contamination, exact, jaccard, language, toxicity, urls, warc
+from tablework.llm import bpe, chat, contamination, exact, jaccard, language, lines, toxicity, urls, warc
 from tablework.plans.registry import Tables
 from tablework.session import pin, prepare, scratch
 
@@ -109,6 +109,11 @@ def op4_exact_dedup(t: Tables) -> DataFrame:
     return exact.exact_groups(t.documents)
 
 
+@operator()
+def op5_line_dedup(t: Tables) -> DataFrame:
+    return lines.line_report(t.documents)
+
+
 @operator()
 def op6_byte_bpe(t: Tables) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
