@@ -30,10 +30,10 @@ def top_codes(counts: DataFrame, k: int = 5) -> DataFrame:
     return counts.orderBy(F.desc("n"), "code").limit(k)
 
 
-def entities_with_codes(facts: DataFrame, entity: str, code: str, codes: DataFrame, max_codes: int) -> DataFrame:
-    """Number of distinct entities with at least one of the codes, which are limited to ``max_codes``."""
-    wanted = codes.select(F.col("code").alias("_code")).limit(max_codes)
-    hits = facts.join(F.broadcast(wanted), F.col(code).cast("string") == F.col("_code"), "left_semi")
+def entities_with_codes(facts: DataFrame, entity: str, code: str, codes: DataFrame) -> DataFrame:
+    """Number of distinct entities with at least one of the codes."""
+    wanted = codes.select(F.col("code").cast("string").alias("_code")).distinct()
+    hits = facts.join(wanted, F.col(code).cast("string") == F.col("_code"), "left_semi")
     return hits.select(entity).distinct().agg(F.count("*").alias("n_entities"))
 
 

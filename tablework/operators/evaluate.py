@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 
 def r2(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """1 - SSE / SST, from sums; null when the label is constant."""
-    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    """1 - SSE / SST, from sums over the rows with a label; null when the label is constant.
+
+    A labelled row without a prediction has no error to count, so it fails the query instead of raising the score.
+    """
+    df = df.filter(F.col(label).isNotNull())
+    missing = F.raise_error(F.lit("a labelled row has no prediction")).cast("double")
+    y, p = F.col(label).cast("double"), F.coalesce(F.col(prediction).cast("double"), missing)
     sums = df.agg(
         F.sum((y - p) * (y - p)).alias("sse"), (F.var_pop(y) * F.count(y)).alias("sst")
     )
@@ -18,8 +23,9 @@ def r2(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Share of equal labels, and the same in whole percent."""
-    share = F.avg((F.col(label) == F.col(prediction)).cast("double"))
+    """Share of equal labels, and the same in whole percent; a labelled row without a prediction counts as wrong."""
+    hit = F.coalesce(F.col(label) == F.col(prediction), F.lit(False))
+    share = F.avg(F.when(F.col(label).isNotNull(), hit.cast("double")))
     return df.agg(share.alias("accuracy")).select("accuracy", F.round(100 * F.col("accuracy")).cast("int").alias("percent"))
 
 

@@ -35,7 +35,8 @@ def is_hot(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Colu
     hot = [t["item"] for t in found["top"] if t["count"] > found["n"] * share]
     if not hot:
         return None
-    return reduce(lambda a, b: a | b, [item.eqNullSafe(F.lit(h)) for h in hot])
+    listed = F.coalesce(item.isin([h for h in hot if h is not None]), F.lit(False))
+    return listed | item.isNull() if None in hot else listed
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:

@@ -138,8 +138,8 @@ def nearest(
     block_rows: int = 2048,
 ) -> DataFrame:
     """The ``k`` nearest points of each query: query columns, ``rank`` from 1, ``neighbor``, ``distance``, carried
-    point columns prefixed ``n_``. Features and categorical columns are numeric, without nulls; ids of points are
-    unique. ``mismatch`` is the squared distance between two different categories.
+    point columns prefixed ``n_``. Features and categorical columns are numeric, and a null in one is an error; ids of
+    points are unique. ``mismatch`` is the squared distance between two different categories.
     """
     dims = [*features, *categorical]
     keep = k + 1 if exclude_self else k
@@ -147,7 +147,10 @@ def nearest(
 
     def vectors() -> list[Column]:
         # + 0.0 makes -0.0 and 0.0 the same vector
-        return [(F.col(c).cast("double") + F.lit(0.0)).alias(f) for c, f in zip(dims, fcols)]
+        return [
+            (F.coalesce(F.col(c).cast("double"), F.raise_error(F.lit(f"{c} is null")).cast("double")) + F.lit(0.0)).alias(f)
+            for c, f in zip(dims, fcols)
+        ]
 
     # of equal points only the `keep` smallest ids can ever be chosen
     carried = [F.col(c).alias(f"n_{c}") for c in carry]

@@ -82,7 +82,8 @@ def encode_attributes(df: DataFrame, key: str, attributes: str) -> DataFrame:
     """Attribute JSON to rows (key, feature, value), one level deep.
 
     Text ``v`` under ``k`` becomes feature ``k_v`` with 1, a boolean becomes 0 or 1, a number keeps its value and a
-    nested map is prefixed with its key. Text that is not JSON and null attributes give no rows.
+    nested map is prefixed with its key. Lists, and maps below that level, count as their JSON text. Text that is not
+    JSON and null attributes give no rows.
     """
     tvf = df.sparkSession.tvf
     top = tvf.variant_explode(F.col("_attributes").outer()).select(
@@ -109,10 +110,12 @@ def encode_attributes(df: DataFrame, key: str, attributes: str) -> DataFrame:
     def read(kind: str) -> Column:
         return F.try_variant_get("_value", "$", kind)
 
-    is_text, is_flag = F.col("_kind") == "STRING", F.col("_kind") == "BOOLEAN"
+    is_deep = F.col("_kind").startswith("ARRAY") | F.col("_kind").startswith("OBJECT")
+    is_text, is_flag = (F.col("_kind") == "STRING") | is_deep, F.col("_kind") == "BOOLEAN"
+    text = F.when(is_deep, F.to_json("_value")).otherwise(read("string"))
     return flat.select(
         key,
-        F.when(is_text, F.concat_ws("_", F.col("_name"), read("string"))).otherwise(F.col("_name")).alias("feature"),
+        F.when(is_text, F.concat_ws("_", F.col("_name"), text)).otherwise(F.col("_name")).alias("feature"),
         F.when(is_text, F.lit(1.0))
         .when(is_flag, read("boolean").cast("int").cast("double"))
         .otherwise(read("double"))

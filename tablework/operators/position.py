@@ -95,26 +95,26 @@ def batches_of_n(
     return batched.drop("_position")
 
 
-def list_per_key(df: DataFrame, key: str, value: str, name: str, chunk: int = 10_000) -> DataFrame:
-    """Sorted lists of a key's distinct values in pieces of at most ``chunk`` values.
+def list_per_key(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """One row per key with the sorted list of its distinct values.
 
-    A key with fewer values has the one piece 0. A key that holds a large share of all rows continues in further
-    pieces, since no single row could carry its list.
+    A list is one value of one row; for keys whose list would not fit a row there is ``values_in_order``.
     """
     pairs = df.select(key, value).filter(F.col(value).isNotNull()).dropDuplicates()
-    placed = position_in_group(pairs, [key], [value], unique=True)
-    return (
-        placed.withColumn("piece", F.floor(F.col("position") / chunk).cast("long"))
-        .groupBy(key, "piece")
-        .agg(F.array_sort(F.collect_list(value)).alias(name))
-    )
+    return pairs.groupBy(key).agg(F.array_sort(F.collect_list(value)).alias(name))
+
+
+def values_in_order(df: DataFrame, key: str, value: str, name: str = "position") -> DataFrame:
+    """The same in long form: (key, value, position), without gathering a key in one task."""
+    pairs = df.select(key, value).filter(F.col(value).isNotNull()).dropDuplicates()
+    return position_in_group(pairs, [key], [value], name, unique=True)
 
 
 def rolling_mean(
     df: DataFrame, order: Sequence[str | Column], value: str, window: int, name: str, block: int = 1 << 16,
     *, unique: bool = False,
 ) -> DataFrame:
-    """Mean of the last ``window`` values in ``order``; null until ``window`` rows are present.
+    """Mean of the last ``window`` values in ``order``; null where fewer rows, or a null among them, are there.
 
     Positions are cut into blocks, each preceded by a copy of the ``window`` rows before it. A running sum inside
     the block, less the running sum ``window`` rows earlier, gives each mean in constant time per row.
@@ -125,12 +125,13 @@ def rolling_mean(
     copies = F.when(F.col("_position") % block >= block - window, F.array(home, home + 1)).otherwise(F.array(home))
     spread = placed.select("*", home.alias("_home"), F.explode(copies).alias("_block"))
     in_block = Window.partitionBy("_block").orderBy("_position")
-    running = spread.withColumn("_sum", F.sum(value).over(in_block)).withColumn(
-        "_earlier", F.lag("_sum", window).over(in_block)
+    totals = {"_sum": F.coalesce(F.sum(value).over(in_block), F.lit(0)), "_seen": F.count(value).over(in_block)}
+    running = spread.withColumns(totals).withColumns(
+        {f"{c}_before": F.coalesce(F.lag(c, window).over(in_block), F.lit(0)) for c in totals}
     )
-    mean = (F.col("_sum") - F.coalesce("_earlier", F.lit(0))).cast("double") / window
+    mean = (F.col("_sum") - F.col("_sum_before")).cast("double") / window
     return (
         running.filter(F.col("_block") == F.col("_home"))
-        .withColumn(name, F.when(F.col("_position") >= window - 1, mean))
-        .drop("_position", "_home", "_block", "_sum", "_earlier")
+        .withColumn(name, F.when(F.col("_seen") - F.col("_seen_before") == window, mean))
+        .drop("_position", "_home", "_block", *totals, *[f"{c}_before" for c in totals])
     )

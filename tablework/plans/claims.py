@@ -46,7 +46,7 @@ def top_valid_codes(t: Tables) -> DataFrame:
     SELECT count(DISTINCT l_suppkey) AS n_entities FROM lineitem
     WHERE CAST(l_partkey AS VARCHAR) IN (SELECT code FROM ({TOP_VALID}))""")
 def patients_of_top_codes(t: Tables) -> DataFrame:
-    return entities_with_codes(t.lineitem, "l_suppkey", "l_partkey", top_valid_codes(t), 5)
+    return entities_with_codes(t.lineitem, "l_suppkey", "l_partkey", top_valid_codes(t))
 
 
 @query(f"""

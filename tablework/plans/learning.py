@@ -79,10 +79,13 @@ def class_balance(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT event_id, CASE WHEN count(*) OVER w >= 1000 THEN round(avg(value) OVER w, 6) END AS mean FROM events
+    SELECT event_id, CASE WHEN count(v) OVER w = 1000 THEN round(avg(v) OVER w, 6) END AS mean
+    FROM (SELECT *, CASE WHEN event_id % 4000 <> 17 THEN value END AS v FROM events)
     WINDOW w AS (ORDER BY ts, event_id ROWS 999 PRECEDING)""")
 def rolling_mean(t: Tables) -> DataFrame:
-    values = t.events.select("event_id", "ts", F.col("value").cast("decimal(18,4)").alias("value"))
+    """A window with a missing value has no mean."""
+    value = F.when(F.col("event_id") % 4000 != 17, F.col("value").cast("decimal(18,4)"))
+    values = t.events.select("event_id", "ts", value.alias("value"))
     means = moving_mean(values, ["ts", "event_id"], "value", 1000, "mean")
     return means.select("event_id", F.round("mean", 6).alias("mean"))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablework.functions.dates import to_timestamp_or_null
+from tablework.functions.dates import rejected, to_timestamp_or_null
 from tablework.operators.counts import schema_report as report_schema
 from tablework.operators.counts import text_widths
 from tablework.operators.joins import lookup_join
@@ -36,20 +36,28 @@ def join_postings(master: DataFrame, title: DataFrame, timelog: DataFrame, *arri
 
     Each table is cut to the row that wins for its job before the joins: an open removal over a dated one, then the
     latest; for the others the last by the ``arrival`` columns. So copies of a job neither multiply nor meet in
-    one task. Dates that do not parse become null.
+    one task. Dates that do not parse become null and are counted in ``rejected_dates``; a job whose removals are all
+    unreadable has no removal date, but ``is_open`` is false, as only a missing text means open.
     """
     latest = [F.desc(c) for c in arrival]
-    ended = timelog.select("job_id", to_timestamp_or_null("remove_date").alias("d"))
-    # an open row has no date, so a date stands only where every row of the job has one
-    end = F.when(F.count("d") == F.count(F.lit(1)), F.max("d"))
-    one_log = ended.groupBy("job_id").agg(end.alias("remove_date"))
+    ended = timelog.select("job_id", F.col("remove_date").alias("text"), to_timestamp_or_null("remove_date").alias("d"))
+    # an open row has no text, so a date stands only where every row of the job has one
+    closed = F.count("text") == F.count(F.lit(1))
+    one_log = ended.groupBy("job_id").agg(
+        F.when(closed, F.max("d")).alias("remove_date"), (~closed).alias("no_end"), rejected("text", "d").alias("bad_ends")
+    )
     one_title = newest(title, ["job_id"], [*latest, F.desc("title")]).select("job_id", "title")
     one_master = newest(master, ["job_id"], [*latest, F.desc("post_date")])
     return (
         one_master.join(one_title, "job_id", "left")
         .join(one_log, "job_id", "left")
-        .select("job_id", "company", to_timestamp_or_null("post_date").alias("post_date"), "salary", "city", "title",
-                "remove_date")
+        .withColumn("posted", to_timestamp_or_null("post_date"))
+        .select(
+            "job_id", "company", F.col("posted").alias("post_date"), "salary", "city", "title", "remove_date",
+            F.coalesce("no_end", F.lit(True)).alias("is_open"),
+            (F.coalesce("bad_ends", F.lit(0)) + (F.col("post_date").isNotNull() & F.col("posted").isNull()).cast("long"))
+            .alias("rejected_dates"),
+        )
     )
 
 
@@ -117,11 +125,19 @@ def monthly_activity(t: Tables) -> DataFrame:
 @query("""
     SELECT o_orderkey AS job_id, c_name AS company, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS post_date,
            o_totalprice AS salary, n_name AS city, o_orderpriority AS title,
-           strftime(e.b, '%Y-%m-%d %H:%M:%S') AS remove_date
+           strftime(e.b, '%Y-%m-%d %H:%M:%S') AS remove_date, l_orderkey IS NULL AS is_open,
+           coalesce(bad, 0)::BIGINT AS rejected_dates
     FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
-    LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS b FROM lineitem GROUP BY 1) e ON o_orderkey = l_orderkey""")
+    LEFT JOIN (SELECT l_orderkey, max(l_shipdate) FILTER (l_orderkey % 7 <> 0 OR l_linenumber > 2) AS b,
+                      count(*) FILTER (l_orderkey % 7 = 0 AND l_linenumber <= 2) AS bad FROM lineitem GROUP BY 1) e
+      ON o_orderkey = l_orderkey""")
 def posting_join(t: Tables) -> DataFrame:
-    joined = join_postings(*_delivery(t))
+    """Some removal dates can't be read: they are counted, and don't open a posting again."""
+    master, title, _ = _delivery(t)
+    bad = (F.col("l_orderkey") % 7 == 0) & (F.col("l_linenumber") <= 2)
+    text = F.when(bad, F.lit("soon")).otherwise(F.date_format("l_shipdate", TIMESTAMP_TEXT))
+    timelog = t.lineitem.select(F.col("l_orderkey").alias("job_id"), text.alias("remove_date"))
+    joined = join_postings(master, title, timelog)
     return joined.withColumns({c: F.date_format(c, TIMESTAMP_TEXT) for c in ("post_date", "remove_date")})
 
 
@@ -135,7 +151,8 @@ def bucketed_join(t: Tables) -> DataFrame:
     lines = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), "l_extendedprice", "l_discount")
     heads = t.orders.select(F.col("o_orderkey").alias("orderkey"), "o_orderstatus")
     buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))  # as many as the cluster uses for any shuffle
-    facts = bucketed(lines, f"{database}.lines", f"{path}/lines", "orderkey", buckets)
+    # a small share makes many keys hot on one side and not on the other
+    facts = bucketed(lines, f"{database}.lines", f"{path}/lines", "orderkey", buckets, share=0.001)
     lookup = bucketed(heads, f"{database}.heads", f"{path}/heads", "orderkey", buckets)
     price = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     return join_bucketed(facts, lookup, "orderkey").groupBy("o_orderstatus").agg(
@@ -174,11 +191,12 @@ def upsert(t: Tables) -> DataFrame:
 
 @query("""
     SELECT conv_id, turn, role, text FROM (
-      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY (role = 'user') DESC, turn DESC) AS r
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(role = 'user', FALSE) DESC, turn DESC) AS r
       FROM conversations) WHERE r = 1""")
 def merge_keep_last(t: Tables) -> DataFrame:
     """The turns of users arrive after those of all other roles; the last arrival per conversation stays."""
-    old, new = t.conversations.filter("role <> 'user'"), t.conversations.filter("role = 'user'")
+    of_user = F.coalesce(F.col("role") == "user", F.lit(False))
+    old, new = t.conversations.filter(~of_user), t.conversations.filter(of_user)
     return merge([old, new], ["conv_id"], [F.desc("turn")]).select("conv_id", "turn", "role", "text")
 
 

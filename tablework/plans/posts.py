@@ -18,7 +18,7 @@ from tablework.session import scratch
 from tablework.sinks.files import append_json
 from tablework.sources.pages import posts_from_text
 from tablework.streaming.ingest import enrich_posts, file_stream, ingest
-from tablework.streaming.keyed import LatestImage, cursor, once_per_key
+from tablework.streaming.keyed import LatestImage, OncePerKey, cursor
 from tablework.streaming.zones import run_zone
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -173,19 +173,22 @@ def stream_two_stage(t: Tables) -> DataFrame:
     return _read_sink(t, f"{base}/final", "event_id long, kind string, score double")
 
 
-@query("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS seen FROM events")
+@query("""
+    SELECT event_id, strftime(CASE WHEN event_id % 100 = 0 THEN ts - INTERVAL 400 DAY ELSE ts END, '%Y-%m-%d %H:%M:%S') AS seen
+    FROM events""")
 def stream_dedup(t: Tables) -> DataFrame:
-    """All events are sent twice, the second time after a restart; each leaves once."""
+    """All events are sent twice, the second time after a restart, with some first sent then, from long before; each
+    leaves once."""
     base = scratch(t.spark, "dedup")
-    events = t.events.select("event_id", "ts")
-    for _ in range(2):
-        _land(events, f"{base}/in")
+    late = F.col("event_id") % 100 == 0
+    ts = F.when(late, F.col("ts") - F.expr("INTERVAL 400 DAY")).otherwise(F.col("ts"))
+    events = t.events.select("event_id", ts.alias("ts"))
+    sink = OncePerKey(t.spark, f"{base}/out", events.schema, ["event_id"], "ts")
+    for part in (events.filter(~late), events):
+        _land(part, f"{base}/in")
         stream = file_stream(t.spark, f"{base}/in", events.schema, files_per_trigger=_files_per_trigger(t))
-        once = once_per_key(stream, ["event_id"], "ts", "60 days").writeStream.format("parquet")
-        once = once.option("checkpointLocation", f"{base}/state").trigger(availableNow=True)
-        once.start(f"{base}/out").awaitTermination()
-    out = t.spark.read.parquet(f"{base}/out")
-    return out.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("seen"))
+        sink.run(stream, f"{base}/state")
+    return sink.read().select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("seen"))
 
 
 @query("SELECT event_type || '_' || event_id AS cursor FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
@@ -202,8 +205,9 @@ def stream_upsert(t: Tables) -> DataFrame:
     base = scratch(t.spark, "upsert-stream")
     events = t.events.select("event_id", "ts", "user_id", "value")
     image = LatestImage(t.spark, f"{base}/out", events.schema, ["user_id"], [F.desc("ts"), F.desc("event_id")])
-    for first, last in (("2000-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2100-01-01")):
-        span = (F.col("ts") >= F.lit(first).cast("timestamp_ntz")) & (F.col("ts") < F.lit(last).cast("timestamp_ntz"))
+    second, third = (
+        F.coalesce(F.col("ts") >= F.lit(day).cast("timestamp_ntz"), F.lit(False)) for day in ("2024-01-10", "2024-01-20"))
+    for span in (~second, second & ~third, third):  # every event, also without a time, is in one of them
         _land(events.filter(span), f"{base}/in")
         image.run(file_stream(t.spark, f"{base}/in", events.schema), f"{base}/state")
     return image.read().select("user_id", "event_id", "value")

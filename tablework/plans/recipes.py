@@ -122,11 +122,9 @@ def batches_of_n(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT o_custkey, CAST(floor(p / 8) AS BIGINT) AS piece, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)
-      AS orders FROM (
-      SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS p FROM orders)
-    GROUP BY ALL""")
+    SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS orders
+    FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders) GROUP BY o_custkey""")
 def user_recipe_ids(t: Tables) -> DataFrame:
-    """Order keys per customer, in lists of at most eight."""
-    lists = list_per_key(t.orders, "o_custkey", "o_orderkey", "orders", chunk=8)
-    return lists.select("o_custkey", "piece", F.array_join("orders", ",").alias("orders"))
+    """All order keys of each customer, in one list."""
+    lists = list_per_key(t.orders, "o_custkey", "o_orderkey", "orders")
+    return lists.select("o_custkey", F.array_join("orders", ",").alias("orders"))

@@ -51,28 +51,28 @@ def bucketed(
 
 
 def join_bucketed(
-    facts: tuple[DataFrame, DataFrame], lookup: tuple[DataFrame, DataFrame], key: str, how: str = "inner",
-    *, share: float = HOT_SHARE,
+    facts: tuple[DataFrame, DataFrame], lookup: tuple[DataFrame, DataFrame], key: str, how: str = "inner"
 ) -> DataFrame:
     """Join two tables saved by ``bucketed`` under one key name, the lookup with one row per key.
 
-    The bucketed parts meet without a shuffle. The facts' hot keys, at most ``1 / share``, meet their lookup rows
-    by broadcast.
+    ``how`` is one of inner, left, left_semi and left_anti. The bucketed parts meet without a shuffle. The facts' hot
+    keys, however many their share let through, are joined to the whole lookup, where adaptive execution broadcasts
+    a small side or splits a skewed one.
     """
     cold, hot = facts
     wanted, wanted_hot = lookup
-    cold_part = cold.join(wanted.unionByName(wanted_hot) if not wanted_hot.isEmpty() else wanted, key, how)
-    hot_keys = [r[0] for r in hot.select(key).distinct().limit(int(1 / share) + 1).collect()]
-    if not hot_keys:
+    everything = wanted.unionByName(wanted_hot)
+    cold_part = cold.join(wanted if wanted_hot.isEmpty() else everything, key, how)
+    if hot.isEmpty():
         return cold_part
-    hot_lookup = wanted.unionByName(wanted_hot).filter(F.col(key).isin(hot_keys))
-    return cold_part.unionByName(hot.join(F.broadcast(hot_lookup), key, how))
+    return cold_part.unionByName(hot.join(everything, key, how))
 
 
 class VersionedTable:
     """A table replaced as a whole: each image is written to a folder of its own, then the name is switched.
 
-    Readers see the old image or the new one. The previous image stays readable as ``<name>_old``.
+    The switch is one change of the table's location in the catalog, so readers see the old image or the new one; all
+    images have the columns of the first. The previous image stays readable as ``<name>_old``.
     """
 
     def __init__(self, spark: SparkSession, name: str, root: str):
@@ -90,6 +90,11 @@ class VersionedTable:
     def replace(self, image: DataFrame, version: str) -> DataFrame:
         """Write ``image``, which may read the current one, and make it current."""
         path = f"{self.root}/{version}"
+        if self.exists():
+            columns = self.read().columns
+            if sorted(columns) != sorted(image.columns):
+                raise ValueError(f"{self.name} has the columns {columns}, the new image {image.columns}")
+            image = require_schema(image.select(*columns), self.read().schema)
         image.write.mode("overwrite").parquet(path)
         if self.exists():
             self._point("old", self._location())
@@ -103,8 +108,10 @@ class VersionedTable:
     def _point(self, role: str, path: str) -> None:
         table = f"{self.name}_{role}"
         if self.spark.catalog.tableExists(table):
-            self.spark.sql(f"DROP TABLE {table}")
-        self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            self.spark.catalog.refreshTable(table)
+        else:
+            self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:

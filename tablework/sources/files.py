@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,13 +31,17 @@ def infer_csv(spark: SparkSession, path: str, *, encoding: str = "UTF-8") -> Dat
 def read_titled_csv(spark: SparkSession, path: str, schema: T.StructType, titles: int = 1) -> DataFrame:
     """Text export of a sheet whose column names follow ``titles`` title lines, as in a spreadsheet.
 
-    The title and header lines are known by their text, taken from the head of the first file, so the body is
-    split over tasks like any text.
+    The first ``titles + 1`` lines of each file are left out by their position, whatever their text. They are in the
+    file's first split, so only that split's lines are numbered; the rest of a file stays spread over tasks.
     """
-    lines = spark.read.text(path)
-    head = [r["value"] for r in spark.read.text(min(lines.inputFiles())).limit(titles + 1).collect()]
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    body = lines.filter(~F.col("value").isin(head))
+    in_file = Window.partitionBy("_file").orderBy("_line")
+    first = lines.filter("_at = 0").withColumn("_n", F.row_number().over(in_file)).filter(F.col("_n") > titles + 1)
+    body = first.select("value").unionByName(lines.filter("_at > 0").select("value"))
     return body.select(F.from_csv("value", ddl).alias("r")).select("r.*")
 
 
@@ -51,38 +56,31 @@ def read_json(
     return reader.json(path if isinstance(path, str) else list(path))
 
 
-def read_manifest(
-    spark: SparkSession, manifest: str, schema: T.StructType | str, *, encoding: str = "UTF-8", max_entries: int = 100_000
-) -> DataFrame:
+def read_manifest(spark: SparkSession, manifest: str, schema: T.StructType | str, *, encoding: str = "UTF-8") -> DataFrame:
     """Load exactly the CSV files listed in a manifest ``{"entries": [{"url", "mandatory"}]}``.
 
-    A missing mandatory file is an error when the rows are read. The list of file names, not their rows, passes
-    through the driver, as it does for any path list; a longer list than ``max_entries`` is an error.
+    A missing mandatory file is an error, a missing optional one is left out. Names are taken as they are, also with
+    commas, brackets or stars. The list of file names, not their rows, passes through the driver, as it does for any
+    path list.
     """
     entries = spark.read.option("multiLine", True).schema(
         "entries array<struct<url: string, mandatory: boolean>>"
     ).json(manifest).select(F.inline("entries"))
-    listed = entries.limit(max_entries + 1).collect()
-    if len(listed) > max_entries:
-        raise ValueError(f"manifest {manifest} lists more than {max_entries} files")
-    reader = spark.read.schema(schema).option("header", True).option("encoding", encoding)
-    mandatory = [r["url"] for r in listed if r["mandatory"]]
-    optional = [r["url"] for r in listed if not r["mandatory"]]
-    parts = []
-    if mandatory:
-        parts.append(reader.option("ignoreMissingFiles", False).csv(mandatory))
-    folders: dict[str, list[str]] = {}
-    for url in optional:
-        folder, _, name = url.rpartition("/")
-        folders.setdefault(folder, []).append(name)
-    for folder, names in folders.items():  # those that are there, in one read per folder
-        parts.append(reader.option("pathGlobFilter", "{" + ",".join(names) + "}").csv(folder))
-    if not parts:
+    present = [r["url"] for r in entries.collect() if r["mandatory"] or _exists(spark, r["url"])]
+    if not present:
         return spark.createDataFrame([], schema)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    reader = spark.read.schema(schema).option("header", True).option("encoding", encoding)
+    return reader.option("ignoreMissingFiles", False).csv([_literal(url) for url in present])
+
+
+def _exists(spark: SparkSession, url: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(url)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _literal(url: str) -> str:
+    """A path whose pattern signs stand for themselves."""
+    return "".join(f"\\{c}" if c in "\\{}[]*?^" else c for c in url)
 
 
 def file_path() -> Column:
@@ -105,9 +103,10 @@ def read_split_table(
 
 
 def encoding_audit(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """One verdict per file: ``ascii``, ``utf-8`` or ``latin-1``, from all of its bytes.
+    """One verdict per file: ``ascii``, ``utf-8`` or ``latin-1``, from all of its bytes; an empty file is ``ascii``.
 
-    The text source hands on the bytes of each line unchanged, so files are checked in splits, not whole.
+    The text source hands on the bytes of each line unchanged, so files are checked in splits, not whole. Empty files
+    have no line; their names come from the list of files that the driver holds for any read.
     """
     reader = spark.read
     if glob:
@@ -119,5 +118,7 @@ def encoding_audit(spark: SparkSession, path: str | Sequence[str], glob: str | N
     worst = lines.select(F.col("_metadata.file_path").alias("file_path"), level.alias("level")).groupBy(
         "file_path"
     ).agg(F.max("level").alias("level"))
+    listed = spark.createDataFrame([(re.sub("^file:/+", "file:/", f), 0) for f in lines.inputFiles()], worst.schema)
+    worst = worst.unionByName(listed).groupBy("file_path").agg(F.max("level").alias("level"))
     names = F.array(F.lit("ascii"), F.lit("utf-8"), F.lit("latin-1"))
     return worst.select("file_path", F.get(names, F.col("level")).alias("encoding"))

@@ -26,11 +26,9 @@ def posts(pages: DataFrame) -> DataFrame:
 
 
 def posts_from_text(pages: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    """Posts of pages held as JSON text, and the pages that are not JSON."""
-    parsed = pages.select(
-        "*",
-        F.from_json(column, PAGE_SCHEMA).alias("_page"),
-        F.try_parse_json(column).isNull().alias("_bad"),
-    )
+    """Posts of pages held as JSON text, and the pages that are not JSON or have no list of posts."""
+    parsed = pages.select("*", F.from_json(column, PAGE_SCHEMA).alias("_page"), F.try_parse_json(column).alias("_json"))
+    known = F.col("_json").isNotNull() & F.col("_page.data.children").isNotNull()
+    parsed = parsed.withColumn("_bad", ~known).drop("_json")
     good = posts(parsed.filter(~F.col("_bad")).select(F.col("_page.data").alias("data")))
     return good, parsed.filter("_bad").drop("_page", "_bad")

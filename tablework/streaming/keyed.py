@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,47 @@ from tablework.sinks.files import write_batch
 from tablework.streaming.ingest import run_batches
 
 
-def once_per_key(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
-    """Drop records whose key was seen within ``delay`` of event time; the state is as long as the delay."""
-    timed = stream.withColumn(time, F.col(time).cast("timestamp"))
-    return timed.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+class OncePerKey:
+    """A sink that takes each record once, however late it comes first or again.
+
+    A record is known by its keys, and sent again with the same time. Files lie in one folder per day of that time, so
+    a micro-batch meets only the days that it has records of, and no state grows with the stream. A batch writes under
+    its own number and is not compared with itself, so a replay replaces what it wrote before.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, keys: Sequence[str], time: str):
+        self.spark, self.path, self.keys, self.time = spark, path, list(keys), time
+        self.schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+    def _stored(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("day", T.StringType())])
+
+    def absorb(self, frame: DataFrame, batch_id: int) -> None:
+        day = F.coalesce(F.date_format(self.time, "yyyy-MM-dd"), F.lit("none"))
+        fresh = frame.dropDuplicates(self.keys).withColumn("day", day)
+        days = [r["day"] for r in fresh.select("day").distinct().collect()]  # the days of one batch
+        written = [p for p in self._batches() if p != f"batch_id={batch_id}"]
+        if days and written:
+            known = self.spark.read.schema(self._stored()).option("basePath", self.path).parquet(
+                *[f"{self.path}/{p}" for p in written])
+            known = known.filter(F.col("day").isin(days)).select(*[F.col(k).alias(f"_{k}") for k in self.keys])
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys])
+            fresh = fresh.join(known, same, "left_anti")
+        write_batch(fresh, self.path, batch_id, ["day"], fmt="parquet")
+
+    def _batches(self) -> list[str]:
+        """Folders of the batches written so far."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(root):
+            return []
+        return [f.getPath().getName() for f in files.listStatus(root) if f.getPath().getName().startswith("batch_id=")]
+
+    def run(self, stream: DataFrame, checkpoint: str, *, every: str | None = None) -> StreamingQuery:
+        return run_batches(stream, self.absorb, checkpoint, every=every)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self._stored()).parquet(self.path).select(*self.schema.names)
 
 
 def cursor(df: DataFrame, kind: str, key: str, time: str, previous: str | None = None) -> DataFrame:

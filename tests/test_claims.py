@@ -56,7 +56,7 @@ def test_ties_at_the_end_of_the_top_list(spark):
 
 def test_entities_of_top_codes(claims, valid):
     top = top_codes(valid_code_counts(claims, "procedure_code", valid, "code"), 1)
-    assert entities_with_codes(claims, "patient_id", "procedure_code", top, 1).first()["n_entities"] == 3
+    assert entities_with_codes(claims, "patient_id", "procedure_code", top).first()["n_entities"] == 3
 
 
 def test_null_code_is_invalid(claims, valid):

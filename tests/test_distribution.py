@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tablework.operators import joins
 from tablework.operators.joins import is_hot, is_small, lookup_join
 from tablework.operators.neighbors import knn_predict, nearest
-from tablework.operators.position import batches_of_n, global_position, list_per_key, position_in_group, rolling_mean
+from tablework.operators.position import batches_of_n, global_position, list_per_key, position_in_group, rolling_mean, values_in_order
 from tablework.operators.resample import drop_disputed, oversample
 from tablework.session import scratch
 from tablework.sinks.tables import bucketed, join_bucketed
@@ -62,12 +62,24 @@ def test_full_batches_only(spark, n, full):
     assert batches_of_n(df, ["id"], 20, full_only=False).count() == n
 
 
-def test_lists_continue_in_pieces(skewed):
-    out = list_per_key(skewed, "k", "v", "vs", chunk=100)
-    rows = out.filter("k = 7").orderBy("piece").collect()
-    values = [v for r in rows for v in r["vs"]]
-    want = sorted(r["v"] for r in skewed.filter("k = 7").distinct().collect())
-    assert values == want and all(len(r["vs"]) == 100 for r in rows[:-1])
+def test_lists_are_whole_also_in_long_form(skewed):
+    want = sorted(r["v"] for r in skewed.filter("k = 7").select("v").distinct().collect())
+    assert [r["vs"] for r in list_per_key(skewed, "k", "v", "vs").filter("k = 7").collect()] == [want]
+    long = values_in_order(skewed, "k", "v").filter("k = 7").orderBy("position").collect()
+    assert [r["v"] for r in long] == want and [r["position"] for r in long] == list(range(len(want)))
+
+
+def test_rolling_mean_of_missing_values(spark):
+    df = spark.createDataFrame([(i, None if i == 3 else float(i)) for i in range(8)], "id long, v double")
+    got = [r["got"] for r in rolling_mean(df, ["id"], "v", 3, "got").orderBy("id").collect()]
+    assert got == [None, None, 1.0, None, None, None, 5.0, 6.0]
+
+
+def test_hundreds_of_hot_keys(spark):
+    facts = spark.range(30_000).select((F.col("id") % 600).cast("string").alias("k"))
+    facts = facts.withColumn("k", F.when(F.col("k") != "5", F.col("k")))
+    hot = is_hot(facts, ["k"], 0.0005)
+    assert facts.filter(hot).count() == 30_000 and facts.filter(hot).filter("k is null").count() == 50
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -95,7 +107,7 @@ def test_bucketed_tables_join_without_shuffle(skewed):
     a = bucketed(skewed, "buckets_test.facts", f"{path}/a", "k", 4, share=0.2)
     b = bucketed(lookup, "buckets_test.lookup", f"{path}/b", "k", 4, share=0.5)
     assert a[1].select("k").distinct().count() == 1
-    joined = join_bucketed(a, b, "k", share=0.2)
+    joined = join_bucketed(a, b, "k")
     assert joined.exceptAll(skewed.join(lookup, "k").select(joined.columns)).count() == 0
     assert joined.count() == skewed.join(lookup, "k").count()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
@@ -106,6 +118,17 @@ def test_bucketed_tables_join_without_shuffle(skewed):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_bucketed_tables_with_more_hot_keys_than_any_limit(spark):
+    path = scratch(spark, "hot-buckets")
+    spark.sql(f"CREATE DATABASE hot_buckets_test LOCATION '{path}'")
+    facts = spark.range(6000).select((F.col("id") % 150).alias("k"), "id")
+    lookup = spark.range(150).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+    a = bucketed(facts, "hot_buckets_test.facts", f"{path}/a", "k", 4, share=0.004)
+    b = bucketed(lookup, "hot_buckets_test.lookup", f"{path}/b", "k", 4, share=0.5)
+    assert a[1].select("k").distinct().count() > 100
+    assert join_bucketed(a, b, "k").count() == 6000 and join_bucketed(a, b, "k", "left").count() == 6000
+
+
 def _brute(points, dims, cat_penalty, k, exclude_self):
     x = points[dims].to_numpy()
     d = np.zeros((len(x), len(x)))

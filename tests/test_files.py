@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 import gzip
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +40,20 @@ def test_sheet_with_title_line(spark, tmp_path):
     assert sorted(map(tuple, out.collect())) == [(1, 0), (2, 1), (3, 1)]
 
 
+def test_sheet_body_may_repeat_its_head(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    put(tmp_path / "sheet" / "a.csv", "5,1\na,b\n5,1\n7,8\n")
+    put(tmp_path / "sheet" / "b.csv", "another title\na,b\n5,1\n")
+    out = read_titled_csv(spark, str(tmp_path / "sheet"), schema)
+    assert sorted(map(tuple, out.collect())) == [(5, 1), (5, 1), (7, 8)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        put(tmp_path / "long" / "a.csv", "title\na,b\n" + "".join(f"{k},{k}\n" for k in range(3000)))
+        assert read_titled_csv(spark, str(tmp_path / "long"), schema).agg({"a": "sum"}).first()[0] == 2999 * 1500
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_json_lines_files_and_arrays(spark, tmp_path):
     with gzip.open(tmp_path / "l.json.gz", "wt") as f:
         f.write('{"id": 1}\n{"id": 2}\n')
@@ -64,6 +79,33 @@ def test_manifest(spark, tmp_path):
         read_manifest(spark, broken, "id int").count()
 
 
+def test_manifest_takes_names_as_they_are(spark, tmp_path):
+    names = ["with,comma.csv", "[set].csv", "{a,b}.csv", "star*.csv", "what?.csv", "plain.csv"]
+    for k, name in enumerate(names):
+        put(tmp_path / "odd" / name, f"id\n{k}\n")
+    put(tmp_path / "odd" / "starred.csv", "id\n100\n")
+    entries = [{"url": str(tmp_path / "odd" / n), "mandatory": k % 2 == 0} for k, n in enumerate([*names, "gone,too.csv"][:6])]
+    entries.append({"url": str(tmp_path / "nowhere" / "x.csv"), "mandatory": False})
+    manifest = put(tmp_path / "odd.manifest", json.dumps({"entries": entries}))
+    assert sorted(r["id"] for r in read_manifest(spark, manifest, "id int").collect()) == list(range(6))
+    empty = put(tmp_path / "none.manifest", '{"entries": []}')
+    assert read_manifest(spark, empty, "id int").count() == 0
+
+
+def test_partitioned_batches_have_few_files(spark, tmp_path):
+    rows = spark.range(0, 5000, 1, 8).selectExpr("id", "id % 20 as part")
+    write_batch(rows, str(tmp_path / "p"), 0, ["part"], fmt="parquet")
+    assert len(list((tmp_path / "p").rglob("part-*.parquet"))) == 20
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 5000
+
+
+def test_empty_files_have_a_verdict(spark, tmp_path):
+    put(tmp_path / "v" / "none.txt", "")
+    put(tmp_path / "v" / "one.txt", "é")
+    out = {r["file_path"].rpartition("/")[2]: r["encoding"] for r in encoding_audit(spark, str(tmp_path / "v")).collect()}
+    assert out == {"none.txt": "ascii", "one.txt": "utf-8"}
+
+
 def test_routing_by_file_name(spark, tmp_path):
     for name in ("master_0_20200406.csv", "titles_0_20200406.csv", "titles_1_20200406.csv", "other.csv", "notes.txt"):
         put(tmp_path / "d" / name, "x\n")

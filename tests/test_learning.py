@@ -12,6 +12,7 @@ from tablework.models import training
 from tablework.models.group_mean import GroupMeanModel, GroupMeanRegressor
 from tablework.operators import evaluate, features
 from tablework.operators.counts import category_widths
+from tablework.operators.neighbors import nearest
 
 
 def test_unseen_group_gets_the_overall_mean(spark, tmp_path):
@@ -144,3 +145,18 @@ def test_category_stages(spark):
     stages, out = training.category_stages(["c"])
     rows = Pipeline(stages=stages).fit(df).transform(df).select(out).collect()
     assert rows[0][0] == rows[2][0] != rows[1][0]
+
+
+def test_missing_predictions_do_not_raise_scores(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (3.0, None)], "y double, p double")
+    with pytest.raises(Exception, match="no prediction"):
+        evaluate.r2(df, "y", "p").collect()
+    assert evaluate.r2(df.na.fill(0.0), "y", "p").first()["r2"] == -3.5
+    assert evaluate.accuracy(df, "y", "p").first()["percent"] == 67
+    assert evaluate.accuracy(df.unionByName(spark.createDataFrame([(None, 1.0)], df.schema)), "y", "p").first()["percent"] == 67
+
+
+def test_neighbours_refuse_missing_features(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, None)], "id long, x double")
+    with pytest.raises(Exception, match="x is null"):
+        nearest(df, df.filter("id = 1"), id_col="id", features=["x"], k=1).collect()

@@ -5,6 +5,7 @@ import pytest
 from tablework.operators.nested import (
     encode_attributes, flatten_struct, indicator_map, recipe_table, relationalize, search_parameters,
 )
+from tablework.sources.pages import posts_from_text
 
 DOCUMENT = (
     "member_id string, name string, accountAge long, age long, subscribedTo long, "
@@ -75,6 +76,19 @@ def test_attributes_one_level_deep(spark):
     }
 
 
+def test_deeper_attributes_keep_their_text(spark):
+    df = spark.createDataFrame([(1, '{"A":["x"],"B":{"C":{"D":true}},"E":"t"}')], "id int, a string")
+    out = {r["feature"]: r["value"] for r in encode_attributes(df, "id", "a").collect()}
+    assert out == {'A_["x"]': 1.0, 'B_C_{"D":true}': 1.0, "E_t": 1.0}
+
+
+def test_pages_of_another_layout_are_bad(spark):
+    page = '{"data": {"children": [{"kind": "t3", "data": {"id": "a", "title": "x"}}]}}'
+    df = spark.createDataFrame([(page,), ('{"error": 429}',), ("[1]",), ("no json",), (None,)], "v string")
+    good, bad = posts_from_text(df, "v")
+    assert [r["id"] for r in good.collect()] == ["a"] and bad.count() == 4
+
+
 def test_indicator_map(spark):
     df = spark.createDataFrame([(["b", "c", "b"],), ([],)], "c array<string>")
     out = [r["m"] for r in df.select(indicator_map("c").alias("m")).collect()]

@@ -62,12 +62,14 @@ def test_postings_from_text_tables(spark):
     )
     title = spark.createDataFrame([(1, "t1"), (3, "t3"), (3, "t3")], "job_id long, title string")
     log = spark.createDataFrame(
-        [(1, "2020-03-01 00:00:00"), (3, "2020-04-01 00:00:00"), (3, None)], "job_id long, remove_date string"
+        [(1, "2020-03-01 00:00:00"), (1, "soon"), (2, "soon"), (3, "2020-04-01 00:00:00"), (3, None)],
+        "job_id long, remove_date string",
     )
     out = {r["job_id"]: r for r in join_postings(master, title, log).collect()}
     assert len(out) == 3
     assert out[1]["remove_date"] == ts("2020-03-01") and out[2]["title"] is None
     assert out[2]["post_date"] is None and out[3]["remove_date"] is None and out[3]["title"] == "t3"
+    assert [(out[k]["is_open"], out[k]["rejected_dates"]) for k in (1, 2, 3)] == [(False, 1), (False, 2), (True, 0)]
     parsed = master.withColumn("p", to_timestamp_or_null("post_date"))
     assert parsed.agg(rejected("post_date", "p").alias("n")).first()["n"] == 1
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tablework.sinks.tables import VersionedTable
 from tablework.sources.tables import create_database
 from tablework.streaming.ingest import enrich_posts, file_stream, ingest, run_batches
-from tablework.streaming.keyed import LatestImage, cursor, once_per_key
+from tablework.streaming.keyed import LatestImage, OncePerKey, cursor
 from tablework.streaming.zones import merge_zone, run_zone
 
 POSTS = (
@@ -68,17 +68,24 @@ def test_each_key_once_over_restarts(spark, tmp_path):
     schema = "id string, ts timestamp_ntz"
     first = [(str(i), dt.datetime(2024, 1, 1, i)) for i in range(5)]
 
+    sink = OncePerKey(spark, str(tmp_path / "out"), schema, ["id"], "ts")
+
     def run():
-        stream = once_per_key(file_stream(spark, str(tmp_path / "in"), schema), ["id"], "ts", "10 days")
-        q = stream.writeStream.format("json").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
-        q.start(str(tmp_path / "out")).awaitTermination()
+        sink.run(file_stream(spark, str(tmp_path / "in"), schema), str(tmp_path / "cp"))
 
     land(spark, tmp_path / "in", first + first[:2], schema)
     run()
-    land(spark, tmp_path / "in", first + [("9", dt.datetime(2024, 1, 2))], schema)
+    late, unknown = ("8", dt.datetime(2020, 1, 1)), ("7", None)
+    land(spark, tmp_path / "in", first + [("9", dt.datetime(2024, 1, 2)), late, unknown], schema)
+    run()
+    land(spark, tmp_path / "in", [late, unknown], schema)
     run()
-    out = spark.read.schema(schema).json(str(tmp_path / "out"))
-    assert sorted(r["id"] for r in out.collect()) == ["0", "1", "2", "3", "4", "9"]
+    assert sorted(r["id"] for r in sink.read().collect()) == ["0", "1", "2", "3", "4", "7", "8", "9"]
+    sink.absorb(spark.createDataFrame([late], schema), 7)
+    sink.absorb(spark.createDataFrame([("6", late[1])], schema), 8)
+    sink.absorb(spark.createDataFrame([("6", late[1])], schema), 8)  # a replay
+    out = sink.read().filter("id not in ('6', '7', '8')")
+    assert sink.read().count() == 9
     named = out.withColumn("kind", F.lit("t3"))
     assert cursor(named, "kind", "id", "ts").first()["cursor"] == "t3_9"
     assert cursor(named.limit(0), "kind", "id", "ts", previous="t3_9").first()["cursor"] == "t3_9"
