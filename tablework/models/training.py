@@ -49,9 +49,19 @@ def ridge(df: DataFrame, label: str, alpha: float, features: str = "features", p
     return estimator.fit(df)
 
 
-def residual_stack(df: DataFrame, label: str, features: str = "features", trees: int = 10, depth: int = 4, seed: int = 1):
-    """A linear model, then boosted trees on what it leaves; the prediction is the sum of both."""
-    linear = LinearRegression(featuresCol=features, labelCol=label, predictionCol="linear").fit(df)
+def line(label: str, *, penalty: float = 0.0, features: str = "features") -> LinearRegression:
+    """Linear regression by the normal equations, with a penalty on the plain coefficients."""
+    return LinearRegression(
+        featuresCol=features, labelCol=label, regParam=penalty, elasticNetParam=0.0, standardization=False, solver="normal")
+
+
+def residual_stack(
+    df: DataFrame, label: str, features: str = "features", trees: int = 10, depth: int = 4, seed: int = 1,
+    linear: str | None = None,
+):
+    """A linear model, then boosted trees on what it leaves; the prediction is the sum of both. The linear part may have
+    features of its own, ``linear``."""
+    linear = LinearRegression(featuresCol=linear or features, labelCol=label, predictionCol="linear").fit(df)
     rest = linear.transform(df).withColumn("residual", F.col(label) - F.col("linear"))
     boosted = GBTRegressor(
         featuresCol=features, labelCol="residual", predictionCol="correction", maxIter=trees, maxDepth=depth, seed=seed

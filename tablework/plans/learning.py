@@ -307,17 +307,26 @@ def _split(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return marked.filter("is_train").drop("is_train"), marked.filter("not is_train").drop("is_train")
 
 
-@query()
+@query(f"""
+    WITH f AS ({FEATURES_SQL}),
+    x AS (SELECT n_chars::DOUBLE AS x, n_upper::DOUBLE AS y, CAST('0x' || substr(md5('7:' || doc_id), 1, 8) AS BIGINT) % 4 AS fold FROM f),
+    p AS (SELECT unnest([0.0::DOUBLE, 1e9::DOUBLE]) AS penalty), k AS (SELECT unnest([0, 1, 2, 3]) AS fold),
+    fit AS (SELECT k.fold, penalty, covar_pop(y, x) / (var_pop(x) + penalty / stddev_pop(y)) AS slope, avg(x) AS mx, avg(y) AS my
+            FROM x, k, p WHERE x.fold <> k.fold GROUP BY k.fold, penalty),
+    score AS (SELECT fold, penalty, 1 - sum((y - my - slope * (x - mx)) ** 2) / (var_pop(y) * count(*)) AS r2
+              FROM x JOIN fit USING (fold) GROUP BY fold, penalty)
+    SELECT penalty, round(avg(r2), 6) AS r2, round(stddev_pop(r2), 6) AS spread FROM score GROUP BY penalty""")
 def cross_validate(t: Tables) -> DataFrame:
-    """Accuracy of two penalties of a logistic model in four folds."""
-    rows = _vectors(labelled(t), NUMERIC, ["lang_code"])
-    estimator = training.logistic("quality")
-    grid = ParamGridBuilder().addGrid(estimator.regParam, [0.0, 0.1]).build()
-    model = training.cross_validate(rows, estimator, grid, training.accuracy_evaluator("quality"), ["doc_id"])
+    """R2 of two penalties of a line through lengths and capitals, in four folds."""
+    rows = VectorAssembler(inputCols=["n_chars"], outputCol="features").transform(labelled(t))
+    estimator = training.line("n_upper")
+    grid = ParamGridBuilder().addGrid(estimator.regParam, [0.0, 1e9]).build()
+    model = training.cross_validate(rows, estimator, grid, training.r2_evaluator("n_upper"), ["doc_id"])
     scores = [
         (float(p[estimator.regParam]), float(m), float(s)) for p, m, s in zip(grid, model.avgMetrics, model.stdMetrics)
     ]
-    return t.spark.createDataFrame(scores, "penalty double, accuracy double, spread double")
+    found = t.spark.createDataFrame(scores, "penalty double, r2 double, spread double")
+    return found.select("penalty", F.round("r2", 6).alias("r2"), F.round("spread", 6).alias("spread"))
 
 
 def _order_features(t: Tables) -> DataFrame:
@@ -330,13 +339,24 @@ def _order_features(t: Tables) -> DataFrame:
     return pin(orders.join(per_order, "o_orderkey"), "order-features")
 
 
-@query()
+@query("""
+    WITH g AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1),
+    r AS (SELECT o_orderkey, o_totalprice AS price, n,
+                 CAST('0x' || substr(md5('43:' || o_orderkey), 1, 8) AS BIGINT) % 100 < 67 AS is_train
+          FROM orders JOIN g ON o_orderkey = l_orderkey),
+    m AS (SELECT regr_slope(price, n) AS a, regr_intercept(price, n) AS b FROM r WHERE is_train)
+    SELECT o_orderkey, price, round(a * n + b, 2) AS linear, TRUE AS is_sum, TRUE AS is_near FROM r, m WHERE NOT is_train""")
 def residual_stack(t: Tables) -> DataFrame:
-    """Hold-out predictions of a linear model corrected by boosted trees."""
-    assembler = VectorAssembler(inputCols=["n_lines", "gross", "discount", "quantity", "month"], outputCol="features")
-    train, test = _split(assembler.transform(_order_features(t)), "o_orderkey")
-    predict = training.residual_stack(train, "price", trees=3, depth=3)
-    return predict(test).select("o_orderkey", "price", "linear", "correction", "prediction")
+    """Hold-out predictions of a line corrected by boosted trees: the line itself, whether the prediction is the sum of
+    both parts, and whether the hold-out R2 stays within 0.1 of the line's or above; the prices here follow no feature."""
+    assembler = VectorAssembler(inputCols=["n_lines"], outputCol="base").transform(_order_features(t))
+    rows = VectorAssembler(inputCols=["n_lines", "gross", "discount", "quantity", "month"], outputCol="features").transform(assembler)
+    train, test = _split(rows, "o_orderkey")
+    predicted = pin(training.residual_stack(train, "price", linear="base")(test).drop("base", "features"), "stacked")
+    after, before = (evaluate.r2(predicted, "price", c).first()["r2"] for c in ("prediction", "linear"))
+    is_sum = F.abs(F.col("prediction") - F.col("linear") - F.col("correction")) < 1e-6
+    return predicted.select(
+        "o_orderkey", "price", F.round("linear", 2).alias("linear"), is_sum.alias("is_sum"), F.lit(after >= before - 0.1).alias("is_near"))
 
 
 @query()
@@ -365,12 +385,13 @@ def mlp_classify(t: Tables) -> DataFrame:
     return evaluate.classification_report(model.transform(test), "quality", "prediction")
 
 
-@query()
+@query(f"""
+    SELECT doc_id, n_upper::INTEGER AS n_upper, round(regr_intercept(n_upper, n_chars) OVER () + regr_slope(n_upper, n_chars) OVER () * n_chars, 4)
+      AS prediction FROM ({FEATURES_SQL})""")
 def batch_score(t: Tables) -> DataFrame:
     """A stored pipeline, loaded again and applied to all labelled documents."""
     rows = labelled(t)
     path = scratch(t.spark, "model")
-    stages = training.feature_stages(NUMERIC, ["lang_code"])
-    training.train_and_store(rows, [*stages, training.logistic("quality")], path)
-    scored, _ = training.score(PipelineModel.load(path), rows, NUMERIC)
-    return scored.select("doc_id", "quality", "prediction")
+    training.train_and_store(rows, [*training.feature_stages(["n_chars"], []), training.line("n_upper")], path)
+    scored, _ = training.score(PipelineModel.load(path), rows, ["n_chars"])
+    return scored.select("doc_id", "n_upper", F.round("prediction", 4).alias("prediction"))
