@@ -8,31 +8,31 @@ from pyspark.sql import functions as F
 from tablework.session import pin
 
 
-def _star(edges: DataFrame, least: DataFrame) -> DataFrame:
-    """Every (u, v) with the smallest node ``m`` seen from u. Both sides are stored, so that a hub's rows can be split."""
-    return edges.join(least, "u")
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller one at most, and no node both gives and takes."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("gives"), F.lit(0).alias("takes")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    both = ends.groupBy("node").agg(F.sum("gives").alias("gives"), F.max("takes").alias("takes"))
+    return both.filter("gives > 1 OR gives > 0 AND takes > 0").isEmpty()
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) of every node in a link; a component is named by its smallest node.
 
     Alternating stars: in turn, every node hands its larger neighbours, then its smaller ones, over to the smallest node
-    it sees. Each round is written, which cuts lineage; a handful of rounds suffice, as distances shrink by halves.
-    A link of a node with itself, or with a null, links nothing.
+    it sees, until all edges form stars around smallest nodes. Each round is written, which cuts lineage; a handful of
+    rounds suffice, as distances shrink by halves. Smallest neighbours are written before they are joined, so that
+    the rows of a hub can be split. A link of a node with itself, or with a null, links nothing.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(
         F.col(a).isNotNull() & F.col(b).isNotNull()).filter("u <> v").distinct()
     edges = pin(edges, "edges")
-    before = None
-    while True:
-        told = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
-        if before == (told["n"], told["h"]):
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                edges.select("v", "v")).distinct()
-        before = (told["n"], told["h"])
-        both = pin(edges.union(edges.select("v", "u")), "edges")
+    while not _is_forest_of_stars(edges):
+        both = edges.union(edges.select("v", "u"))
         least = pin(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = pin(_star(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
+        handed = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = pin(handed.distinct(), "edges")
         least = pin(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = _star(large, least).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = pin(small.union(least.select("u", "m")).distinct(), "edges")
+        handed = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = pin(handed.union(least.select("u", "m")).distinct(), "edges")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v")).distinct()

@@ -15,25 +15,22 @@ only missing ones. Whatever elements are counted as frequent, no similar pair is
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablework.llm.components import components
+from tablework.llm.linking import Signer, Threshold, clashes, distinct_sets, histogram, named, settle, shared_signatures
 from tablework.llm.sketches import Bloom, bloom
 from tablework.llm.words import NOT_SPACE, mix, pieces, seeded, words
 from tablework.session import pin
 
-CELLS = 64
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -53,24 +50,21 @@ class Layout:
         return self.parts * len(self.subsets)
 
 
-class Similarity:
+class Similarity(Threshold):
     """Bands and layouts for a Jaccard similarity of at least ``p / q``."""
 
     def __init__(self, p: int = 3, q: int = 4, largest: int = 1 << 34):
-        self.p, self.q = p, q
-        self.lows, self.highs = [], []
-        low = 1
+        super().__init__(p, q)
+        lows, highs, low = [], [], 1
         while low <= largest:
-            self.lows.append(low)
-            self.highs.append(low * q // p)
-            low = self.highs[-1] + 1
-        self._lows = np.array(self.lows)
-
-    def differences(self, a: int, b: int) -> int:
-        return (self.q - self.p) * (a + b) // (self.q + self.p)
+            lows.append(low)
+            highs.append(low * q // p)
+            low = highs[-1] + 1
+        object.__setattr__(self, "lows", lows)
+        object.__setattr__(self, "highs", highs)
 
     def band(self, sizes: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self._lows, sizes, "right") - 1
+        return np.searchsorted(self.lows, sizes, "right") - 1
 
     @lru_cache(None)
     def layout(self, band: int) -> Layout:
@@ -149,12 +143,7 @@ def _sets(part, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of texts, sorted within each text: (first, value)."""
     found = words(part, NOT_SPACE)
     text, _, value = found.shingles(size)
-    order = np.lexsort((value, text))
-    text, value = text[order], value[order]
-    new = np.ones(len(text), bool)
-    new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
-    text, value = text[new], value[new]
-    return np.searchsorted(text, np.arange(len(part) + 1)), value
+    return distinct_sets(text, value, len(part))
 
 
 def _identity(first: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,20 +155,6 @@ def _identity(first: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndar
     return low, high
 
 
-def _named(low: np.ndarray, high: np.ndarray, taken: Bloom) -> np.ndarray:
-    """The name of a set; where two different sets have the same first name, the second one."""
-    clash = taken.holds(low)
-    low[clash] = mix(high[clash] ^ np.uint64(0x5555555555555555))
-    return low
-
-
-def _histogram(first: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """How many elements each set has in each of 64 hash classes; saturated counts are taken as unknown."""
-    of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    at = of * CELLS + (seeded(value, 60) >> np.uint64(58)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=(len(first) - 1) * CELLS), 65535).astype("<u2").reshape(-1, CELLS)
-
-
 def document_sets(docs: DataFrame, size: int, common: float = 0.002) -> DataFrame:
     """One row per document: (row, doc_id, low, high, n, histogram, frequent).
 
@@ -195,12 +170,12 @@ def document_sets(docs: DataFrame, size: int, common: float = 0.002) -> DataFram
             for part in pieces(batch.column(1)):
                 first, value = _sets(part, size)
                 low, high = _identity(first, value)
-                rows.append((low, high, np.diff(first), _histogram(first, value)))
+                rows.append((low, high, np.diff(first), histogram(first, value)))
                 new = np.array([x not in seen and not seen.add(x) for x in low.tolist()], bool)
                 values.append(value[np.repeat(new, np.diff(first))])
             if not rows:
                 continue
-            low, high, n, histogram = (np.concatenate(x) for x in zip(*rows))
+            low, high, n, cells = (np.concatenate(x) for x in zip(*rows))
             every, counts = np.unique(np.concatenate(values), return_counts=True)
             frequent = every[counts >= max(4, common * len(seen))]
             lists: list = [None] * len(low)
@@ -208,7 +183,7 @@ def document_sets(docs: DataFrame, size: int, common: float = 0.002) -> DataFram
             yield pa.RecordBatch.from_arrays([
                 pa.array(number + np.arange(len(low))), batch.column(0), pa.array(low.view(np.int64)),
                 pa.array(high.view(np.int64)), pa.array(n.astype(np.int64)),
-                pa.array([h.tobytes() for h in histogram], pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
+                pa.array([h.tobytes() for h in cells], pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
                 ["row", "doc_id", "low", "high", "n", "histogram", "frequent"])
             number += len(low)
 
@@ -216,216 +191,46 @@ def document_sets(docs: DataFrame, size: int, common: float = 0.002) -> DataFram
         run, f"row long, doc_id {kind}, low long, high long, n long, histogram binary, frequent array<long>")
 
 
-def _packed(sign: np.ndarray, owner: np.ndarray, ids: np.ndarray) -> bytes:
-    """Signatures without their first 16 bits, each with its set: eight bytes a signature."""
-    used, where = np.unique(owner, return_inverse=True)
-    head = np.array([len(sign), len(used)], "<i8").tobytes()
-    wide = "<u2" if len(used) <= 65536 else "<u4"
-    return b"".join((
-        head, (sign >> np.uint64(16) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (sign & np.uint64(0xFFFF)).astype("<u2").tobytes(),
-        where.astype(wide).tobytes(), ids[used].astype("<u8").tobytes()))
-
-
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, m = np.frombuffer(blob, "<i8", 2)
-    wide, at = np.dtype("<u2" if m <= 65536 else "<u4"), 16
-    top = np.frombuffer(blob, "<u4", n, at).astype(np.uint64) << np.uint64(16)
-    low = np.frombuffer(blob, "<u2", n, at := at + 4 * n)
-    where = np.frombuffer(blob, wide, n, at := at + 2 * n)
-    ids = np.frombuffer(blob, "<u8", m, at + wide.itemsize * n)
-    return top | low, ids[where]
-
-
-def _key(sign: np.ndarray, bucket) -> np.ndarray:
-    """The name of a signature, from what is packed and its bucket."""
-    return (sign & np.uint64((1 << 48) - 1)) ^ mix(np.atleast_1d(np.asarray(bucket, np.uint64)))
+def _signer(size: int, similarity: Similarity, frequent: Bloom, taken: Bloom) -> Signer:
+    """Signatures of the different sets of a batch of texts."""
 
+    def sign(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        owners, signs, names, known = [np.zeros(0, int)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], 0
+        for part in pieces(batch.column(0)):
+            first, value = _sets(part, size)
+            ids = named(*_identity(first, value), taken)
+            keep = np.zeros(len(ids), bool)
+            keep[np.unique(ids, return_index=True)[1]] = True
+            value, first = value[np.repeat(keep, np.diff(first))], np.concatenate([[0], np.cumsum(np.diff(first)[keep])])
+            owner, some = signatures(first, value, frequent.holds(value), similarity)
+            owners.append(owner + known)
+            signs.append(some)
+            names.append(ids[keep])
+            known += len(names[-1])
+        return np.concatenate(names), np.concatenate(owners), np.concatenate(signs)
 
-def _stars(sign: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of sorted signatures: which entries are the smallest id of their signature, and the others as (sign, least, id)."""
-    start = np.ones(len(sign), bool)
-    start[1:] = sign[1:] != sign[:-1]
-    leader = np.flatnonzero(start)
-    least = ids[leader][np.cumsum(start) - 1]
-    other = ids != least
-    return leader, sign[other], least[other], ids[other]
+    return sign
 
 
-def shared_signatures(
-    docs: DataFrame, size: int, similarity: Similarity, frequent: Bloom, taken: Bloom, log_buckets: int
-) -> DataFrame:
-    """Signatures that different sets share, as stars: (key, least, id).
-
-    A task first joins equal signatures of its own batch and hands on one entry for each, so that a signature of very
-    many documents reaches its bucket once per batch. A bucket gets packed entries of a bounded part of all signatures.
-    """
+def _texts_of(docs: DataFrame, size: int, taken: Bloom) -> Callable[[DataFrame], DataFrame]:
+    """The texts of the sets in given pairs, one for each set; a Bloom filter of fixed size picks them."""
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = TaskContext.get().partitionId()
-        for batch in batches:
-            owners, signs, names, known = [], [], [], 0
-            for part in pieces(batch.column(0)):
-                first, value = _sets(part, size)
-                ids = _named(*_identity(first, value), taken)
-                _, once = np.unique(ids, return_index=True)
-                keep = np.zeros(len(ids), bool)
-                keep[once] = True
-                value, first = value[np.repeat(keep, np.diff(first))], np.concatenate([[0], np.cumsum(np.diff(first)[keep])])
-                owner, some = signatures(first, value, frequent.holds(value), similarity)
-                owners.append(owner + known)
-                signs.append(some)
-                names.append(ids[keep])
-                known += len(names[-1])
-            if not signs:
-                continue
-            owner, some, ids = np.concatenate(owners), np.concatenate(signs), np.concatenate(names)
-            order = np.lexsort((ids[owner], some))
-            owner, some = owner[order], some[order]
-            leader, key, least, member = _stars(some, ids[owner])
-            owner, some = owner[leader], some[leader]
-            key = _key(key, bucket_of(key))
-            bucket = bucket_of(some).astype(np.int64)
-            cuts = np.searchsorted(bucket, np.arange((1 << log_buckets) + 1))
-            for b in np.unique(bucket).tolist():
-                here = slice(cuts[b], cuts[b + 1])
-                yield _row(b, False, _packed(some[here], owner[here], ids))
-            for k in range(0, len(key), 1 << 17):
-                turn += 1
-                here = slice(k, k + (1 << 17))
-                yield _row(turn % (1 << log_buckets), True, np.concatenate([key[here], least[here], member[here]]).tobytes())
-
-    def bucket_of(sign: np.ndarray) -> np.ndarray:
-        return sign >> np.uint64(64 - log_buckets) if log_buckets else np.zeros(len(sign), np.uint64)
-
-    def _row(bucket: int, stars: bool, blob: bytes) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([bucket], pa.int32()), pa.array([stars]), pa.array([blob], pa.binary())], ["bucket", "stars", "blob"])
-
-    def meet(found: pd.DataFrame) -> pd.DataFrame:
-        out = [np.frombuffer(b, np.uint64).reshape(3, -1) for b in found["blob"][found["stars"]]]
-        packed = [_unpacked(b) for b in found["blob"][~found["stars"]]]
-        if packed:
-            sign, ids = (np.concatenate(x) for x in zip(*packed))
-            order = np.lexsort((ids, sign))
-            key, *star = _stars(sign[order], ids[order])[1:]
-            out.append(np.stack([_key(key, int(found["bucket"].iloc[0])), *star]))
-        key, least, member = (np.concatenate(out, 1) if out else np.zeros((3, 0), np.uint64)).view(np.int64)
-        return pd.DataFrame({"key": key, "least": least, "id": member})
-
-    blobs = docs.select("text").mapInArrow(sign, "bucket int, stars boolean, blob binary")
-    return blobs.groupBy("bucket").applyInPandas(meet, "key long, least long, id long")
-
-
-def _pruned(pairs: DataFrame, classes: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs (least, id) whose sizes and histograms allow enough common elements: with ``need``, that number."""
-    side = classes.select("id", "n", "histogram")
-    both = (
-        pairs.join(side.toDF("least", "n_a", "hist_a"), "least").join(side.toDF("id", "n_b", "hist_b"), "id")
-        .select("least", "id", "n_a", "n_b", "hist_a", "hist_b")
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (batch.column(i).to_numpy() for i in (2, 3))
-            ha, hb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, CELLS) for i in (4, 5))
-            need = _needed(a + b, similarity)
-            fits = np.flatnonzero((np.minimum(a, b) >= need) & (_most_common(ha, hb) >= need))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(fits)), batch.column(1).take(pa.array(fits)), pa.array(need[fits])],
-                ["least", "id", "need"])
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        wanted = bloom(pairs.select(F.explode(F.array("least", "id")).alias("id")).distinct(), "id", 23)
 
-    return both.mapInArrow(run, "least long, id long, need long")
+        def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                seen: set[int] = set()
+                for part in pieces(batch.column(0)):
+                    ids = named(*_identity(*_sets(part, size)), taken)
+                    some = [i for i in np.flatnonzero(wanted.holds(ids)).tolist() if not (ids[i] in seen or seen.add(ids[i]))]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(ids[some].view(np.int64)),
+                        batch.column(0).take(pa.array([part.first_row + i for i in some], pa.int64()))], ["id", "text"])
 
+        return pin(docs.select("text").mapInArrow(take, "id long, text string").dropDuplicates(["id"]), "texts")
 
-def _needed(sizes: np.ndarray, similarity: Similarity) -> np.ndarray:
-    """Common elements that sets need whose sizes add up to ``sizes``."""
-    return -(-similarity.p * sizes // (similarity.p + similarity.q))
-
-
-def _most_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Upper bound of common elements from histograms; a saturated class bounds nothing."""
-    low = np.minimum(a, b).astype(np.int64)
-    return np.where(low == 65535, 1 << 40, low).sum(-1)
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, similarity: Similarity, taken: Bloom) -> DataFrame:
-    """The pairs (least, id) that are similar, by counting their common elements.
-
-    Only sets of pairs that pass the bounds are taken from the texts again; a Bloom filter of fixed size picks them.
-    """
-    pairs = pin(_pruned(pairs, classes, similarity), "candidates")
-    wanted = bloom(pairs.select(F.explode(F.array("least", "id")).alias("id")).distinct(), "id", 23)
-
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: set[int] = set()
-            for part in pieces(batch.column(0)):
-                first, value = _sets(part, size)
-                ids = _named(*_identity(first, value), taken)
-                some = [i for i in np.flatnonzero(wanted.holds(ids)).tolist() if not (ids[i] in seen or seen.add(ids[i]))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[some].view(np.int64)), pa.array([value[first[i]:first[i + 1]].tobytes() for i in some], pa.binary())],
-                    ["id", "elements"])
-
-    sets = pin(docs.select("text").mapInArrow(take, "id long, elements binary").dropDuplicates(["id"]), "elements")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            need, a, b = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            good = [
-                k for k in range(len(need))
-                if len(np.intersect1d(np.frombuffer(a[k], np.uint64), np.frombuffer(b[k], np.uint64), True)) >= need[k]
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(good, pa.int64())) for i in (0, 1)], ["least", "id"])
-
-    both = (
-        pairs.join(sets.toDF("least", "a"), "least").join(sets.toDF("id", "b"), "id").select("least", "id", "need", "a", "b")
-    )
-    return both.mapInArrow(count, "least long, id long")
-
-
-def _rest(stars: DataFrame, parts: DataFrame, classes: DataFrame, similarity: Similarity, block: int = 2048) -> DataFrame:
-    """Pairs (least, id) that share a signature but aren't connected yet, as far as their bounds allow a link.
-
-    A signature's members are cut into blocks of about ``block``, and blocks meet pairwise, so that no task gets more than
-    two blocks of a group at once; what leaves a task has passed the bounds.
-    """
-    seen = stars.join(parts.toDF("least", "part_a"), "least", "left").join(parts.toDF("id", "part_b"), "id", "left")
-    part_a, part_b = F.coalesce("part_a", "least"), F.coalesce("part_b", "id")
-    open_keys = pin(seen.filter(part_a != part_b).select("key").distinct(), "open")
-    members = pin(
-        stars.join(open_keys, "key", "left_semi").select("key", F.explode(F.array("least", "id")).alias("id")).distinct(), "members"
-    )
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    spread = members.join(pin(sizes, "sizes"), "key").select(
-        "key", "id", mine.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = (
-        spread.join(classes.select("id", "n", "histogram"), "id").join(parts.toDF("id", "part"), "id", "left")
-        .select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id",
-                F.coalesce("part", "id").alias("part"), "n", "histogram")
-    )
-
-    def meet(found: pd.DataFrame) -> pd.DataFrame:
-        found = found.drop_duplicates("id").sort_values("n", ignore_index=True)
-        ids, part, n, own = (found[c].to_numpy() for c in ("id", "part", "n", "own"))
-        histogram = np.frombuffer(b"".join(found["histogram"]), "<u2").reshape(-1, CELLS)
-        p, q = int(found["p"].iloc[0]), int(found["q"].iloc[0])
-        out = []
-        for i in range(len(ids) - 1):
-            # sizes ascend: partners are at most q / p times as large
-            end = int(np.searchsorted(n, n[i] * similarity.q // similarity.p, "right"))
-            others = np.arange(i + 1, end)
-            others = others[(part[others] != part[i]) & ((own[others] != own[i]) if p != q else True)]
-            if len(others):
-                others = others[_most_common(histogram[others], histogram[i]) >= _needed(n[others] + n[i], similarity)]
-                out.append(np.stack([np.minimum(ids[others], ids[i]), np.maximum(ids[others], ids[i])]))
-        pairs = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"least": pairs[0], "id": pairs[1]})
-
-    return rows.groupBy("key", "p", "q").applyInPandas(meet, "least long, id long").distinct()
+    return texts_of
 
 
 def similar_documents(
@@ -439,8 +244,7 @@ def similar_documents(
     with equal sets are one class, whatever their number, and rows may repeat ids. A null id never names a group that
     has another. Extra columns are ignored; an empty table gives an empty result.
 
-    First, every shared signature links its members to the smallest one, where they are similar. Members of a signature
-    that this does not connect are then compared with each other, so that no link is lost.
+    Pairs that share a signature are verified by counting common elements; no similar pair is without one.
     """
     docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     similarity = Similarity(p, q)
@@ -450,29 +254,24 @@ def similar_documents(
         sets.filter("n > 0").groupBy("low", "high").agg(
             F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("histogram")), "classes"
     )
-    taken = bloom(raw.groupBy("low").count().filter("count > 1"), "low", 16)
+    taken = clashes(raw)
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low, high = (batch.column(i).to_numpy().view(np.uint64).copy() for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_named(low, high, taken).view(np.int64))], [*batch.schema.names, "id"])
+            ids = named(*(batch.column(i).to_numpy().view(np.uint64) for i in (0, 1)), taken)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids.view(np.int64))], [*batch.schema.names, "id"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     classes = pin(raw.mapInArrow(name, f"low long, high long, doc_id {kind}, n long, histogram binary, id long"), "named")
     # about one signature per element; a bucket for each million
     elements = classes.agg(F.sum("n")).first()[0] or 0
     log_buckets = max(3, math.ceil(math.log2(max(1, elements) / (1 << 20))))
-    stars = pin(shared_signatures(docs, size, similarity, frequent, taken, log_buckets), "stars")
-
-    pairs = stars.select("least", "id").distinct()
-    links = pin(_verified(pairs, docs, classes, size, similarity, taken), "links")
-    parts = components(links, "least", "id")
-    rest = _rest(stars, parts, classes, similarity).join(pairs, ["least", "id"], "left_anti")
-    more = pin(_verified(rest, docs, classes, size, similarity, taken), "links")
-    if not more.isEmpty():
-        parts = components(parts.toDF("least", "id").unionByName(more), "least", "id")
+    signer = _signer(size, similarity, frequent, taken)
+    stars = pin(shared_signatures(docs.select("text"), signer, log_buckets), "stars")
+    parts = settle(
+        stars, classes.select("id", "n", "histogram"), _texts_of(docs, size, taken), lambda part: _sets(part, size), similarity)
 
-    grouped = classes.join(parts.toDF("id", "part"), "id", "left").select(
+    grouped = classes.join(parts, "id", "left").select(
         "low", "high", "doc_id", F.coalesce("part", "id").alias("part"))
     grouped = pin(grouped, "grouped")
     names = grouped.groupBy("part").agg(F.min("doc_id").alias("component_id"))

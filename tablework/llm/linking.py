@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 from tablework.llm.components import components
 from tablework.llm.sketches import Bloom, bloom
-from tablework.llm.words import mix, seeded
+from tablework.llm.words import Texts, mix, pieces, seeded
 from tablework.session import pin
 
 #: hash classes of a histogram
-CELLS = 64
+CELLS = 256
 
 
 @dataclass(frozen=True)
@@ -55,8 +55,8 @@ def clashes(classes: DataFrame) -> Bloom:
 def histogram(first: np.ndarray, value: np.ndarray) -> np.ndarray:
     """How many elements each set has in each hash class; saturated counts are taken as unknown."""
     of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    at = of * CELLS + (seeded(value, 60) >> np.uint64(58)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=(len(first) - 1) * CELLS), 65535).astype("<u2").reshape(-1, CELLS)
+    at = of * CELLS + (seeded(value, 60) >> np.uint64(56)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=(len(first) - 1) * CELLS), 255).astype(np.uint8).reshape(-1, CELLS)
 
 
 def distinct_sets(owner: np.ndarray, value: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +171,7 @@ def _pruned(pairs: DataFrame, classes: DataFrame, threshold: Threshold) -> DataF
             if not batch.num_rows:
                 continue
             a, b = (batch.column(i).to_numpy() for i in (2, 3))
-            ha, hb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, CELLS) for i in (4, 5))
+            ha, hb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, CELLS) for i in (4, 5))
             need = threshold.needed(a + b)
             fits = np.flatnonzero((np.minimum(a, b) >= need) & (_most_common(ha, hb) >= need))
             yield pa.RecordBatch.from_arrays(
@@ -183,25 +183,33 @@ def _pruned(pairs: DataFrame, classes: DataFrame, threshold: Threshold) -> DataF
 
 def _most_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Upper bound of common elements from histograms; a saturated class bounds nothing."""
-    low = np.minimum(a, b).astype(np.int64)
-    return np.where(low == 65535, 1 << 40, low).sum(-1)
+    low = np.minimum(a, b)
+    return np.where((low == 255).any(-1), 1 << 40, low.sum(-1, dtype=np.int64))
 
 
-def _similar(pairs: DataFrame, elements: DataFrame) -> DataFrame:
-    """The pairs (least, id, need) with at least ``need`` common elements, of (id, elements)."""
+#: from some texts, their sets: set i has the elements ``value[first[i]:first[i + 1]]``
+Cutter = Callable[[Texts], tuple[np.ndarray, np.ndarray]]
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, cut: Cutter) -> DataFrame:
+    """The pairs (least, id, need) with at least ``need`` common elements, of (id, text).
+
+    Texts travel, and their sets are cut where a pair meets: a text is several times smaller than its elements.
+    """
+
+    def sets(column: pa.Array) -> Iterator[np.ndarray]:
+        for part in pieces(column):
+            first, value = cut(part)
+            yield from (value[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            need, a, b = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            good = [
-                k for k in range(len(need))
-                if len(np.intersect1d(np.frombuffer(a[k], np.uint64), np.frombuffer(b[k], np.uint64), True)) >= need[k]
-            ]
+            both = zip(sets(batch.column(3)), sets(batch.column(4)), batch.column(2).to_pylist())
+            good = [k for k, (a, b, need) in enumerate(both) if len(np.intersect1d(a, b, True)) >= need]
             yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(good, pa.int64())) for i in (0, 1)], ["least", "id"])
 
     both = (
-        pairs.join(elements.toDF("least", "a"), "least").join(elements.toDF("id", "b"), "id")
-        .select("least", "id", "need", "a", "b")
+        pairs.join(texts.toDF("least", "a"), "least").join(texts.toDF("id", "b"), "id").select("least", "id", "need", "a", "b")
     )
     return both.mapInArrow(count, "least long, id long")
 
@@ -255,7 +263,7 @@ def _groups(table: pa.Table) -> np.ndarray:
 def _close_pairs(table: pa.Table, group: np.ndarray, threshold: Threshold, at_once: int = 1 << 18) -> pa.RecordBatch:
     """Pairs in one group whose sets aren't connected, as far as sizes and histograms allow a link."""
     ids, part, n, own, p, q = (table.column(c).to_numpy() for c in ("id", "part", "n", "own", "p", "q"))
-    cells = np.frombuffer(b"".join(table.column("histogram").to_pylist()), "<u2").reshape(-1, CELLS)
+    cells = np.frombuffer(b"".join(table.column("histogram").to_pylist()), np.uint8).reshape(-1, CELLS)
     out, left, step = [np.zeros((2, 0), np.int64)], np.arange(len(ids)), 1
     while len(left := left[left + step < len(ids)]):
         other = left + step
@@ -275,12 +283,12 @@ def _close_pairs(table: pa.Table, group: np.ndarray, threshold: Threshold, at_on
 
 
 def settle(
-    stars: DataFrame, classes: DataFrame, elements_of: Callable[[DataFrame], DataFrame], threshold: Threshold
+    stars: DataFrame, classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], cut: Cutter, threshold: Threshold
 ) -> DataFrame:
     """Groups of similar sets: (id, part) for every set that is linked with another.
 
     ``stars`` (key, least, id) are shared signatures, ``classes`` (id, n, histogram) the sets' sizes and histograms, and
-    ``elements_of`` gives (id, elements), once per set, of pairs (least, id).
+    ``texts_of`` gives (id, text), once per set, of pairs (least, id); ``cut`` makes the sets of texts.
 
     First, every signature's members meet its smallest one. Members that this leaves in different groups are then compared
     with each other, so that no link between sets that share a signature is lost.
@@ -288,7 +296,7 @@ def settle(
 
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = pin(_pruned(pairs, classes, threshold), "candidates")
-        return pin(_similar(pairs, elements_of(pairs)), "links")
+        return pin(_similar(pairs, texts_of(pairs), cut), "links")
 
     pairs = stars.select("least", "id").distinct()
     parts = components(linked(pairs), "least", "id").toDF("id", "part")
