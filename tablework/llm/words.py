@@ -133,6 +133,11 @@ class Words:
         return text, whole, value
 
 
+def lower(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lower-cased; a copy."""
+    return _LOWER[data]
+
+
 def words(texts: Texts, kind: np.ndarray) -> Words:
     """Words of the byte class ``kind`` after lower-casing A-Z."""
     data, offsets = _LOWER[texts.data], texts.offsets

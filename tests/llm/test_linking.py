@@ -129,6 +129,26 @@ def _line_rows(seed=4):
     return rows
 
 
+def test_lines_are_cut_like_text():
+    import pyarrow as pa
+
+    from tablework.llm.words import pieces
+
+    rng = __import__("random").Random(8)
+    texts = ["", "\n", "a\n", "\na", None, " x  Y\t\n\n z ", "é\n\n", "\n\n"]
+    texts += ["".join(rng.choice("ab \n\tÉ") for _ in range(rng.randrange(40))) for _ in range(300)]
+    for least in (0, 1, 2):
+        for limit in (1, 50, 1 << 20):
+            got = []
+            for part in pieces(pa.array(texts, pa.string()), limit):
+                text, number, cut = lines.cut_lines(part, least)
+                raw = cut.data.tobytes()
+                got += [(part.first_row + t, n, raw[a:b].decode()) for t, n, a, b in zip(
+                    text.tolist(), number.tolist(), cut.offsets[:-1].tolist(), cut.offsets[1:].tolist())]
+            want = [(k, n, _normal(x)) for k, t in enumerate(texts) for n, x in enumerate((t or "").split("\n"))]
+            assert got == [x for x in want if x[2] and x[2].count(" ") + 1 >= least]
+
+
 def test_lines_against_brute_force(many_partitions):
     rows = _line_rows()
     df = corpora.frame(many_partitions, rows).repartition(5)
