@@ -324,7 +324,7 @@ def _featured(rows: DataFrame, terms: dict[int, list[Term]]) -> DataFrame:
     return rows.select("text", "label", "fold").mapInArrow(run, "label double, features array<double>")
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> ToxicityModel:
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000) -> ToxicityModel:
     """Fit the lexicon and its weights on at most ``sample_rows`` labelled documents outside of the held-out ones.
 
     Each half of the sample gets its features from stems of the other half, so that the weights know how well stems hold
