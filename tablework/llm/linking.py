@@ -21,7 +21,7 @@ from tablework.llm.words import Texts, mix, pieces, seeded
 from tablework.session import pin
 
 #: hash classes of a histogram
-CELLS = 256
+CELLS = 512
 
 
 @dataclass(frozen=True)
@@ -55,7 +55,7 @@ def clashes(classes: DataFrame) -> Bloom:
 def histogram(first: np.ndarray, value: np.ndarray) -> np.ndarray:
     """How many elements each set has in each hash class; saturated counts are taken as unknown."""
     of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    at = of * CELLS + (seeded(value, 60) >> np.uint64(56)).astype(np.int64)
+    at = of * CELLS + (seeded(value, 60) >> np.uint64(55)).astype(np.int64)
     return np.minimum(np.bincount(at, minlength=(len(first) - 1) * CELLS), 255).astype(np.uint8).reshape(-1, CELLS)
 
 
