@@ -111,7 +111,8 @@ def op4_exact_dedup(t: Tables) -> DataFrame:
 
 @operator()
 def op5_line_dedup(t: Tables) -> DataFrame:
-    return lines.line_report(t.documents)
+    """Every line that isn't blank, however short."""
+    return lines.line_report(t.documents, least_words=1)
 
 
 @operator()
