@@ -4,7 +4,7 @@ documents go, and what is left is encoded."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.llm import bpe, contamination, jaccard, lines, toxicity
@@ -14,10 +14,19 @@ from tablework.session import pin, prepare
 TOXIC = 0.3
 
 
-def _without(docs: DataFrame, judged: DataFrame, stays: Column) -> DataFrame:
-    """The documents whose id has a row in ``judged`` that stays; rows that repeat an id share its fate."""
-    gone = judged.groupBy("doc_id").agg(F.max(stays).alias("stays")).filter("NOT stays").select(F.col("doc_id").alias("gone"))
-    return docs.join(pin(gone, "gone"), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a ``key`` that orders them by id, nulls last, then text, and differs for all rows. Written once,
+    as row numbers depend on how rows are read."""
+    key = F.struct(
+        F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"),
+        F.monotonically_increasing_id().alias("row"))
+    return pin(docs.withColumn("key", key), "numbered")
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Numbered documents without the rows whose keys are in ``gone``."""
+    gone = pin(gone.select(F.col("doc_id.row").alias("gone")), "gone")
+    return docs.join(gone, F.col("key.row") == F.col("gone"), "left_anti").drop("key")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,15 +43,17 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are linked by similarity, the one with the smallest id."""
-    found = jaccard.similar_documents(docs)
-    return _without(docs, found, F.col("doc_id").eqNullSafe(F.col("component_id")))
+    """Of rows that are linked by similarity, one: that with the smallest id, a null id only if no row has another."""
+    docs = _numbered(docs)
+    found = jaccard.similar_documents(docs, id="key")
+    return _without(docs, found.filter("doc_id.row <> component_id.row"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that don't hold benchmark windows in one word of twenty."""
-    found = contamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found, ~F.col("contaminated"))
+    """Rows that don't hold benchmark windows in one word of twenty, each judged by its own text."""
+    docs = _numbered(docs)
+    found = contamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="key")
+    return _without(docs, found.filter("contaminated"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
