@@ -46,10 +46,13 @@ def rule_for(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Links between different hosts as (src, dst, n). Relative links stay on their host and are left out."""
-    hrefs = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit("(?i)href\\s*=\\s*[\"']?([^\"'\\s>]*://[^\"'\\s>]+)"), 1)
+    """Links between different hosts as (src, dst, n). A link that begins with ``//`` names a host too; other relative links
+    stay on their host and are left out."""
+    link = F.lit("(?i)href\\s*=\\s*[\"']?(//[^\"'\\s>]+|[^\"'\\s>]*://[^\"'\\s>]+)")
+    hrefs = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), link, 1)
     pairs = pages.select(host_of(F.col(url)).alias("src"), F.explode(hrefs).alias("to"))
-    pairs = pairs.select("src", host_of(F.col("to")).alias("dst"))
+    whole = F.when(F.col("to").startswith("//"), F.concat(F.lit("http:"), "to")).otherwise(F.col("to"))
+    pairs = pairs.select("src", host_of(whole).alias("dst"))
     return pairs.filter("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
