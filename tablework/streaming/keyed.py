@@ -19,8 +19,9 @@ from tablework.streaming.ingest import run_batches
 class OncePerKey:
     """A sink that takes each record once, however late it comes first or again.
 
-    A record is known by its keys, and sent again with the same time. Files lie in one folder per day of that time, so
-    a micro-batch meets only the days that it has records of, and no state grows with the stream. A batch writes under
+    A record is known by its keys and the day of its time, however batches are cut; a key with another day is another
+    record. Files lie in one folder per day, so a micro-batch meets only the days that it has records of, and no state
+    grows with the stream. A batch writes under
     its own number and is not compared with itself, so a replay replaces what it wrote before.
     """
 
@@ -33,14 +34,14 @@ class OncePerKey:
 
     def absorb(self, frame: DataFrame, batch_id: int) -> None:
         day = F.coalesce(F.date_format(self.time, "yyyy-MM-dd"), F.lit("none"))
-        fresh = frame.dropDuplicates(self.keys).withColumn("day", day)
+        fresh = frame.withColumn("day", day).dropDuplicates([*self.keys, "day"])
         days = [r["day"] for r in fresh.select("day").distinct().collect()]  # the days of one batch
         written = [p for p in self._batches() if p != f"batch_id={batch_id}"]
         if days and written:
             known = self.spark.read.schema(self._stored()).option("basePath", self.path).parquet(
                 *[f"{self.path}/{p}" for p in written])
-            known = known.filter(F.col("day").isin(days)).select(*[F.col(k).alias(f"_{k}") for k in self.keys])
-            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys])
+            known = known.filter(F.col("day").isin(days)).select(*[F.col(k).alias(f"_{k}") for k in [*self.keys, "day"]])
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in [*self.keys, "day"]])
             fresh = fresh.join(known, same, "left_anti")
         write_batch(fresh, self.path, batch_id, ["day"], fmt="parquet")
 
