@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, contamination, exact, jaccard, language, lines, toxicity, urls, warc
+from tablework.llm import bpe, chat, contamination, exact, jaccard, language, lines, repetition, toxicity, urls, warc
 from tablework.plans.registry import Tables
 from tablework.session import pin, prepare, scratch
 
@@ -185,3 +185,44 @@ def op10_warc(t: Tables) -> DataFrame:
         F.col("headers")["X-Page-Id"].cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.regexp_extract("refers_to", "^<urn:page:([0-9-]+):", 1).cast("long").alias("refers_to"),
     )
+
+
+_REPETITION_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
+c AS (SELECT doc_id, i, length(x) AS size FROM x),
+g5 AS (SELECT doc_id, i, x, x || ' ' || lead(x, 1) OVER s || ' ' || lead(x, 2) OVER s || ' ' || lead(x, 3) OVER s || ' ' || lead(x, 4) OVER s AS g
+       FROM x WINDOW s AS (PARTITION BY doc_id ORDER BY i)),
+g AS (""" + " UNION ALL ".join(
+    f"SELECT doc_id, i, {k} AS k, g" + "".join(f" || ' ' || lead(x, {n}) OVER s" for n in range(5, k))
+    + " AS g FROM g5 WINDOW s AS (PARTITION BY doc_id ORDER BY i)" for k in range(5, 11)) + """),
+m AS (SELECT doc_id, k, i, count(*) OVER (PARTITION BY doc_id, k, g) AS n, row_number() OVER (PARTITION BY doc_id, k, g ORDER BY i) AS r
+      FROM g WHERE g IS NOT NULL),
+hit AS (SELECT doc_id, k, j, max(r) > 1 AS again FROM m, unnest(range(i, i + k)) AS u(j) WHERE n > 1 GROUP BY ALL),
+s AS (SELECT hit.doc_id, """ + ", ".join(
+    f"coalesce(sum(size) FILTER (k = {k} AND again), 0)::BIGINT AS dup_chars_{k}" for k in range(5, 11)) + """,
+      count(*) FILTER (k = 8) AS n_repeat_words
+      FROM hit JOIN c ON c.doc_id = hit.doc_id AND c.i = hit.j GROUP BY hit.doc_id),
+l AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) AS r
+      FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d)
+      WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+n AS (SELECT doc_id, count(*) FILTER (r > 1) AS n_dup_lines,
+             coalesce(sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g'))) FILTER (r > 1), 0)::BIGINT AS dup_line_chars
+      FROM l GROUP BY doc_id),
+a AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+             coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+             coalesce(dup_line_chars, 0)::BIGINT AS dup_line_chars, """ + ", ".join(
+    f"coalesce(dup_chars_{k}, 0)::BIGINT AS dup_chars_{k}" for k in range(5, 11)) + """
+      FROM d LEFT JOIN s USING (doc_id) LEFT JOIN n USING (doc_id))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+       AND 100 * dup_line_chars <= 20 * word_chars AND """ + " AND ".join(
+    f"100 * dup_chars_{k} <= {20 - k} * word_chars" for k in range(5, 11)) + """ AS kept
+FROM a
+"""
+
+
+@operator(_REPETITION_SQL)
+def op11_quality_rules(t: Tables) -> DataFrame:
+    return repetition.repetition(t.documents)
