@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, contamination, exact, jaccard, language, lines, repetition, toxicity, urls, warc
+from tablework.llm import bpe, chat, contamination, exact, jaccard, language, lines, repetition, runs, toxicity, urls, warc
 from tablework.plans.registry import Tables
 from tablework.session import pin, prepare, scratch
 
@@ -226,3 +226,39 @@ FROM a
 @operator(_REPETITION_SQL)
 def op11_quality_rules(t: Tables) -> DataFrame:
     return repetition.repetition(t.documents)
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """The documents, one in ten of them with a period from some word on, by a checksum of the id."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    picked = docs.select(
+        "doc_id", "text", h.alias("h"),
+        F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))).alias("w"))
+    sized = picked.select("doc_id", "text", "w", F.size("w").alias("n"), F.floor(F.col("h") / 10).alias("g"))
+    begun = sized.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    p = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("int")
+    begun = begun.withColumn("p", p)
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    periodic = F.slice(F.concat(F.slice("w", F.lit(1), F.col("a")), again), F.lit(1), F.col("n"))
+    return begun.select("doc_id", F.when(F.col("n") > 0, F.array_join(periodic, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def _stronger(a: Column, b: Column) -> Column:
+    """Order of runs: by length / period downwards, then start and period."""
+    left, right = a["length"] * b["period"], b["length"] * a["period"]
+    later = F.when(a["start"] != b["start"], a["start"] > b["start"]).otherwise(a["period"] > b["period"])
+    return F.when(left > right, -1).when(left < right, 1).when(later, 1).otherwise(-1)
+
+
+@operator()
+def op12_periodic_runs(t: Tables) -> DataFrame:
+    found = runs.word_runs(_with_periods(t.documents.select("doc_id", "text")))
+    best = F.get(F.array_sort("runs", _stronger), F.lit(0))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
