@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, contamination, exact, jaccard, language, lines, repetition, runs, toxicity, urls, warc
+from tablework.llm import bpe, chat, contamination, exact, jaccard, language, lines, repetition, runs, spelling, toxicity, urls, warc
 from tablework.plans.registry import Tables
 from tablework.session import pin, prepare, scratch
 
@@ -262,3 +262,51 @@ def op12_periodic_runs(t: Tables) -> DataFrame:
     return found.select(
         "doc_id", "n_runs", "best.start", "best.length", "best.period",
         F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+# the checksum of the ids and words in SQL: one step per byte, by the usual table of 256 values
+_CRC_TABLE = (
+    "list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), "
+    "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
+_CRC_BYTES = (
+    "flatten(list_transform(string_split(doc_id::VARCHAR || ':' || run, ''), "
+    "lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END))")
+_CRC = (
+    f"xor(list_reduce(list_prepend(4294967295, {_CRC_BYTES}), "
+    f"lambda c, b: xor(c >> 8, list_extract({_CRC_TABLE}, (xor(c, b) & 255) + 1))), 4294967295)")
+
+_SPELLING_SQL = f"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[a-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents),
+c AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 5 GROUP BY ALL),
+h AS (SELECT run, n, {_CRC} AS h FROM c),
+p AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM p WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+d AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS short FROM v, unnest(range(length(word))) AS u(i)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS near, b.n FROM d a JOIN d b ON a.i = b.i AND a.short = b.short AND a.word <> b.word
+  UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.short = v.word
+  UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.short = v.word),
+best AS (SELECT word, near, n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS r
+         FROM near),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN b.n >= 2 * v.n THEN near END AS form,
+             CASE WHEN b.n >= 2 * v.n THEN b.n END AS form_n FROM v LEFT JOIN best b ON b.word = v.word AND r = 1),
+walk AS (SELECT word, form AS root FROM f WHERE form IS NOT NULL
+         UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL),
+ends AS (SELECT walk.word, root FROM walk JOIN f ON f.word = root WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN ends ON ends.word = f.word
+"""
+
+
+def _with_slips(words: DataFrame) -> DataFrame:
+    """Words of texts, one in 97 of them without one of its letters, by a checksum of the id and the word."""
+    h = F.crc32(F.encode(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("word")), "UTF-8"))
+    words = words.select("word", h.alias("h"))
+    without = F.expr("concat(substring(word, 1, int(h % length(word))), substring(word, int(h % length(word)) + 2))")
+    return words.select(F.when(F.col("h") % 97 == 0, without).otherwise(F.col("word")).alias("word"))
+
+
+@operator(_SPELLING_SQL)
+def op13_spelling_variants(t: Tables) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(_with_slips(spelling.text_words(t.documents))))
