@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, Param, Params, TypeConverters
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablework.models.stored import StoredModel
 from tablework.operators.joins import lookup_join
+from tablework.session import pin
 
 
 class _GroupMeanParams(HasLabelCol, HasPredictionCol):
@@ -17,8 +21,8 @@ class _GroupMeanParams(HasLabelCol, HasPredictionCol):
     groupCol = Param(Params._dummy(), "groupCol", "column whose groups are averaged", TypeConverters.toString)
 
 
-class GroupMeanModel(Model, _GroupMeanParams):
-    """Means per group; a group that was not seen gets the mean of all labels."""
+class GroupMeanModel(StoredModel, _GroupMeanParams):
+    """Stored means per group; a group that was not seen gets the mean of all labels."""
 
     def __init__(self, means: DataFrame | None = None, overall: float | None = None):
         super().__init__()
@@ -26,26 +30,23 @@ class GroupMeanModel(Model, _GroupMeanParams):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         group, name = self.getOrDefault("groupCol"), self.getOrDefault("predictionCol")
-        joined = lookup_join(df, self.means.withColumnRenamed("mean", name), [group], "left")
-        return joined.withColumn(name, F.coalesce(name, F.lit(self.overall)))
+        means = self.means.toDF(group, name)
+        return lookup_join(df, means, [group], "left").withColumn(name, F.coalesce(name, F.lit(self.overall)))
 
-    def save_means(self, path: str) -> None:
-        """Store the means, with the overall mean under no group of its own."""
-        overall = self.means.sparkSession.range(1).select(F.lit(self.overall).alias("mean"), F.lit(True).alias("overall"))
-        marked = self.means.withColumn("overall", F.lit(False))
-        marked.unionByName(overall, allowMissingColumns=True).write.parquet(path)
+    def frames(self) -> dict[str, DataFrame]:
+        overall = self.means.sparkSession.range(1).select(F.lit(self.overall).cast("double").alias("mean"))
+        return {"means": self.means, "overall": overall}
 
     @classmethod
-    def load_means(cls, spark: SparkSession, path: str, **params: str) -> GroupMeanModel:
-        """A stored model; ``params`` are those of the regressor."""
-        stored = spark.read.parquet(path)
-        overall = stored.filter("overall").first()["mean"]
-        model = cls(stored.filter("not overall").drop("overall"), overall)
-        return model._set(**params)
+    def restored(cls, frame: Callable[[str], DataFrame]) -> GroupMeanModel:
+        return cls(frame("means"), frame("overall").first()["mean"])
 
 
 class GroupMeanRegressor(Estimator, _GroupMeanParams):
-    """``GroupMeanRegressor(groupCol="city", labelCol="stars").fit(train).transform(test)``."""
+    """``GroupMeanRegressor(groupCol="city", labelCol="stars").fit(train).transform(test)``.
+
+    The means are written once when they are fitted; the mean of all labels follows from the sums of the groups.
+    """
 
     @keyword_only
     def __init__(self, *, groupCol: str = "group", labelCol: str = "label", predictionCol: str = "prediction"):
@@ -54,7 +55,7 @@ class GroupMeanRegressor(Estimator, _GroupMeanParams):
 
     def _fit(self, df: DataFrame) -> GroupMeanModel:
         group, label = self.getOrDefault("groupCol"), self.getOrDefault("labelCol")
-        sums = df.groupBy(group).agg(F.sum(label).alias("total"), F.count(label).alias("n"))
+        sums = pin(df.groupBy(group).agg(F.sum(label).alias("total"), F.count(label).alias("n")), "means")
         means = sums.select(group, (F.col("total") / F.col("n")).alias("mean"))
-        overall = df.agg(F.avg(label).alias("m")).first()["m"]
+        overall = sums.agg((F.sum("total") / F.sum("n")).alias("m")).first()["m"]
         return self._copyValues(GroupMeanModel(means, overall))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -13,6 +13,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablework.models.network import NetworkClassifier
 from tablework.operators.features import all_present, folds
 
 
@@ -92,17 +93,14 @@ def blend(df: DataFrame, label: str, feature_sets: dict[str, Sequence[str]], *,
     return Pipeline(stages=stages).fit(df)
 
 
-def network(label: str, layers: Sequence[int], *, epochs: int, step: float, batch: int = 128, seed: int = 43):
-    """Feed-forward classifier; hidden units are sigmoid and the last layer has one unit per class."""
-    return MultilayerPerceptronClassifier(
-        featuresCol="features", labelCol=label, layers=list(layers), maxIter=epochs, stepSize=step, blockSize=batch,
-        seed=seed,
-    )
+def network(label: str, layers: Sequence[int], *, epochs: int, step: float, batch: int = 128, seed: int = 43, **more):
+    """Feed-forward classifier of labels 0 and 1 with ``layers``: inputs, units of each hidden layer, and 2 classes."""
+    return NetworkClassifier(labelCol=label, hidden=layers[1:-1], epochs=epochs, rate=step, batch=batch, seed=seed, **more)
 
 
 def loss_history(model) -> list[float]:
-    """Training loss per iteration of a fitted network."""
-    return list(model.summary().objectiveHistory)
+    """Training loss per epoch of a fitted network."""
+    return [epoch.train_loss for epoch in model.history]
 
 
 def cross_validate(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.models import training
+from tablework.models import network, training
 from tablework.models.group_mean import GroupMeanRegressor
+from tablework.models.network import Network, NetworkClassifier, training_rows
 from tablework.operators import evaluate, features
 from tablework.operators.counts import category_widths
 from tablework.operators.mapping import first_columns
@@ -372,17 +373,108 @@ def blend(t: Tables) -> DataFrame:
     return scores[0].unionByName(scores[1])
 
 
-@query()
+# the two networks, by their hidden units
+NETWORKS = {
+    "128-128": {"hidden": [128, 128], "rate": 0.01, "dropout": 0.2, "epochs": 40, "batch": 128},
+    "64-64": {"hidden": [64, 64], "rate": 0.001, "dropout": 0.1, "epochs": 50, "batch": 64, "adam": True},
+}
+SHARES = ["mark_share", "upper_share"]
+
+
+def _with_shares(df: DataFrame) -> DataFrame:
+    """Marks and capitals by character; a text without characters has none."""
+    shares = {"mark_share": F.try_divide("n_marks", "n_chars"), "upper_share": F.try_divide("n_upper", "n_chars")}
+    return df.withColumns({name: F.coalesce(share, F.lit(0.0)) for name, share in shares.items()})
+
+
+def _network_stages() -> list:
+    """Numbers scaled, and the language as indicators."""
+    stages, encoded = training.category_stages(["lang_code"])
+    return [*stages, *training.feature_stages([*NUMERIC, *SHARES], encoded)]
+
+
+TEST_SQL = f"""SELECT * FROM ({FEATURES_SQL}) WHERE CAST('0x' || substr(md5('43:' || doc_id), 1, 8) AS BIGINT) % 100 >= 67"""
+
+
+@query(f"""
+    WITH test AS ({TEST_SQL}),
+    n AS (SELECT CAST(quality AS VARCHAR) AS name, count(*) AS support FROM test GROUP BY 1
+          UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), count(*) FROM test)
+    SELECT network, rows, name, support, TRUE AS is_better FROM n,
+      (VALUES ('128-128', 'all'), ('64-64', 'all'), ('128-128', 'balanced')) v(network, rows)""")
 def mlp_classify(t: Tables) -> DataFrame:
-    """A network trained on balanced labelled documents and reported on the untouched held-out ones."""
-    train, test = _split(labelled(t), "doc_id")
+    """Reports of stored networks on held-out documents, and whether each is better than always naming the larger class:
+    in accuracy if it learned from all rows, in mean recall if it learned from balanced ones."""
+    train, test = _split(_with_shares(labelled(t)), "doc_id")
     grown = pin(
-        oversample(train, id_col="doc_id", label="quality", numeric=NUMERIC, categorical=["lang_code"]), "balanced"
+        oversample(train, id_col="doc_id", label="quality", numeric=[*NUMERIC, *SHARES], categorical=["lang_code"]), "balanced"
     )
-    stages = training.feature_stages(NUMERIC, ["lang_code"])
-    net = training.network("quality", [len(NUMERIC) + 1, 16, 16, 2], epochs=40, step=0.01)
-    model = training.train_and_store(grown, [*stages, net], scratch(t.spark, "network"))
-    return evaluate.classification_report(model.transform(test), "quality", "prediction")
+    out = []
+    for name, rows in (("128-128", "all"), ("64-64", "all"), ("128-128", "balanced")):
+        net = NetworkClassifier(labelCol="quality", **NETWORKS[name])
+        model = training.train_and_store(train if rows == "all" else grown, [*_network_stages(), net], scratch(t.spark, "network"))
+        report = {r["name"]: r for r in evaluate.classification_report(model.transform(test), "quality", "prediction").collect()}
+        largest = max(report[c]["support"] for c in ("0", "1"))
+        if rows == "all":
+            better = report["accuracy"]["precision"] * report["accuracy"]["support"] >= largest
+        else:
+            better = report["macro avg"]["recall"] > 0.5
+        out += [(name, rows, r["name"], r["support"], better) for r in report.values()]
+    return t.spark.createDataFrame(out, "network string, rows string, name string, support long, is_better boolean")
+
+
+def _fold_rows(t: Tables) -> DataFrame:
+    """Network inputs of the labelled documents with their fold, stored."""
+    rows = features.folds(_with_shares(labelled(t)), ["doc_id"], 4)
+    for stage in _network_stages():
+        rows = (stage.fit(rows) if hasattr(stage, "fit") else stage).transform(rows)
+    return training_rows(rows, "features", "quality", "fold")
+
+
+def _n_inputs(rows: DataFrame) -> int:
+    return len(rows.select("x").first()["x"])
+
+
+FOLDS_SQL = f"SELECT CAST('0x' || substr(md5('7:' || doc_id), 1, 8) AS BIGINT) % 4 AS fold FROM ({FEATURES_SQL})"
+
+
+@query(f"""
+    WITH f AS ({FOLDS_SQL}), n AS (SELECT fold::INTEGER AS fold, count(*) AS n_held FROM f GROUP BY 1)
+    SELECT rate, dropout, fold, (SELECT count(*) FROM f) - n_held AS n_train, n_held, TRUE AS is_scored, TRUE AS is_mean,
+           4::BIGINT AS n_folds, 1::BIGINT AS n_best
+    FROM n, (SELECT unnest([0.01::DOUBLE, 0.001::DOUBLE]) AS rate), (SELECT unnest([0.2::DOUBLE, 0.5::DOUBLE]) AS dropout)""")
+def grid_search(t: Tables) -> DataFrame:
+    """Two rates by two dropout shares in four folds: rows of each fold, whether each accuracy is a share of the held-out
+    rows, whether the mean is that of the network's folds, and how many networks come first."""
+    rows = _fold_rows(t)
+    inputs = _n_inputs(rows)
+    networks = [Network(inputs, (128, 128), rate, dropout) for rate in (0.01, 0.001) for dropout in (0.2, 0.5)]
+    scores = network.fold_scores(t.spark, network.cross_validate(rows, networks, epochs=40))
+    hits = F.col("accuracy") * F.col("n_held")
+    own, all_rows = Window.partitionBy("rate", "dropout"), Window.partitionBy()  # sixteen rows
+    return scores.select(
+        "rate", "dropout", "fold", "n_train", "n_held",
+        (F.col("accuracy").between(0, 1) & (F.abs(hits - F.round(hits)) < 1e-6)).alias("is_scored"),
+        (F.abs(F.avg("accuracy").over(own) - F.col("mean_accuracy")) < 1e-9).alias("is_mean"),
+        F.count("*").over(own).alias("n_folds"),
+        (F.sum((F.col("place") == 1).cast("long")).over(all_rows) / F.count("*").over(own)).cast("long").alias("n_best"))
+
+
+@query(f"""
+    WITH f AS ({FOLDS_SQL})
+    SELECT fold::INTEGER AS fold, epoch::INTEGER AS epoch, TRUE AS is_finite, TRUE AS has_fallen
+    FROM (SELECT DISTINCT fold FROM f), (SELECT unnest(generate_series(1, 40)) AS epoch)""")
+def loss_history(t: Tables) -> DataFrame:
+    """Loss on training and on held-out rows, by fold and epoch: whether both are finite, and whether the fold's last are
+    not above its first."""
+    rows = _fold_rows(t)
+    found = network.cross_validate(rows, [Network(_n_inputs(rows), (128, 128), 0.01, 0.2)], epochs=40)
+    losses = network.epoch_losses(t.spark, found)
+    own = Window.partitionBy("fold").orderBy("epoch").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    fallen = [F.last(c).over(own) <= F.first(c).over(own) for c in ("train_loss", "held_loss")]
+    finite = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")) for c in ("train_loss", "held_loss")]
+    return losses.select(
+        "fold", "epoch", (finite[0] & finite[1]).alias("is_finite"), (fallen[0] & fallen[1]).alias("has_fallen"))
 
 
 @query(f"""
