@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.functions.hashing import hash_number
 from tablework.operators.joins import lookup_join
+from tablework.operators.position import global_position
 from tablework.session import pin
 
 
@@ -49,6 +51,32 @@ def multi_hot(df: DataFrame, key: str, category: str, vocabulary: Sequence[str])
     return df.groupBy(key).agg(*flags)
 
 
+def numbered_categories(df: DataFrame, category: str) -> DataFrame:
+    """(category, index): the distinct categories in order, numbered from 0 across partitions, as a stored table."""
+    found = df.select(category).filter(F.col(category).isNotNull()).distinct()
+    return pin(global_position(found, [category], "index", unique=True), "categories")
+
+
+def sparse_indicators(df: DataFrame, key: str, category: str, numbered: DataFrame | None = None) -> DataFrame:
+    """Per key its categories as a sparse 0/1 row: (key, size, indices), where ``indices`` are the numbers of its
+    categories in order and ``size`` is how many categories there are.
+
+    No category reaches the driver, so that there may be as many as rows. ``numbered`` gives the numbers of an earlier
+    table instead; categories it doesn't have are ignored, and a key without any has no indices. A key's list is one row.
+    """
+    numbered = numbered_categories(df, category) if numbered is None else numbered
+    pairs = df.select(key, category).distinct()
+    met = lookup_join(pairs, numbered, [category], "left")
+    rows = met.groupBy(key).agg(F.array_sort(F.collect_set("index")).alias("indices"))
+    size = numbered.agg(F.coalesce(F.max("index") + 1, F.lit(0)).alias("size")).scalar()
+    return rows.select(key, size.alias("size"), "indices")
+
+
+def indicator_vector(size: str, indices: str) -> Column:
+    """A sparse row as a vector for a model."""
+    return F.udf(lambda n, some: Vectors.sparse(n, some, [1.0] * len(some)), VectorUDT(), useArrow=False)(size, indices)
+
+
 def vocabulary(df: DataFrame, category: str, limit: int = 10_000) -> list[str]:
     """Sorted distinct categories, to be used as columns; more than ``limit`` is an error."""
     rows = df.select(category).filter(F.col(category).isNotNull()).distinct().limit(limit + 1).collect()

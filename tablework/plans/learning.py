@@ -8,7 +8,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.models import network, training
+from tablework.models import network, search, training
 from tablework.models.group_mean import GroupMeanRegressor
 from tablework.models.network import Network, NetworkClassifier, training_rows
 from tablework.operators import evaluate, features
@@ -119,6 +119,17 @@ def multi_hot(t: Tables) -> DataFrame:
     return features.multi_hot(t.events, "user_id", "event_type", features.vocabulary(t.events, "event_type"))
 
 
+@query("""
+    WITH n AS (SELECT p, row_number() OVER (ORDER BY p) - 1 AS i FROM (SELECT DISTINCT l_partkey AS p FROM lineitem)),
+    o AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
+    SELECT l_orderkey, (SELECT count(*) FROM n) AS size, string_agg(i::VARCHAR, ',' ORDER BY i) AS indices, count(*)::INTEGER AS n_set
+    FROM o JOIN n ON p = l_partkey GROUP BY 1""")
+def sparse_indicators(t: Tables) -> DataFrame:
+    """Which parts an order has, as a sparse row over all parts that were ever ordered."""
+    rows = features.sparse_indicators(t.lineitem, "l_orderkey", "l_partkey")
+    return rows.select("l_orderkey", "size", F.array_join("indices", ",").alias("indices"), F.size("indices").alias("n_set"))
+
+
 @query("""
     SELECT c AS column_name, n AS n_values, CAST(least(600, round(1.6 * pow(n, 0.56))) AS INTEGER) AS width FROM (
       SELECT 'p_brand' AS c, count(DISTINCT p_brand) AS n FROM part
@@ -330,6 +341,53 @@ def cross_validate(t: Tables) -> DataFrame:
     return found.select("penalty", F.round("r2", 6).alias("r2"), F.round("spread", 6).alias("spread"))
 
 
+SEARCHED, PENALTIES = ["n_chars", "n_marks", "n_digits"], [0.0, 1e4, 1e6, 1e8, 1e10]
+
+
+def _penalty_sql() -> str:
+    """Three normal equations solved by determinants, scored row by row."""
+    x = dict(zip(SEARCHED, "pqr"))
+    n, moments = "count(*)", []
+    for i, a in enumerate(SEARCHED):
+        moments += [f"{n} * covar_pop(x.{a}, x.{b}) AS {x[a]}{x[b]}" for b in SEARCHED[i:]]
+        moments += [f"{n} * covar_pop(x.{a}, n_upper) AS {x[a]}y", f"avg(x.{a}) AS m{x[a]}"]
+    return f"""
+    WITH x AS (SELECT *, CAST('0x' || substr(md5('7:' || doc_id), 1, 8) AS BIGINT) % 4 AS fold FROM ({FEATURES_SQL})),
+    k AS (SELECT unnest([0, 1, 2, 3]) AS held), l AS (SELECT unnest({PENALTIES}::DOUBLE[]) AS penalty),
+    m AS (SELECT held, avg(n_upper) AS my, {', '.join(moments)} FROM x, k WHERE fold <> held GROUP BY held),
+    s AS (SELECT held, penalty, mp, mq, mr, my, pp + penalty AS a, pq AS b, pr AS c, qq + penalty AS d, qr AS e,
+                 rr + penalty AS f, py AS g, qy AS h, ry AS i FROM m, l),
+    w AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM s),
+    fit AS (SELECT held, penalty, mp, mq, mr, my, (g * (d * f - e * e) - b * (h * f - e * i) + c * (h * e - d * i)) / det AS p,
+                   (a * (h * f - e * i) - g * (b * f - c * e) + c * (b * i - h * c)) / det AS q,
+                   (a * (d * i - h * e) - b * (b * i - h * c) + g * (b * e - d * c)) / det AS r FROM w)
+    SELECT penalty, held::INTEGER AS fold, round(1 - sum((n_upper - my - p * (n_chars - mp) - q * (n_marks - mq) - r * (n_digits - mr)) ** 2)
+             / (var_pop(n_upper) * count(*)), 6) AS r2
+    FROM fit JOIN x ON fold = held GROUP BY penalty, held"""
+
+
+@query(_penalty_sql())
+def penalty_search(t: Tables) -> DataFrame:
+    """R2 of ridge regressions with three features by penalty and held-out fold, all from one aggregate."""
+    scores = search.penalty_search(labelled(t), SEARCHED, "n_upper", PENALTIES, ["doc_id"])
+    return scores.withColumn("r2", F.round("r2", 6))
+
+
+@query("""
+    WITH e AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+    r AS (SELECT a.vec_id, a.label, b.label AS near, row_number() OVER (PARTITION BY a.vec_id
+      ORDER BY (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y), b.vec_id) AS r FROM e a, e b WHERE a.vec_id <> b.vec_id),
+    k AS (SELECT unnest([1, 2, 5, 10, 20]) AS k),
+    p AS (SELECT k, vec_id, any_value(label) AS label, avg(near) AS p FROM r, k WHERE r <= k GROUP BY k, vec_id)
+    SELECT k, count(*) AS n, round(1 - sum((label - p) ** 2) / (var_pop(label) * count(*)), 6) AS r2 FROM p GROUP BY k""")
+def k_search(t: Tables) -> DataFrame:
+    """R2 by number of neighbours, each point predicted from the others, by one search."""
+    points = t.embeddings.select(
+        "vec_id", F.get("embedding", F.lit(0)).alias("x"), F.get("embedding", F.lit(1)).alias("y"), "label")
+    scores = search.k_search(points, ["x", "y"], "label", [1, 2, 5, 10, 20], "vec_id")
+    return scores.withColumn("r2", F.round("r2", 6))
+
+
 def _order_features(t: Tables) -> DataFrame:
     """Order price with what its lines say about it, stored once."""
     per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
