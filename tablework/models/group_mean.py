@@ -38,7 +38,7 @@ class GroupMeanModel(StoredModel, _GroupMeanParams):
         return {"means": self.means, "overall": overall}
 
     @classmethod
-    def restored(cls, frame: Callable[[str], DataFrame]) -> GroupMeanModel:
+    def restored(cls, frame: Callable[[str], DataFrame], model: Callable) -> GroupMeanModel:
         return cls(frame("means"), frame("overall").first()["mean"])
 
 

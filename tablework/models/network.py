@@ -321,7 +321,7 @@ class NetworkModel(StoredModel, _NetworkParams):
         return {"state": spark.createDataFrame([(self.inputs, bytearray(self.state.tobytes()))], "inputs int, state binary")}
 
     @classmethod
-    def restored(cls, frame: Callable[[str], DataFrame]) -> NetworkModel:
+    def restored(cls, frame: Callable[[str], DataFrame], model: Callable) -> NetworkModel:
         row = frame("state").first()
         return cls(np.frombuffer(bytes(row["state"])), row["inputs"])
 

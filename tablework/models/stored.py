@@ -1,4 +1,5 @@
-"""Fitted models that keep tables: written beside their parameters and read back, alone or as a stage of a pipeline."""
+"""Fitted models that keep tables or other models: written beside their parameters and read back, alone or as a stage of
+a pipeline."""
 
 from __future__ import annotations
 
@@ -10,14 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class StoredModel(Model, MLWritable, MLReadable):
-    """A model that is its parameters and the tables of ``frames``."""
+    """A model that is its parameters, the tables of ``frames`` and the models of ``models``."""
 
     def frames(self) -> dict[str, DataFrame]:
-        raise NotImplementedError
+        return {}
+
+    def models(self) -> dict[str, Model]:
+        return {}
 
     @classmethod
-    def restored(cls, frame: Callable[[str], DataFrame]) -> StoredModel:
-        """The model from its tables by name; parameters are set afterwards."""
+    def restored(cls, frame: Callable[[str], DataFrame], model: Callable[[str, type], Model]) -> StoredModel:
+        """The model from its tables by name, and its models by name and class; parameters are set afterwards."""
         raise NotImplementedError
 
     def write(self) -> MLWriter:
@@ -37,6 +41,8 @@ class _Writer(MLWriter):
         DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
         for name, frame in self.model.frames().items():
             frame.write.mode("overwrite").parquet(f"{path}/{name}")
+        for name, model in self.model.models().items():
+            model.write().overwrite().save(f"{path}/{name}")
 
 
 class _Reader(MLReader):
@@ -47,7 +53,8 @@ class _Reader(MLReader):
     def load(self, path: str) -> StoredModel:
         spark = SparkSession.active()
         metadata = DefaultParamsReader.loadMetadata(path, spark)
-        model = self.kind.restored(lambda name: spark.read.parquet(f"{path}/{name}"))
+        model = self.kind.restored(
+            lambda name: spark.read.parquet(f"{path}/{name}"), lambda name, kind: kind.load(f"{path}/{name}"))
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
         return model

@@ -8,12 +8,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablework.models.network import NetworkClassifier
+from tablework.models.stacks import ResidualStackModel, ResidualStackRegressor
 from tablework.operators.features import all_present, folds
 
 
@@ -59,20 +60,11 @@ def line(label: str, *, penalty: float = 0.0, features: str = "features") -> Lin
 def residual_stack(
     df: DataFrame, label: str, features: str = "features", trees: int = 10, depth: int = 4, seed: int = 1,
     linear: str | None = None,
-):
+) -> ResidualStackModel:
     """A linear model, then boosted trees on what it leaves; the prediction is the sum of both. The linear part may have
     features of its own, ``linear``."""
-    linear = LinearRegression(featuresCol=linear or features, labelCol=label, predictionCol="linear").fit(df)
-    rest = linear.transform(df).withColumn("residual", F.col(label) - F.col("linear"))
-    boosted = GBTRegressor(
-        featuresCol=features, labelCol="residual", predictionCol="correction", maxIter=trees, maxDepth=depth, seed=seed
-    ).fit(rest)
-
-    def predict(rows: DataFrame) -> DataFrame:
-        both = boosted.transform(linear.transform(rows))
-        return both.withColumn("prediction", F.col("linear") + F.col("correction"))
-
-    return predict
+    return ResidualStackRegressor(
+        featuresCol=features, linearCol=linear or features, labelCol=label, trees=trees, depth=depth, seed=seed).fit(df)
 
 
 def blend(df: DataFrame, label: str, feature_sets: dict[str, Sequence[str]], *, final: str = "linear", seed: int = 1):

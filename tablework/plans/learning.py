@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tablework.models import network, search, training
 from tablework.models.group_mean import GroupMeanRegressor
 from tablework.models.network import Network, NetworkClassifier, training_rows
+from tablework.models.stacks import NeighborRegressor, ResidualStackRegressor, fit_blend, on_columns, out_of_fold
 from tablework.operators import evaluate, features
 from tablework.operators.counts import category_widths
 from tablework.operators.mapping import first_columns
@@ -29,23 +31,29 @@ FEATURES_SQL = r"""SELECT doc_id, n_chars, len(regexp_extract_all(text, '\n')) +
       len(regexp_extract_all(text, '[.,;:!?]')) AS n_marks,
       CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 WHEN 'es' THEN 3 ELSE 4 END AS lang_code, quality, toxic
     FROM documents JOIN labels USING (doc_id)"""
+MEASURED_SQL = FEATURES_SQL.replace(", quality, toxic", ", source").replace(" JOIN labels USING (doc_id)", "")
 NUMERIC = ["n_chars", "n_lines", "n_upper", "n_digits", "n_marks"]
 
 
-def labelled(t: Tables) -> DataFrame:
-    """Labelled documents with their features, stored once for the many passes of training."""
+def measured(t: Tables) -> DataFrame:
+    """The features of all documents."""
 
     def count(pattern: str) -> Column:
         return F.regexp_count("text", F.lit(pattern))
 
     lang = F.array_position(F.array(*[F.lit(x) for x in LANGS]), F.col("lang"))
-    # measured before the join, so that no text is shuffled
-    measured = t.documents.select(
-        "doc_id", "n_chars", (count(r"\n") + 1).alias("n_lines"), count("[A-Z]").alias("n_upper"),
+    return t.documents.select(
+        "doc_id", "source", "n_chars", (count(r"\n") + 1).alias("n_lines"), count("[A-Z]").alias("n_upper"),
         count("[0-9]").alias("n_digits"), count("[.,;:!?]").alias("n_marks"),
         F.when(lang > 0, lang - 1).otherwise(len(LANGS)).cast("int").alias("lang_code"),
     )
-    return pin(measured.join(t.labels.select("doc_id", "quality", "toxic"), "doc_id"), "labelled")
+
+
+def labelled(t: Tables) -> DataFrame:
+    """Labelled documents with their features, stored once for the many passes of training. Features are measured before
+    the join, so that no text is shuffled."""
+    labels = t.labels.select("doc_id", "quality", "toxic")
+    return pin(measured(t).drop("source").join(labels, "doc_id"), "labelled")
 
 
 @query("""
@@ -411,24 +419,88 @@ def residual_stack(t: Tables) -> DataFrame:
     assembler = VectorAssembler(inputCols=["n_lines"], outputCol="base").transform(_order_features(t))
     rows = VectorAssembler(inputCols=["n_lines", "gross", "discount", "quantity", "month"], outputCol="features").transform(assembler)
     train, test = _split(rows, "o_orderkey")
-    predicted = pin(training.residual_stack(train, "price", linear="base")(test).drop("base", "features"), "stacked")
+    predicted = pin(training.residual_stack(train, "price", linear="base").transform(test).drop("base", "features"), "stacked")
     after, before = (evaluate.r2(predicted, "price", c).first()["r2"] for c in ("prediction", "linear"))
     is_sum = F.abs(F.col("prediction") - F.col("linear") - F.col("correction")) < 1e-6
     return predicted.select(
         "o_orderkey", "price", F.round("linear", 2).alias("linear"), is_sum.alias("is_sum"), F.lit(after >= before - 0.1).alias("is_near"))
 
 
-@query()
+_IS_TRAIN = "CAST('0x' || substr(md5('43:' || doc_id), 1, 8) AS BIGINT) % 100 < 67"
+
+
+@query(f"""
+    WITH x AS (SELECT *, {_IS_TRAIN} AS is_train FROM ({MEASURED_SQL})),
+    m AS (SELECT covar_pop(n_chars, n_chars) AS a, covar_pop(n_chars, n_marks) AS b, covar_pop(n_marks, n_marks) AS d,
+                 covar_pop(n_chars, n_upper) AS g, covar_pop(n_marks, n_upper) AS h, avg(n_chars) AS mp, avg(n_marks) AS mq,
+                 avg(n_upper) AS my FROM x WHERE is_train)
+    SELECT doc_id, n_upper::INTEGER AS n_upper, TRUE AS is_sum, TRUE AS is_not_below, round(my + (g * d - b * h) / (a * d - b * b) * (n_chars - mp)
+             + (a * h - b * g) / (a * d - b * b) * (n_marks - mq), 3) AS linear
+    FROM x, m WHERE NOT is_train""")
+def stack_documents(t: Tables) -> DataFrame:
+    """Capitals of held-out documents by a stack: its linear part on two features, whether the prediction is the sum of both
+    parts, and whether trees on all features bring the hold-out R2 at least to that of the linear part."""
+    base = VectorAssembler(inputCols=["n_chars", "n_marks"], outputCol="base").transform(pin(measured(t), "measured"))
+    rows = VectorAssembler(inputCols=BLENDED, outputCol="features").transform(base)
+    train, test = _split(rows, "doc_id")
+    stack = ResidualStackRegressor(linearCol="base", labelCol="n_upper").fit(train)
+    predicted = pin(stack.transform(test).drop("base", "features"), "stacked")
+    scores = evaluate.r2(predicted, "n_upper", "prediction").crossJoin(
+        evaluate.r2(predicted, "n_upper", "linear").toDF("before")).first()
+    is_sum = F.abs(F.col("prediction") - F.col("linear") - F.col("correction")) < 1e-6
+    return predicted.select(
+        "doc_id", "n_upper", is_sum.alias("is_sum"), F.lit(scores["r2"] >= scores["before"]).alias("is_not_below"),
+        F.round("linear", 3).alias("linear"))
+
+
+BLENDED = ["n_chars", "n_marks", "n_lines", "n_digits"]
+
+
+@query(f"""
+    WITH x AS (SELECT *, CAST('0x' || substr(md5('7:' || doc_id), 1, 8) AS BIGINT) % 4 AS fold FROM ({MEASURED_SQL}) WHERE {_IS_TRAIN}),
+    k AS (SELECT unnest([0, 1, 2, 3]) AS held),
+    g AS (SELECT held, source, avg(n_upper) AS p FROM x, k WHERE fold <> held GROUP BY ALL),
+    o AS (SELECT held, avg(n_upper) AS p, regr_slope(n_upper, n_marks) AS a, regr_intercept(n_upper, n_marks) AS b
+          FROM x, k WHERE fold <> held GROUP BY ALL),
+    near AS (SELECT a.doc_id, b.n_upper, row_number() OVER (PARTITION BY a.doc_id ORDER BY
+               (a.n_chars - b.n_chars) * (a.n_chars - b.n_chars) + (a.n_marks - b.n_marks) * (a.n_marks - b.n_marks), b.doc_id) AS r
+             FROM x a JOIN x b ON a.fold <> b.fold),
+    n AS (SELECT doc_id, avg(n_upper) AS p FROM near WHERE r <= 5 GROUP BY 1),
+    p AS (SELECT x.n_upper AS y, coalesce(g.p, o.p) AS source_mean, a * n_marks + b AS line, n.p AS neighbours
+          FROM x JOIN o ON o.held = fold LEFT JOIN g ON g.held = fold AND g.source = x.source JOIN n ON n.doc_id = x.doc_id)
+    SELECT part, round(1 - CASE part WHEN 'source_mean' THEN sum((y - source_mean) ** 2) WHEN 'line' THEN sum((y - line) ** 2)
+             WHEN 'neighbours' THEN sum((y - neighbours) ** 2) END / (var_pop(y) * count(*)), 6) AS r2, TRUE AS is_better
+    FROM p, (SELECT unnest(['source_mean', 'line', 'neighbours', 'forest', 'linear blend', 'forest blend']) AS part) GROUP BY part""")
 def blend(t: Tables) -> DataFrame:
-    """R2 on held-out orders of a linear and a forest blend of two partial models."""
-    train, test = _split(_order_features(t), "o_orderkey")
-    sets = {"size": ["n_lines", "gross"], "terms": ["discount", "quantity", "month"]}
-    scores = []
-    for final in ("linear", "forest"):
-        model = training.blend(train, "price", sets, final=final)
-        score = evaluate.r2(model.transform(test), "price", "prediction")
-        scores.append(score.select(F.lit(final).alias("final"), "r2"))
-    return scores[0].unionByName(scores[1])
+    """Capitals of documents by four models: R2 of each one's out-of-fold predictions where SQL can tell it; and for blends
+    over these predictions whether they are better on held-out documents than the mean of the four models."""
+    train, test = _split(pin(measured(t), "measured"), "doc_id")
+    forest = {"labelCol": "n_upper", "numTrees": 10, "maxDepth": 5, "seed": 1}
+    parts = {
+        "source_mean": GroupMeanRegressor(groupCol="source", labelCol="n_upper", predictionCol="source_mean"),
+        "line": on_columns(["n_marks"], "line", LinearRegression(
+            featuresCol="line_features", labelCol="n_upper", predictionCol="line", solver="normal")),
+        "neighbours": NeighborRegressor(
+            inputCols=["n_chars", "n_marks"], labelCol="n_upper", predictionCol="neighbours", idCol="doc_id"),
+        "forest": on_columns(BLENDED, "forest", RandomForestRegressor(featuresCol="forest_features", predictionCol="forest", **forest)),
+    }
+    predicted = out_of_fold(train, parts, ["doc_id"])
+    rows = [(name, evaluate.r2(predicted, "n_upper", name).first()["r2"] if name != "forest" else None, True) for name in parts]
+    blends = {
+        "linear blend": LinearRegression(featuresCol="blend_features", labelCol="n_upper"),
+        "forest blend": RandomForestRegressor(featuresCol="blend_features", **forest),
+    }
+    # both blends stand on the same parts, which are fitted once
+    fitted = fit_blend(train, predicted, parts, blends["linear blend"])
+    tested = pin(fitted.transform(test).drop("line_features", "forest_features", "prediction"), "parts")
+    mean = sum((F.col(c) for c in parts), F.lit(0.0)) / len(parts)
+    before = evaluate.r2(tested.withColumn("mean", mean), "n_upper", "mean").first()["r2"]
+    assembled = fitted.stages[-2].transform(predicted)
+    for name, last in (("linear blend", fitted.stages[-1]), ("forest blend", blends["forest blend"].fit(assembled))):
+        after = evaluate.r2(last.transform(tested), "n_upper", "prediction").first()["r2"]
+        rows.append((name, None, after >= before))
+    found = t.spark.createDataFrame(rows, "part string, r2 double, is_better boolean")
+    return found.withColumn("r2", F.round("r2", 6))
 
 
 # the two networks, by their hidden units
@@ -537,11 +609,30 @@ def loss_history(t: Tables) -> DataFrame:
 
 @query(f"""
     SELECT doc_id, n_upper::INTEGER AS n_upper, round(regr_intercept(n_upper, n_chars) OVER () + regr_slope(n_upper, n_chars) OVER () * n_chars, 4)
-      AS prediction FROM ({FEATURES_SQL})""")
+      AS prediction, round(avg(n_upper) OVER (PARTITION BY lang_code), 4) AS lang_mean, TRUE AS is_sum, TRUE AS is_not_below
+    FROM ({FEATURES_SQL})""")
 def batch_score(t: Tables) -> DataFrame:
-    """A stored pipeline, loaded again and applied to all labelled documents."""
+    """A stored pipeline, loaded again and applied to a stream of all labelled documents: a line, the mean by language, and
+    a stack on all numbers and the language, whose linear part is not below the line on the rows both were fitted on."""
     rows = labelled(t)
-    path = scratch(t.spark, "model")
-    training.train_and_store(rows, [*training.feature_stages(["n_chars"], []), training.line("n_upper")], path)
-    scored, _ = training.score(PipelineModel.load(path), rows, ["n_chars"])
-    return scored.select("doc_id", "n_upper", F.round("prediction", 4).alias("prediction"))
+    path, folder, out = (scratch(t.spark, x) for x in ("model", "arriving", "scored"))
+    rows.write.parquet(folder)
+    coded, encoded = training.category_stages(["lang_code"])
+    stack = ResidualStackRegressor(
+        featuresCol="all", linearCol="all", labelCol="n_upper", predictionCol="stacked", trees=5, depth=3)
+    training.train_and_store(rows, [
+        *training.feature_stages(["n_chars"]), training.line("n_upper"),
+        GroupMeanRegressor(groupCol="lang_code", labelCol="n_upper", predictionCol="lang_mean"), *coded,
+        VectorAssembler(inputCols=[*BLENDED, *encoded], outputCol="all"), stack], path)
+    arriving = t.spark.readStream.schema(rows.schema).parquet(folder)
+    scored, _ = training.score(PipelineModel.load(path), arriving, BLENDED)
+    wanted = scored.select("doc_id", "n_upper", "prediction", "lang_mean", "linear", "correction", "stacked")
+    wanted.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(t.spark, "scoring")).trigger(
+        availableNow=True).start().awaitTermination()
+    scored = t.spark.read.schema(wanted.schema).parquet(out)
+    errors = [F.sum((F.col("n_upper") - F.col(c)) ** 2).alias(c) for c in ("linear", "prediction")]
+    error = scored.agg(*errors).first()
+    return scored.select(
+        "doc_id", "n_upper", F.round("prediction", 4).alias("prediction"), F.round("lang_mean", 4).alias("lang_mean"),
+        (F.abs(F.col("stacked") - F.col("linear") - F.col("correction")) < 1e-6).alias("is_sum"),
+        F.lit(error["linear"] <= error["prediction"] * (1 + 1e-9)).alias("is_not_below"))

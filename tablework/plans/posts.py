@@ -17,8 +17,9 @@ from tablework.plans.registry import Tables, query
 from tablework.session import scratch
 from tablework.sinks.files import append_json
 from tablework.sources.pages import posts_from_text
-from tablework.streaming.ingest import enrich_posts, file_stream, ingest
+from tablework.streaming.ingest import enrich_posts, file_stream, ingest, run_batches
 from tablework.streaming.keyed import LatestImage, OncePerKey, cursor
+from tablework.streaming.registered import RegisteringSink
 from tablework.streaming.zones import run_zone
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -224,3 +225,27 @@ def stream_archive(t: Tables) -> DataFrame:
         run_zone(t.spark, f"{base}/in", events.schema, f"{base}/out", f"{base}/state", lambda frame: frame,
                  archive=f"{base}/archive")
     return _read_sink(t, f"{base}/out", "event_id long, user_id long, props string")
+
+
+@query("""
+    SELECT event_id, event_type, value, strftime(ts, '%Y-%m-%d') AS day, 2::BIGINT AS n_drifted,
+           (SELECT count(*) FROM events WHERE event_id % 10 = 3) AS n_aside
+    FROM events WHERE event_id % 10 <> 3""")
+def stream_registered(t: Tables) -> DataFrame:
+    """Two streams into one table of the catalog, read by its name. The second has a column more and one of another type:
+    its batch is in the log, with its rows beside it, and not in the table."""
+    base = scratch(t.spark, "registered")
+    events = t.events.select("event_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    sink = RegisteringSink(
+        t.spark, f"events_{base.rpartition('-')[2]}", f"{base}/table", events.schema, ["day"], f"{base}/log")
+    other = events.withColumn("value", F.col("value").cast("string")).withColumn("extra", F.lit(1))
+    odd = F.col("event_id") % 10 == 3
+    for name, rows in (("first", events.filter(~odd)), ("second", other.filter(odd))):
+        _land(rows, f"{base}/in-{name}")
+        stream = file_stream(t.spark, f"{base}/in-{name}", rows.schema)
+        run_batches(stream, lambda frame, n, name=name: sink.write(frame, f"{name}-{n}"), f"{base}/state-{name}")
+    aside = t.spark.read.schema("event_id long").json(f"{base}/log/rows")
+    counts = sink.drifted().agg(F.count("*").alias("n")).first()["n"], aside.count()
+    return sink.read().select(
+        "event_id", "event_type", "value", "day", F.lit(counts[0]).cast("long").alias("n_drifted"),
+        F.lit(counts[1]).cast("long").alias("n_aside"))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablework.operators.joins import lookup_join
 from tablework.operators.nested import encode_attributes, recipe_table, search_parameters
@@ -17,6 +18,9 @@ from tablework.operators.position import list_per_key
 from tablework.plans.registry import Tables, query
 from tablework.session import scratch
 from tablework.sinks.files import land_raw
+from tablework.streaming.ingest import file_stream, run_batches
+from tablework.streaming.linked import BucketedTable, OwnedLists
+from tablework.streaming.zones import run_zone
 
 
 def _names(pattern: str):
@@ -128,3 +132,60 @@ def user_recipe_ids(t: Tables) -> DataFrame:
     """All order keys of each customer, in one list."""
     lists = list_per_key(t.orders, "o_custkey", "o_orderkey", "orders")
     return lists.select("o_custkey", F.array_join("orders", ",").alias("orders"))
+
+
+USER = "name string, address string, recipes array<long>, delivery int"
+RECIPE = "id long, title string, servings int, delivery int"
+
+
+def _land_arrays(df: DataFrame, path: str, per_file: int = 500) -> None:
+    """Rows as files that hold one array of records each."""
+    rows = df.select(F.to_json(F.struct("*")).alias("r"), F.monotonically_increasing_id().alias("n"))
+    files = rows.groupBy(F.floor(F.col("n") / per_file).alias("file")).agg(F.collect_list("r").alias("r"))
+    files.select(F.concat(F.lit("["), F.array_join("r", ",\n"), F.lit("]")).alias("value"), "file").repartition("file").write.partitionBy(
+        "file").text(path)
+
+
+@query("""
+    WITH o AS (SELECT c_name AS name, c_mktsegment AS address, o_orderkey AS id, c_custkey FROM customer JOIN orders ON o_custkey = c_custkey)
+    SELECT name, address || CASE WHEN c_custkey % 50 = 7 THEN '!' ELSE '' END AS address, id,
+           CASE WHEN id % 10 = 3 THEN 'new' ELSE o_orderstatus END AS title, 1 AS n_rows
+    FROM o JOIN orders ON id = o_orderkey WHERE c_custkey % 50 <> 7 OR id % 2 = 0""")
+def recipe_tables(t: Tables) -> DataFrame:
+    """Users with lists of recipes, and recipes, arrive as files of records; two deliveries go from the raw zone to the
+    stage zone to tables of users, recipes and links. Users that arrive again lose the recipes they no longer list, and
+    recipes that arrive again are as they arrived last."""
+    base = scratch(t.spark, "recipes")
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    again = F.col("c_custkey") % 50 == 7
+    users, recipes = [], []
+    for delivery, rows, address in (
+        (1, orders, F.col("c_mktsegment")),
+        (2, orders.filter(again & (F.col("o_orderkey") % 2 == 0)), F.concat("c_mktsegment", F.lit("!"))),
+    ):
+        users.append(rows.groupBy(F.col("c_name").alias("name"), address.alias("address")).agg(
+            F.collect_list("o_orderkey").alias("recipes")).withColumn("delivery", F.lit(delivery)))
+    recipe = [F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("title"), F.lit(4).alias("servings")]
+    recipes.append(t.orders.select(*recipe, F.lit(1).alias("delivery")))
+    recipes.append(t.orders.filter("o_orderkey % 10 = 3").select(*recipe, F.lit(2).alias("delivery")).withColumn("title", F.lit("new")))
+    # customers whose every order goes would not arrive: they arrive with an empty list
+    gone = orders.groupBy("c_custkey", "c_name", "c_mktsegment").agg(F.max((F.col("o_orderkey") % 2 == 0).cast("int")).alias("any"))
+    users[1] = users[1].unionByName(gone.filter(again & (F.col("any") == 0)).select(
+        F.col("c_name").alias("name"), F.concat("c_mktsegment", F.lit("!")).alias("address"),
+        F.array().cast("array<bigint>").alias("recipes"), F.lit(2).alias("delivery")))
+
+    schemas = {"user": T.StructType.fromDDL(USER), "recipe": T.StructType.fromDDL(RECIPE)}
+    owned = OwnedLists(t.spark, f"{base}/tables", schemas["user"], "name", "recipes", "id")
+    known = BucketedTable(t.spark, f"{base}/tables/recipe", schemas["recipe"], ["id"])
+    for delivery in (0, 1):
+        _land_arrays(users[delivery], f"{base}/raw/user-{delivery}")
+        _land_arrays(recipes[delivery], f"{base}/raw/recipe-{delivery}")
+        for kind, table in (("user", owned), ("recipe", known)):
+            run_zone(t.spark, f"{base}/raw/{kind}-*/*", schemas[kind], f"{base}/stage/{kind}", f"{base}/state/raw-{kind}",
+                     lambda frame: frame, whole_file=True)
+            staged = file_stream(t.spark, f"{base}/stage/{kind}/*", schemas[kind])
+            run_batches(staged, lambda frame, n, table=table: table.merge(frame, f"batch-{n}", [F.desc("delivery")]),
+                        f"{base}/state/{kind}")
+    links = owned.links.read().join(known.read().select("id", "title"), "id")
+    found = links.join(owned.owners.read().select("name", "address"), "name")
+    return found.groupBy("name", "address", "id", "title").agg(F.count("*").cast("int").alias("n_rows"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def _by_folder(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of a folder together, so that files are as many as rows need and not tasks times folders; adaptive execution
     splits a large folder over several tasks."""
     return df.hint("rebalance", *partition_by) if partition_by else df
@@ -15,12 +15,12 @@ def _by_folder(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 def append_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append JSON lines below ``path``, in one folder per partition value."""
-    _by_folder(df, partition_by).write.mode("append").partitionBy(*partition_by).json(path)
+    rebalanced(df, partition_by).write.mode("append").partitionBy(*partition_by).json(path)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (), fmt: str = "json") -> None:
     """Write one micro-batch to its own folder ``batch_id=<n>``; a replayed batch replaces what it wrote before."""
-    writer = _by_folder(df, partition_by).write.mode("overwrite").format(fmt)
+    writer = rebalanced(df, partition_by).write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(f"{path}/batch_id={batch_id}")

@@ -66,14 +66,15 @@ def read_manifest(spark: SparkSession, manifest: str, schema: T.StructType | str
     entries = spark.read.option("multiLine", True).schema(
         "entries array<struct<url: string, mandatory: boolean>>"
     ).json(manifest).select(F.inline("entries"))
-    present = [r["url"] for r in entries.collect() if r["mandatory"] or _exists(spark, r["url"])]
+    present = [r["url"] for r in entries.collect() if r["mandatory"] or path_exists(spark, r["url"])]
     if not present:
         return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema).option("header", True).option("encoding", encoding)
     return reader.option("ignoreMissingFiles", False).csv([_literal(url) for url in present])
 
 
-def _exists(spark: SparkSession, url: str) -> bool:
+def path_exists(spark: SparkSession, url: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path is of."""
     path = spark._jvm.org.apache.hadoop.fs.Path(url)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 

@@ -33,9 +33,10 @@ POST_MAPPING = [
 
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType | str, *, fmt: str = "json",
-    files_per_trigger: int | None = None, glob: str | None = None, archive: str | None = None,
+    files_per_trigger: int | None = None, glob: str | None = None, archive: str | None = None, whole_file: bool = False,
 ) -> DataFrame:
-    """All files below ``path``, oldest first, with a declared schema.
+    """All files below ``path``, oldest first, with a declared schema. JSON files are lines of records, or with
+    ``whole_file`` one record or one array of records each.
 
     ``archive`` moves consumed files there; the last files of a run move in a later run, after their batch is
     known to be complete.
@@ -45,6 +46,8 @@ def file_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if whole_file:
+        reader = reader.option("multiLine", True)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(path)

@@ -17,12 +17,12 @@ from tablework.streaming.ingest import file_stream, run_batches
 def run_zone(
     spark: SparkSession, source: str, schema: T.StructType | str, sink: str, checkpoint: str,
     transform: Callable[[DataFrame], DataFrame], *, fmt: str = "json", glob: str | None = None,
-    files_per_trigger: int | None = None, archive: str | None = None,
+    files_per_trigger: int | None = None, archive: str | None = None, whole_file: bool = False,
 ) -> None:
     """Carry all new files of one zone to the next and stop."""
     stream = file_stream(
-        spark, source, schema, fmt=fmt, glob=glob, files_per_trigger=files_per_trigger, archive=archive
-    )
+        spark, source, schema, fmt=fmt, glob=glob, files_per_trigger=files_per_trigger, archive=archive,
+        whole_file=whole_file)
     run_batches(stream, lambda frame, batch_id: write_batch(transform(frame), sink, batch_id), checkpoint)
 
 

@@ -108,7 +108,7 @@ def test_stack_and_blends_improve_on_their_parts(table):
         return evaluate.r2(df, "y", "prediction").first()["r2"]
 
     linear = training.ridge(table, "y", 0.0).transform(table)
-    assert r2(training.residual_stack(table, "y", trees=5, depth=3)(table)) > r2(linear)
+    assert r2(training.residual_stack(table, "y", trees=5, depth=3).transform(table)) > r2(linear)
     parts = {"one": ["a"], "two": ["b"]}
     plain = table.drop("features")
     assert r2(training.blend(plain, "y", parts).transform(plain)) > 0.8
