@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from tablework.functions.codes import DIAGNOSIS_CODE, has_shape
 from tablework.functions.dates import DATE_SHAPE, to_date_or_null
 from tablework.operators.joins import lookup_join
+from tablework.operators.position import global_position
+from tablework.session import pin
 
 
 def failing_rows(df: DataFrame, row_id: str, rules: Mapping[str, tuple[Column, Column | str]]) -> DataFrame:
@@ -87,18 +89,60 @@ def invalid_codes(df: DataFrame, code: str, valid: DataFrame, valid_code: str) -
     return lookup_join(coded, listed, ["_code"], "left_anti").drop("_code")
 
 
+def _typed(field: T.StructField) -> Column:
+    """The value that a text stands for in the field's type, null where it stands for none."""
+    c = F.col(field.name)
+    if isinstance(field.dataType, T.DateType):
+        return to_date_or_null(c)
+    if isinstance(field.dataType, T.IntegralType):
+        # text without the shape of a number is refused cheaply; the cast then looks at the range
+        return F.when(has_shape(c, r"^\s*[+-]?\d+\s*$"), c.try_cast(field.dataType))
+    return c.try_cast(field.dataType)
+
+
+def schema_rules(declared: T.StructType) -> dict[str, tuple[Column, Column | str]]:
+    """Row rules of a text delivery: each value can be cast to the declared type, and is there where it must be."""
+    rules: dict[str, tuple[Column, Column | str]] = {}
+    for field in declared:
+        if not isinstance(field.dataType, T.StringType):
+            rules[f"{field.name}_type"] = (F.col(field.name).isNull() | _typed(field).isNotNull(), field.name)
+        if not field.nullable:
+            rules[f"{field.name}_present"] = (F.col(field.name).isNotNull(), F.lit(None))
+    return rules
+
+
+def error_list(
+    delivery: DataFrame, declared: T.StructType, rules: Mapping[str, tuple[Column, Column | str]],
+    codes: Mapping[str, tuple[DataFrame, DataFrame]], unique: Sequence[str] = (),
+) -> DataFrame:
+    """Every error of a ``numbered`` delivery as (rule, row, value).
+
+    ``rules`` are tested with the declared types in one pass. ``codes`` has the code rules by name: the codes of the rows
+    as (row, code), and the valid ones as (code). Rows that share a value of the columns ``unique`` are an error each, so
+    that all of them can be found.
+    """
+    found = [failing_rows(delivery, "row", {**schema_rules(declared), **rules})]
+    for name, (present, valid) in codes.items():
+        found.append(findings(invalid_codes(present, "code", valid, "code"), name, "row", "code"))
+    if unique:
+        keyed = delivery.select("row", F.concat_ws(":", *unique).alias("_key")).filter(
+            F.coalesce(*[F.col(c).cast("string") for c in unique]).isNotNull())
+        repeated = keyed.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key")
+        found.append(findings(lookup_join(keyed, repeated, ["_key"], "left_semi"), "_".join(unique) + "_unique", "row", "_key"))
+    return report(*found).select("rule", F.col("row_id").cast("long").alias("row"), "value")
+
+
+def numbered(delivery: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows with their number from 0 under ``order``, stored, so that a finding can name its row."""
+    return pin(global_position(delivery, list(order), "row"), "delivery")
+
+
 def schema_check(df: DataFrame, declared: T.StructType) -> DataFrame:
     """Per declared column of a text delivery: values that cannot be cast, and nulls where none are allowed."""
     pairs = []
     for field in declared:
         c, kind = F.col(field.name), field.dataType.simpleString()
-        if isinstance(field.dataType, T.DateType):
-            parsed = to_date_or_null(c)
-        elif isinstance(field.dataType, T.IntegralType):
-            # text without the shape of a number is refused cheaply; the cast then looks at the range
-            parsed = F.when(has_shape(c, r"^\s*[+-]?\d+\s*$"), c.try_cast(field.dataType))
-        else:
-            parsed = c.try_cast(field.dataType)
+        parsed = _typed(field)
         bad_null = F.lit(0).cast("long") if field.nullable else F.count_if(c.isNull())
         pairs.append(
             F.struct(

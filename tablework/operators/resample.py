@@ -12,6 +12,9 @@ from tablework.operators.neighbors import nearest
 from tablework.operators.position import global_position
 from tablework.session import pin
 
+#: copies of a row that one task makes at a time
+COPIES = 4096
+
 
 def category_penalty(minority: DataFrame, numeric: Sequence[str]) -> float:
     """Squared distance of two different categories: half the square of the median spread of the numeric columns."""
@@ -31,6 +34,20 @@ def _mode(values: Column) -> Column:
     return -F.array_max(counted)["v"]
 
 
+def numbered_copies(rows: DataFrame, most: int, keys: Sequence[str]) -> DataFrame:
+    """Each row as often as its ``_copies`` say, numbered in ``copy`` from 1; ``most`` bounds the copies of a row.
+
+    The copies of one row are made in pieces of limited length. Where there are several, the pieces are dealt out before
+    any copy is made, so that a few rows with very many copies keep all tasks busy and none makes them all.
+    """
+    begins = F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(COPIES))
+    pieces = rows.select("*", F.explode(begins).alias("_begin"))
+    if most > COPIES:
+        pieces = pieces.repartition(*keys, "_begin")
+    ends = F.least(F.col("_begin") + COPIES, F.col("_copies"))
+    return pieces.select("*", F.explode(F.sequence(F.col("_begin") + 1, ends)).alias("copy")).drop("_copies", "_begin")
+
+
 def oversample(
     df: DataFrame, *, id_col: str, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
     k: int = 5, seed: int = 42,
@@ -67,8 +84,9 @@ def oversample(
         placed.join(lists, id_col, "left")
         .withColumn("_near", F.coalesce("_near", F.array()))
         .filter(n_copies > 0)
-        .select("*", F.explode(F.sequence(F.lit(1), n_copies)).alias("copy"))
+        .withColumn("_copies", n_copies)
     )
+    copies = numbered_copies(copies, missing // n_small + 1, [id_col])
     pick = F.get("_near", F.pmod(hash_number(seed, id_col, "copy"), F.greatest(F.size("_near"), F.lit(1))).cast("int"))
     gap = hash_unit(seed, F.lit("gap"), id_col, "copy")
     drawn = copies.withColumn("_pick", pick).withColumn("_gap", gap)

@@ -16,7 +16,8 @@ from tablework.operators.counts import entities_with_codes, frequency, null_safe
 from tablework.operators.joins import lookup_join
 from tablework.operators.latest import duplicated_keys
 from tablework.operators.quality import (
-    claim_rules, date_rules, failing_rows, findings, invalid_codes, order_rule, report, schema_check, with_days,
+    claim_rules, date_rules, error_list, failing_rows, findings, invalid_codes, numbered, order_rule, report, schema_check,
+    with_days,
 )
 from tablework.plans.registry import Tables, query
 
@@ -172,7 +173,7 @@ CLAIMS_SQL = f"""
     FROM lineitem"""
 
 
-def _claims(t: Tables) -> DataFrame:
+def _claims(t: Tables, *more: str) -> DataFrame:
     flag = F.when(F.col("l_linestatus") == "F", F.lower("l_returnflag")).otherwise(F.col("l_returnflag"))
     received = F.date_add(F.col("l_shipdate").cast("date"), F.col("l_quantity").cast("int") - 10)
     return t.lineitem.select(
@@ -183,7 +184,7 @@ def _claims(t: Tables) -> DataFrame:
         F.col("l_partkey").alias("procedure_code"),
         F.concat(flag, F.lpad((F.col("l_suppkey") % 100).cast("string"), 2, "0"), F.lit(".1")).alias("diagnosis_codes"),
         _mixed_date("l_shipdate", "l_linenumber").alias("date_service"),
-        F.date_format(received, "yyyy-MM-dd").alias("date_received"),
+        F.date_format(received, "yyyy-MM-dd").alias("date_received"), *more,
     )
 
 
@@ -220,6 +221,50 @@ def dq_report(t: Tables) -> DataFrame:
     return frequency(everything, "rule")
 
 
+_ORDERED_CLAIMS = CLAIMS_SQL.replace("SELECT CASE", """SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+      l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) - 1 AS row, l_suppkey, CASE""", 1)
+
+
+@query(rf"""
+    WITH c AS ({_ORDERED_CLAIMS}),
+    d AS (SELECT *,
+      CASE WHEN regexp_matches(date_service, '{DATE_SHAPE}') THEN CAST(try_strptime(date_service, '%Y-%m-%d') AS DATE)
+        END AS s, CAST(date_received AS DATE) AS r FROM c),
+    x AS (SELECT row, replace(unnest(regexp_extract_all(diagnosis_codes, '[A-Z]{{1}}\d{{2}}\.?\d*')), '.', '') AS code FROM d)
+    SELECT 'claim_id_present' AS rule, row, NULL AS value FROM d WHERE claim_id IS NULL
+    UNION ALL SELECT 'diagnosis_shape', row, diagnosis_codes FROM d WHERE NOT regexp_matches(diagnosis_codes, '[A-Z]{{1}}\d{{2}}\.?\d*')
+    UNION ALL SELECT 'date_service_type', row, date_service FROM d WHERE try_strptime(date_service, '%Y-%m-%d') IS NULL
+    UNION ALL SELECT 'date_service_format', row, date_service FROM d WHERE NOT regexp_matches(date_service, '{DATE_SHAPE}')
+    UNION ALL SELECT 'date_service_calendar', row, date_service FROM d WHERE regexp_matches(date_service, '{DATE_SHAPE}') AND s IS NULL
+    UNION ALL SELECT 'date_service_before_now', row, date_service FROM d WHERE s >= DATE '{AS_OF}'
+    UNION ALL SELECT 'date_received_before_now', row, date_received FROM d WHERE r >= DATE '{AS_OF}'
+    UNION ALL SELECT 'date_service_after_date_received', row, date_service || ' > ' || date_received FROM d WHERE s > r
+    UNION ALL SELECT 'procedure_code_valid', row, CAST(procedure_code AS VARCHAR) FROM d
+      WHERE procedure_code NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)
+    UNION ALL SELECT 'diagnosis_code_valid', row, code FROM x WHERE code NOT IN (SELECT f || lpad(CAST(s_suppkey % 100 AS VARCHAR), 2, '0') || '1' FROM supplier, (VALUES ('A'), ('N')) v(f))
+    UNION ALL SELECT 'claim_id_unique', row, CAST(claim_id AS VARCHAR) FROM d
+      WHERE claim_id IN (SELECT claim_id FROM d GROUP BY 1 HAVING count(*) > 1)""")
+def dq_error_list(t: Tables) -> DataFrame:
+    """All errors of one delivery of claims with the number of their row: declared types and gaps, shapes and dates,
+    procedure codes, each diagnosis code that was extracted, and claim ids that repeat."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount",
+             "l_tax", "l_returnflag", "l_linestatus"]
+    claims = numbered(_claims(t, *order), order).drop(*order)
+    delivered = claims.select("row", *[F.col(c).cast("string").alias(c) for c in claims.columns if c != "row"])
+    declared = T.StructType([
+        T.StructField("claim_id", T.LongType(), False), T.StructField("procedure_code", T.IntegerType()),
+        T.StructField("date_service", T.DateType()), T.StructField("date_received", T.DateType())])
+    rules = {k: v for k, v in claim_rules(F.lit(AS_OF).cast("date")).items() if k != "claim_id_present"}
+    listed = t.supplier.select(F.explode(F.transform(F.array(F.lit("A"), F.lit("N")), lambda flag: F.concat(
+        flag, F.lpad((F.col("s_suppkey") % 100).cast("string"), 2, "0"), F.lit("1")))).alias("code")).distinct()
+    codes = {
+        "procedure_code_valid": (
+            delivered.select("row", F.col("procedure_code").alias("code")), _valid_parts(t).select(F.col("p_partkey").alias("code"))),
+        "diagnosis_code_valid": (extracted_codes(delivered, "row", "diagnosis_codes"), listed),
+    }
+    return error_list(with_days(delivered, "date_service", "date_received"), declared, rules, codes, ["claim_id"])
+
+
 @query("""
     SELECT 'p_size' AS column_name, CAST(min(p_size) AS DOUBLE) AS min_value, CAST(max(p_size) AS DOUBLE) AS max_value
       FROM part

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablework.functions.dates import rejected, to_timestamp_or_null
 from tablework.operators.counts import schema_report as report_schema
@@ -24,7 +25,7 @@ from tablework.session import scratch
 from tablework.sinks.files import append_json, to_parquet
 from tablework.sinks.tables import VersionedTable, append_to, bucketed, create_as, join_bucketed
 from tablework.sources.files import encoding_audit as audit
-from tablework.sources.files import read_csv, read_json, read_manifest, read_routed
+from tablework.sources.files import infer_csv, read_csv, read_json, read_manifest, read_routed, read_split_table, read_titled_csv
 from tablework.sources.tables import create_database, define_table, list_tables, read_table
 
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss"
@@ -220,13 +221,88 @@ def _csv(df: DataFrame, path: str, **options) -> str:
     UNION ALL SELECT 'stage_title', count(*) FROM customer UNION ALL SELECT 'stage_timelog', count(*) FROM lineitem""")
 def route_by_file(t: Tables) -> DataFrame:
     folder = scratch(t.spark, "route")
-    header = F.array(F.lit("o_orderkey,o_totalprice"), F.lit("c_custkey,c_name"), F.lit("l_orderkey,l_shipdate"))
     _csv(t.orders.select("o_orderkey", "o_totalprice"), f"{folder}/master_0_20200406.csv")
     _csv(t.customer.select("c_custkey", "c_name"), f"{folder}/titles_0_20200406.csv")
     _csv(t.lineitem.select("l_orderkey", "l_shipdate"), f"{folder}/timelog_0_20200406.csv")
     routes = {"master": "stage_master", "title": "stage_title", "timelog": "stage_timelog"}
-    lines = read_routed(t.spark, folder, routes)
-    return lines.filter(~F.array_contains(header, F.col("value"))).groupBy("table_name").agg(F.count("*").alias("n_rows"))
+    lines = read_routed(t.spark, folder, routes, header=True)
+    return lines.groupBy("table_name").agg(F.count("*").alias("n_rows"))
+
+
+@query("""
+    SELECT 'master' AS table_name, o_orderkey AS id, o_totalprice AS number, o_orderstatus AS word FROM orders
+    UNION ALL SELECT 'titles', c_custkey, NULL, c_name FROM customer
+    UNION ALL SELECT 'timelog', l_orderkey, l_quantity::DOUBLE, strftime(l_shipdate, '%Y-%m-%d') FROM lineitem""")
+def split_load(t: Tables) -> DataFrame:
+    """A delivery of three tables in several files each, told apart by file name and loaded with their own types."""
+    folder = scratch(t.spark, "split")
+    day = F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")
+    for name, rows in (
+        ("master_0_20200406", t.orders.filter("o_orderkey % 2 = 0")), ("master_1_20200406", t.orders.filter("o_orderkey % 2 <> 0")),
+        ("titles_0_20200406", t.customer), ("timelog_0_20200406", t.lineitem.select("l_orderkey", "l_quantity", day)),
+    ):
+        columns = {"m": ["o_orderkey", "o_totalprice", "o_orderstatus"], "t": ["c_custkey", "c_name"]}
+        wanted = rows if "timelog" in name else rows.select(*columns[name[0]])
+        _csv(wanted, f"{folder}/{name}.csv")
+    tables = {
+        "master": read_split_table(t.spark, f"{folder}/master_*", "", "id long, number double, word string"),
+        "titles": read_split_table(t.spark, f"{folder}/titles_*", "", "id long, word string").withColumn(
+            "number", F.lit(None).cast("double")),
+        "timelog": read_split_table(t.spark, f"{folder}/timelog_*", "", "id long, number double, day date").withColumn(
+            "word", F.date_format("day", "yyyy-MM-dd")),
+    }
+    found = [rows.select(F.lit(name).alias("table_name"), "id", "number", "word") for name, rows in tables.items()]
+    return found[0].unionAll(found[1]).unionAll(found[2])
+
+
+@query("""
+    SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END::INTEGER AS user_id, value,
+           CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS day,
+           CASE WHEN event_id % 100 = 1 THEN 'n/a' ELSE CAST(user_id AS VARCHAR) END AS code,
+           CAST(event_id + 10000000000 AS BIGINT) AS big, 'int,int,double,date,string,bigint,boolean' AS types
+    FROM events""")
+def csv_types(t: Tables) -> DataFrame:
+    """A delivery whose types are found from its values: whole numbers with gaps, numbers, days with gaps, numbers among
+    which some text stands, numbers too large for an int, and truth values."""
+    path = scratch(t.spark, "untyped")
+    _csv(t.events.select(
+        "event_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("user_id"), "value",
+        F.when(F.col("event_id") % 5 != 0, F.date_format("ts", "yyyy-MM-dd")).alias("day"),
+        F.when(F.col("event_id") % 100 == 1, "n/a").otherwise(F.col("user_id").cast("string")).alias("code"),
+        (F.col("event_id") + 10_000_000_000).alias("big"), (F.col("event_id") % 2 == 0).alias("even")), path)
+    typed = infer_csv(t.spark, path)
+    kinds = ",".join(kind for _, kind in typed.dtypes)
+    day = F.date_format("day", "yyyy-MM-dd").alias("day")
+    return typed.select(F.col("event_id").cast("long").alias("event_id"), "user_id", "value", day, "code", "big", F.lit(kinds).alias("types"))
+
+
+@query("SELECT p_partkey, p_brand, p_size::INTEGER AS p_size, p_retailprice FROM part")
+def sheet_load(t: Tables) -> DataFrame:
+    """Parts exported as sheets: a title line, the column names, then rows."""
+    path = scratch(t.spark, "sheet")
+    columns = ["p_partkey", "p_brand", "p_size", "p_retailprice"]
+    sheets = F.floor(F.monotonically_increasing_id() / 1000)
+    rows = t.part.select(F.to_csv(F.struct(*columns)).alias("row"), sheets.alias("sheet"))
+    lines = F.concat(F.array(F.lit("Parts of a sheet"), F.lit(",".join(columns))), F.collect_list("row"))
+    rows.groupBy("sheet").agg(F.array_join(lines, "\n").alias("value")).repartition("sheet").write.partitionBy("sheet").text(path)
+    schema = T.StructType().add("p_partkey", T.LongType()).add("p_brand", T.StringType()).add(
+        "p_size", T.IntegerType()).add("p_retailprice", T.DoubleType())
+    return read_titled_csv(t.spark, f"{path}/*", schema)
+
+
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def json_files(t: Tables) -> DataFrame:
+    """Some conversations arrive with one record per file, the others in files that hold an array of records."""
+    path = scratch(t.spark, "records")
+    single = F.coalesce(F.col("conv_id") % 100 == 0, F.lit(False))
+    rows = t.conversations.select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value"), single.alias("single"))
+    alone = rows.filter("single").select("value", F.monotonically_increasing_id().alias("file"))
+    alone.repartition("file").write.partitionBy("file").text(f"{path}/one")
+    many = rows.filter("NOT single").select("value", F.floor(F.monotonically_increasing_id() / 500).alias("file"))
+    arrays = many.groupBy("file").agg(F.array_join(F.collect_list("value"), ",\n").alias("value"))
+    arrays.select(F.concat(F.lit("["), "value", F.lit("]")).alias("value"), "file").repartition("file").write.partitionBy(
+        "file").text(f"{path}/many")
+    return read_json(t.spark, [f"{path}/one/*", f"{path}/many/*"], t.conversations.schema, whole_file=True)
 
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
@@ -238,7 +314,7 @@ def manifest_load(t: Tables) -> DataFrame:
         f"{folder}/orders"
     )
     files = t.spark.read.text(f"{folder}/orders").select(F.col("_metadata.file_path").alias("url")).distinct()
-    entries = files.filter(~F.contains("url", F.lit("o_orderstatus=P"))).select(
+    entries = files.filter(~F.contains("url", F.lit("/o_orderstatus=P/"))).select(
         F.struct("url", F.lit(True).alias("mandatory")).alias("e")
     )
     entries.agg(F.collect_list("e").alias("entries")).write.json(f"{folder}/orders.manifest")
@@ -261,7 +337,7 @@ def csv_roundtrip(t: Tables) -> DataFrame:
 def json_roundtrip(t: Tables) -> DataFrame:
     """Conversations to gzipped JSON lines in two appends, and back as one table."""
     folder = scratch(t.spark, "json")
-    users = F.col("role") == "user"
+    users = F.coalesce(F.col("role") == "user", F.lit(False))  # a row without a role is in the second part
     t.conversations.filter(users).write.mode("append").option("compression", "gzip").json(folder)
     append_json(t.conversations.filter(~users), folder)
     return read_json(t.spark, folder, t.conversations.schema)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablework.operators.joins import lookup_join
-from tablework.operators.nested import encode_attributes, recipe_table, search_parameters
+from tablework.operators.nested import encode_attributes, indicator_map, recipe_table, search_parameters
 from tablework.operators.nested import flatten_struct as flatten
 from tablework.operators.nested import relationalize as child_tables
 from tablework.operators.position import batches_of_n as cut_batches
@@ -18,6 +18,7 @@ from tablework.operators.position import list_per_key
 from tablework.plans.registry import Tables, query
 from tablework.session import scratch
 from tablework.sinks.files import land_raw
+from tablework.sources.files import read_json
 from tablework.streaming.ingest import file_stream, run_batches
 from tablework.streaming.linked import BucketedTable, OwnedLists
 from tablework.streaming.zones import run_zone
@@ -77,6 +78,34 @@ def flatten_struct(t: Tables) -> DataFrame:
     return flatten(documents.drop("o_custkey"), "_")
 
 
+@query("""
+    SELECT c_custkey AS member_id, c_name AS name, c_acctbal AS activity_action_amount, c_acctbal > 0 AS activity_action_enabled,
+           c_mktsegment AS activity_type, n_name AS content_company_name, CASE WHEN n_regionkey > 1 THEN n_regionkey::BIGINT END AS content_company_region,
+           n_nationkey::BIGINT AS id_tags_nation_id, c_mktsegment || ',' || n_name AS tags, 2::INTEGER AS n_tags
+    FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def nested_scan(t: Tables) -> DataFrame:
+    """A collection of nested documents as JSON lines, with fields that some of them lack, scanned with its declared
+    layout and laid flat; lists become indicators."""
+    path = scratch(t.spark, "collection")
+    rows = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    company = F.struct(F.col("n_name").alias("name"), F.when(F.col("n_regionkey") > 1, F.col("n_regionkey")).alias("region"))
+    action = F.struct(F.col("c_acctbal").alias("amount"), (F.col("c_acctbal") > 0).alias("enabled"))
+    rows.select(
+        F.col("c_custkey").alias("member_id"), F.col("c_name").alias("name"),
+        F.struct(action.alias("action"), F.col("c_mktsegment").alias("type")).alias("activity"),
+        F.struct(company.alias("company")).alias("content"), F.struct(F.col("n_nationkey").alias("nation_id")).alias("id_tags"),
+        F.array("c_mktsegment", "n_name").alias("tags")).write.json(path)
+    layout = (
+        "member_id long, name string, activity struct<action: struct<amount: double, enabled: boolean>, type: string>, "
+        "content struct<company: struct<name: string, region: long>>, id_tags struct<nation_id: long>, tags array<string>")
+    documents = read_json(t.spark, path, layout)
+    flat = flatten(documents.withColumn("marks", F.map_entries(indicator_map("tags"))), "_")
+    names = F.array_join(F.transform("marks", lambda m: m["key"]), ",")
+    return flat.select(
+        *[c for c in flat.columns if c not in ("tags", "marks")], names.alias("tags"),
+        F.aggregate("marks", F.lit(0), lambda a, m: a + m["value"].cast("int")).alias("n_tags"))
+
+
 @query("""
     SELECT doc_id, CAST(i - 1 AS INTEGER) AS index, lines[i] AS val_line, CAST(length(lines[i]) AS INTEGER) AS val_n_chars
     FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines))) AS i

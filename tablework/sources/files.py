@@ -23,25 +23,73 @@ def read_csv(
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+# kinds of text that a column may hold, the first that fits all its values wins: type, shape
+_KINDS = [
+    ("boolean", r"(?i)^(true|false)$"), ("int", r"^[+-]?\d+$"), ("bigint", r"^[+-]?\d+$"),
+    ("double", r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), ("date", r"^\d{4}-\d{2}-\d{2}$"),
+    ("timestamp", r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}.*$"),
+]
+
+
+def _filled(column: str) -> Column:
+    """The text of a cell without outer spaces; an empty one is missing."""
+    return F.nullif(F.trim(F.col(f"`{column}`")), F.lit(""))
+
+
+def infer_types(text: DataFrame) -> T.StructType:
+    """The types of columns of text, from the votes of all their values in one aggregation.
+
+    A column gets the first of boolean, int, bigint, double, date and timestamp that every value has the shape and range
+    of. Missing values have no vote, so that integers with gaps stay integers; a column without a value is text.
+    """
+    votes = [
+        F.array(F.count(_filled(c)), *[
+            F.count_if(_filled(c).rlike(shape) & _filled(c).try_cast(kind).isNotNull()) for kind, shape in _KINDS
+        ]).alias(f"v{k}")
+        for k, c in enumerate(text.columns)]
+    if not votes:
+        return T.StructType()
+    counted = text.agg(*votes).first()
+    out = T.StructType()
+    for c, (n, *fitting) in zip(text.columns, counted):
+        kind = next((kind for (kind, _), k in zip(_KINDS, fitting) if n and k == n), "string")
+        out = out.add(T.StructField(c, T.StringType() if kind == "string" else _TYPES[kind]))
+    return out
+
+
+_TYPES = {
+    "boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "date": T.DateType(), "timestamp": T.TimestampType()}
+
+
 def infer_csv(spark: SparkSession, path: str, *, encoding: str = "UTF-8") -> DataFrame:
-    """CSV with inferred types, for looking at a new delivery; jobs declare their schema."""
-    return spark.read.option("header", True).option("inferSchema", True).option("encoding", encoding).csv(path)
+    """CSV with the types that its values agree on, for looking at a new delivery; jobs declare their schema."""
+    text = spark.read.option("header", True).option("encoding", encoding).csv(path)
+    types = infer_types(text)
+    return text.select(*[
+        (F.col(f"`{f.name}`") if f.dataType == T.StringType() else _filled(f.name).try_cast(f.dataType)).alias(f.name)
+        for f in types])
+
+
+def _without_first(lines: DataFrame, n: int) -> DataFrame:
+    """Lines of files, with their ``_metadata``, without the first ``n`` of each file, whatever their text.
+
+    These are in the file's first split, so only that split's lines are numbered; the rest stays spread over tasks.
+    """
+    marked = lines.withColumns({
+        "_file": F.col("_metadata.file_path"), "_at": F.col("_metadata.file_block_start"), "_line": F.monotonically_increasing_id()})
+    in_file = Window.partitionBy("_file").orderBy("_line")
+    first = marked.filter("_at = 0").withColumn("_n", F.row_number().over(in_file)).filter(F.col("_n") > n).drop("_n")
+    return first.unionByName(marked.filter("_at > 0"))
 
 
 def read_titled_csv(spark: SparkSession, path: str, schema: T.StructType, titles: int = 1) -> DataFrame:
     """Text export of a sheet whose column names follow ``titles`` title lines, as in a spreadsheet.
 
-    The first ``titles + 1`` lines of each file are left out by their position, whatever their text. They are in the
-    file's first split, so only that split's lines are numbered; the rest of a file stays spread over tasks.
+    The first ``titles + 1`` lines of each file are left out by their position.
     """
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"),
-        F.monotonically_increasing_id().alias("_line"),
-    )
+    body = _without_first(spark.read.text(path), titles + 1)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    in_file = Window.partitionBy("_file").orderBy("_line")
-    first = lines.filter("_at = 0").withColumn("_n", F.row_number().over(in_file)).filter(F.col("_n") > titles + 1)
-    body = first.select("value").unionByName(lines.filter("_at > 0").select("value"))
     return body.select(F.from_csv("value", ddl).alias("r")).select("r.*")
 
 
@@ -89,10 +137,16 @@ def file_path() -> Column:
     return F.col("_metadata.file_path")
 
 
-def read_routed(spark: SparkSession, folder: str, routes: Mapping[str, str], glob: str = "*.csv") -> DataFrame:
-    """Raw lines of a mixed folder with the table each belongs to, by a fragment of the path below ``folder``."""
+def read_routed(
+    spark: SparkSession, folder: str, routes: Mapping[str, str], glob: str = "*.csv", header: bool = False
+) -> DataFrame:
+    """Raw lines of a mixed folder with the table each belongs to, by a fragment of the path below ``folder``; with
+    ``header`` the first line of each file is left out."""
     lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(folder)
-    below = F.substring_index(file_path(), folder.rstrip("/").rpartition("/")[2] + "/", -1)
+    path = file_path()
+    if header:
+        lines, path = _without_first(lines, 1), F.col("_file")
+    below = F.substring_index(path, folder.rstrip("/").rpartition("/")[2] + "/", -1)
     return lines.select(route(below, routes).alias("table_name"), below.alias("file_name"), "value")
 
 
