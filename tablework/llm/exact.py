@@ -50,8 +50,15 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; of rows that repeat the id that stays, one."""
-    keep = exact_groups(docs, id, text).filter("kept").select(F.col("doc_id").alias("keep")).distinct()
-    rows = docs.select(F.struct("*").alias("doc"), F.col(id).alias("doc_id"))
-    rows = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("keep")), "left_semi").dropDuplicates(["doc_id"])
+    """The rows that stay, with all their columns: of each text, one row of the id that stays.
+
+    Rows are known by id and text, so that a repeated id, or a null one, may stay with one text and go with another. Of
+    rows that repeat both, one stays.
+    """
+    keep = exact_groups(docs, id, text).filter("kept").select(
+        F.col("doc_id").alias("keep"), F.col("text_sha256").alias("keep_text")).distinct()
+    rows = docs.select(
+        F.struct("*").alias("doc"), F.col(id).alias("doc_id"), F.sha2(normalised(F.col(text)), 256).alias("text_sha256"))
+    same = F.col("doc_id").eqNullSafe(F.col("keep")) & (F.col("text_sha256") == F.col("keep_text"))
+    rows = rows.join(keep, same, "left_semi").dropDuplicates(["doc_id", "text_sha256"])
     return rows.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))

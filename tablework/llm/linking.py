@@ -22,6 +22,8 @@ from tablework.session import pin
 
 #: hash classes of a histogram
 CELLS = 512
+#: of its open signatures, so many tell a member whether a pair was met under an earlier one
+TELLING = 32
 
 
 @dataclass(frozen=True)
@@ -55,8 +57,12 @@ def clashes(classes: DataFrame) -> Bloom:
 def histogram(first: np.ndarray, value: np.ndarray) -> np.ndarray:
     """How many elements each set has in each hash class; saturated counts are taken as unknown."""
     of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    at = of * CELLS + (seeded(value, 60) >> np.uint64(55)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=(len(first) - 1) * CELLS), 255).astype(np.uint8).reshape(-1, CELLS)
+    return counted(of, (seeded(value, 60) >> np.uint64(55)).astype(np.int64), len(first) - 1, CELLS)
+
+
+def counted(owner: np.ndarray, cell: np.ndarray, count: int, cells: int) -> np.ndarray:
+    """Histograms of ``cells`` classes from the owner and class of each element."""
+    return np.minimum(np.bincount(owner * cells + cell, minlength=count * cells), 255).astype(np.uint8).reshape(count, cells)
 
 
 def distinct_sets(owner: np.ndarray, value: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,6 +164,12 @@ def shared_signatures(rows: DataFrame, signer: Signer, log_buckets: int) -> Data
     return blobs.groupBy("bucket").applyInPandas(meet, "key long, least long, id long")
 
 
+def _cells(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Histograms of equal length, one a row."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), len(rows[0]) if rows else 0)
+
+
 def _pruned(pairs: DataFrame, classes: DataFrame, threshold: Threshold) -> DataFrame:
     """Pairs (least, id) whose sizes and histograms allow enough common elements: with ``need``, that number."""
     side = classes.select("id", "n", "histogram")
@@ -171,9 +183,9 @@ def _pruned(pairs: DataFrame, classes: DataFrame, threshold: Threshold) -> DataF
             if not batch.num_rows:
                 continue
             a, b = (batch.column(i).to_numpy() for i in (2, 3))
-            ha, hb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, CELLS) for i in (4, 5))
             need = threshold.needed(a + b)
-            fits = np.flatnonzero((np.minimum(a, b) >= need) & (_most_common(ha, hb) >= need))
+            fits = np.flatnonzero(
+                (np.minimum(a, b) >= need) & (_most_common(_cells(batch.column(4)), _cells(batch.column(5))) >= need))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(fits)), batch.column(1).take(pa.array(fits)), pa.array(need[fits])],
                 ["least", "id", "need"])
@@ -214,26 +226,40 @@ def _similar(pairs: DataFrame, texts: DataFrame, cut: Cutter) -> DataFrame:
     return both.mapInArrow(count, "least long, id long")
 
 
+def _open_lists(stars: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, id, part, n): members of signatures that have members in different groups.
+
+    Copies share most of their signatures, so that many signatures have the very same members: of these, told apart by
+    their number and two sums of hashes, one is enough.
+    """
+    # a member of a task's own star has met that star's centre, but not the smallest of all
+    centres = stars.groupBy("key").agg(F.min("least").alias("id"), F.max("least").alias("last")).filter("id <> last")
+    seen = stars.select("key", "id").unionByName(centres.select("key", "id")).distinct()
+    seen = pin(seen.join(parts, "id", "left").select("key", "id", F.coalesce("part", "id").alias("part")), "members")
+    lists = seen.groupBy("key").agg(
+        F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    one = pin(lists.filter("a <> b").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "open")
+    return seen.join(one, "key")
+
+
 def _rest(stars: DataFrame, parts: DataFrame, classes: DataFrame, threshold: Threshold, block: int = 2048) -> DataFrame:
     """Pairs (least, id) that share a signature but aren't connected yet, as far as their bounds allow a link.
 
     Members were compared with the smallest one of their star already, so a signature matters here only if it has other
     members in different groups. They are cut into blocks of about ``block``, and blocks meet pairwise, so that no task gets more than
-    two blocks of a signature at once; what leaves a task has passed the bounds.
+    two blocks of a signature at once. A pair that shares several signatures leaves the task of the first one only: each
+    member knows its first ``TELLING`` signatures, and a pair that both know under an earlier one was met there.
     """
-    # a member of a task's own star has met that star's centre, but not the smallest of all
-    centres = stars.groupBy("key").agg(F.min("least").alias("id"), F.max("least").alias("last")).filter("id <> last")
-    seen = stars.select("key", "id").unionByName(centres.select("key", "id")).distinct()
-    seen = seen.join(parts, "id", "left").select("key", "id", F.coalesce("part", "id").alias("part"))
-    open_keys = pin(
-        seen.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n"))
-        .filter("a <> b").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "open")
-    members = pin(seen, "members").join(open_keys, "key")
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    spread = members.select(
-        "key", "id", "part", mine.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = spread.join(classes.select("id", "n", "histogram"), "id").select(
-        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "part", "n", "histogram")
+    members = pin(_open_lists(stars, parts), "open-members")
+    told = members.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("key")), 1, TELLING).alias("known"))
+    about = pin(told.join(classes.select(F.col("id"), F.col("n").alias("size"), "histogram"), "id"), "open-sets")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    spread = members.select("key", "id", "part", mine.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    rows = spread.join(about, "id").select(
+        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "part",
+        F.col("size").alias("n"), "histogram", "known")
     rows = rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "n")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,10 +286,31 @@ def _groups(table: pa.Table) -> np.ndarray:
     return np.cumsum(new)
 
 
+_NONE = np.iinfo(np.int64).max
+
+
+def _known(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of signatures as rows of equal length."""
+    lists = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.int64()))
+    sizes = lists.value_lengths().to_numpy()
+    out = np.full((len(sizes), TELLING), _NONE)
+    out[np.arange(TELLING) < sizes[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def _met_before(known: np.ndarray, a: np.ndarray, b: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which pairs know a common signature smaller than the key they meet under."""
+    out = np.zeros(len(a), bool)
+    for k in range(0, len(a), 1 << 13):
+        x, y, limit = known[a[k:k + (1 << 13)]], known[b[k:k + (1 << 13)]], key[k:k + (1 << 13), None, None]
+        out[k:k + (1 << 13)] = ((x[:, :, None] == y[:, None, :]) & (x[:, :, None] < limit)).any((1, 2))
+    return out
+
+
 def _close_pairs(table: pa.Table, group: np.ndarray, threshold: Threshold, at_once: int = 1 << 18) -> pa.RecordBatch:
     """Pairs in one group whose sets aren't connected, as far as sizes and histograms allow a link."""
-    ids, part, n, own, p, q = (table.column(c).to_numpy() for c in ("id", "part", "n", "own", "p", "q"))
-    cells = np.frombuffer(b"".join(table.column("histogram").to_pylist()), np.uint8).reshape(-1, CELLS)
+    key, ids, part, n, own, p, q = (table.column(c).to_numpy() for c in ("key", "id", "part", "n", "own", "p", "q"))
+    cells, known = _cells(table.column("histogram")), _known(table.column("known"))
     out, left, step = [np.zeros((2, 0), np.int64)], np.arange(len(ids)), 1
     while len(left := left[left + step < len(ids)]):
         other = left + step
@@ -276,7 +323,9 @@ def _close_pairs(table: pa.Table, group: np.ndarray, threshold: Threshold, at_on
         for k in range(0, len(a), at_once):
             x, y = a[k:k + at_once], b[k:k + at_once]
             fits = _most_common(cells[x], cells[y]) >= threshold.needed(n[x] + n[y])
-            out.append(np.stack([np.minimum(ids[x[fits]], ids[y[fits]]), np.maximum(ids[x[fits]], ids[y[fits]])]))
+            x, y = x[fits], y[fits]
+            new = ~_met_before(known, x, y, key[x])
+            out.append(np.stack([np.minimum(ids[x[new]], ids[y[new]]), np.maximum(ids[x[new]], ids[y[new]])]))
         step += 1
     pairs = np.unique(np.concatenate(out, 1), axis=1)
     return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["least", "id"])

@@ -61,6 +61,12 @@ def test_drop_copies_keeps_columns(spark):
     assert ids == sorted([1, 3, 4, 5, 7, 8, 9, 10, 11, 12, None], key=repr)
 
 
+def test_drop_copies_where_ids_have_several_texts(spark):
+    rows = [(1, "a"), (1, "b"), (2, "a"), (2, "c"), (None, "c"), (None, "d"), (None, "d"), (3, "b  b"), (1, "b b")]
+    kept = sorted(((r.doc_id, r.text) for r in exact.drop_copies(corpora.frame(spark, rows)).collect()), key=repr)
+    assert kept == sorted([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (1, "b b")], key=repr)
+
+
 # byte-level BPE
 
 

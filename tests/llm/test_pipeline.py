@@ -29,7 +29,8 @@ def _corpus():
             lines.append("before " + items[k % 12][1].upper() + " after")
         texts.append("\n".join(lines))
         if k % 5 == 0:
-            texts += [texts[-1], texts[-1].replace("w1", "v1", 1)]
+            # copies, whose lines go, and the same words in other lines, which only the documents' similarity tells
+            texts += [texts[-1], texts[-1].replace("w1", "v1", 1), " ".join(texts[-1].split("\n"))]
     rng.shuffle(texts)
     docs = [(d, t, "en", None if d % 3 else "s", len(t or "")) for d, t in enumerate(texts)]
     return docs, [(d, 1, int("garbagehead" in (t or ""))) for d, t, *_ in docs if d % 4 != 1], items
