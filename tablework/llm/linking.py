@@ -67,7 +67,7 @@ def counted(owner: np.ndarray, cell: np.ndarray, count: int, cells: int) -> np.n
 
 def distinct_sets(owner: np.ndarray, value: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """Elements as sorted sets: set i has ``value[first[i]:first[i + 1]]``."""
-    order = np.lexsort((value, owner))
+    order = _sorted_by(owner, value, count)
     owner, value = owner[order], value[order]
     new = np.ones(len(owner), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
@@ -75,6 +75,17 @@ def distinct_sets(owner: np.ndarray, value: np.ndarray, count: int) -> tuple[np.
     return np.searchsorted(owner, np.arange(count + 1)), value
 
 
+def _sorted_by(owner: np.ndarray, value: np.ndarray, count: int) -> np.ndarray:
+    """Order by owner and value: by one key of the owner and the first bits of the value, which nearly always decide."""
+    shift = np.uint64(max(1, count.bit_length()))
+    key = (owner.astype(np.uint64) << (np.uint64(64) - shift)) | (value >> shift)
+    order = np.argsort(key)
+    key, some = key[order], value[order]
+    if ((key[1:] == key[:-1]) & (some[1:] != some[:-1])).any():
+        return np.lexsort((value, owner))
+    return order
+
+
 def _packed(sign: np.ndarray, owner: np.ndarray, ids: np.ndarray) -> bytes:
     """Signatures without their first 16 bits, each with its set: eight bytes a signature."""
     used, where = np.unique(owner, return_inverse=True)

@@ -173,6 +173,16 @@ def test_sketches_are_those_of_the_sets():
         assert cells.astype(int).sum(1).tolist() == n.tolist()
 
 
+def test_sketches_do_not_depend_on_the_piece():
+    import pyarrow as pa
+
+    from tablework.llm.words import pieces
+
+    few = next(iter(pieces(pa.array(["one line among few", "two"]))))
+    many = next(iter(pieces(pa.array([*map(str, range(5000)), "one line among few"]))))
+    assert lines._sketches(few)[1][0].tolist() == lines._sketches(many)[1][-1].tolist()
+
+
 def _shingles_of(line):
     return {line[i:i + 5] for i in range(max(1, len(line) - 4))} if line else set()
 
