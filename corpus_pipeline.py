@@ -14,29 +14,42 @@ from tablework.session import pin, prepare
 TOXIC = 0.3
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a ``key`` that orders them by id, nulls last, then text, and differs for all rows. Written once,
-    as row numbers depend on how rows are read."""
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the documents don't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a key that orders them by id, nulls last, then text, and differs for all rows, and the key's
+    name. Written once, as row numbers depend on how rows are read."""
+    name = _free(docs, "key")
     key = F.struct(
         F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"),
         F.monotonically_increasing_id().alias("row"))
-    return pin(docs.withColumn("key", key), "numbered")
+    return pin(docs.withColumn(name, key), "numbered"), name
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
     """Numbered documents without the rows whose keys are in ``gone``."""
-    gone = pin(gone.select(F.col("doc_id.row").alias("gone")), "gone")
-    return docs.join(gone, F.col("key.row") == F.col("gone"), "left_anti").drop("key")
+    other = _free(docs, "gone")
+    gone = pin(gone.select(F.col("doc_id.row").alias(other)), "gone")
+    return docs.join(gone, F.col(key)["row"] == F.col(other), "left_anti").drop(key)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the limit; lexicon and weights are learned from the labels."""
+    """Documents that score below the limit; lexicon and weights are learned from the labels. Each row is judged by its own
+    text, so rows that repeat an id, or have none, stay or go one by one; a null text has the score of an empty one."""
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score_texts(docs, model, out="toxic_score").filter(F.col("toxic_score") < TOXIC).drop("toxic_score")
+    score = _free(docs, "toxic_score")
+    return toxicity.score_texts(docs, model, out=score).filter(F.col(score) < TOXIC).drop(score)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that an earlier document has; a document of which nothing is left goes."""
+    """Texts without lines that an earlier document has, copies of any length and similar lines of some; a document of which
+    nothing is left goes. Rows that repeat id and text are one document; null and blank texts have no line and stay."""
     kind = docs.schema["n_chars"].dataType
     left = lines.drop_repeated_lines(docs)
     return left.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(kind))
@@ -44,20 +57,20 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows that are linked by similarity, one: that with the smallest id, a null id only if no row has another."""
-    docs = _numbered(docs)
-    found = jaccard.similar_documents(docs, id="key")
-    return _without(docs, found.filter("doc_id.row <> component_id.row"))
+    rows, key = _numbered(docs)
+    found = jaccard.similar_documents(rows, id=key)
+    return _without(rows, key, found.filter("doc_id.row <> component_id.row"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that don't hold benchmark windows in one word of twenty, each judged by its own text."""
-    docs = _numbered(docs)
-    found = contamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="key")
-    return _without(docs, found.filter("contaminated"))
+    rows, key = _numbered(docs)
+    found = contamination.contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id=key)
+    return _without(rows, key, found.filter("contaminated"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and whether they decode to its very bytes."""
+    """Token ids of each row's text, and whether they decode to its very bytes; a null text has no token."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     texts = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
     coded = bpe.decode_ids(bpe.encode_texts(texts, ranks, public_tokenizers.PATTERN), ranks)
