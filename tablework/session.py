@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,4 +67,32 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
+    if (steps := _STEPS.get()) is not None:
+        steps.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: folders written by ``pin`` on the way to the result of the innermost ``pin_result``
+_STEPS: ContextVar[list[str] | None] = ContextVar("steps", default=None)
+
+
+def pin_result(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``pin`` the frame that ``build`` gives, then delete all that was pinned while it was built and written.
+
+    The written result reads none of these steps, so nothing needs them again. Frames that ``build`` keeps for other uses
+    must be pinned before.
+    """
+    steps: list[str] = []
+    token = _STEPS.set(steps)
+    try:
+        df = build()
+        path = scratch(spark, label)
+        df.write.parquet(path)
+    finally:
+        _STEPS.reset(token)
+    if (outer := _STEPS.get()) is not None:
+        outer.append(path)
+    for step in steps:
+        place = spark._jvm.org.apache.hadoop.fs.Path(step)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return spark.read.schema(df.schema).parquet(path)
