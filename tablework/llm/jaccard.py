@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tablework.llm.linking import Signer, Threshold, clashes, distinct_sets, histogram, named, settle, shared_signatures
 from tablework.llm.sketches import Bloom, bloom
 from tablework.llm.words import NOT_SPACE, mix, pieces, seeded, words
-from tablework.session import pin
+from tablework.session import pin, pin_result
 
 
 @dataclass(frozen=True)
@@ -233,22 +233,8 @@ def _texts_of(docs: DataFrame, size: int, taken: Bloom) -> Callable[[DataFrame],
     return texts_of
 
 
-def similar_documents(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, p: int = 3, q: int = 4
-) -> DataFrame:
-    """Groups of documents linked by a Jaccard similarity of at least ``p / q`` of their word n-grams.
-
-    One row per document: ``doc_id``, ``n_shingles`` (its distinct n-grams), ``component_id`` (the smallest id that links
-    reach, its own included). Words are runs of anything but ASCII white space, A-Z lower-cased; a text with fewer than
-    ``size`` words is one n-gram; a text without words, or null, has none and is linked with nothing. Documents
-    with equal sets are one class, whatever their number, and rows may repeat ids. A null id never names a group that
-    has another. Extra columns are ignored; an empty table gives an empty result.
-
-    Pairs that share a signature are verified by counting common elements; no similar pair is without one.
-    """
-    docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    similarity = Similarity(p, q)
-    sets = pin(document_sets(docs, size), "sets")
+def _components(docs: DataFrame, sets: DataFrame, size: int, similarity: Similarity) -> DataFrame:
+    """(low, high, component_id) of each different set of words."""
     frequent = bloom(sets.select(F.explode("frequent").alias("value")), "value", 22)
     raw = pin(
         sets.filter("n > 0").groupBy("low", "high").agg(
@@ -275,7 +261,26 @@ def similar_documents(
         "low", "high", "doc_id", F.coalesce("part", "id").alias("part"))
     grouped = pin(grouped, "grouped")
     names = grouped.groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    told = pin(grouped.join(pin(names, "names"), "part").select("low", "high", "component_id"), "told")
+    return grouped.join(pin(names, "names"), "part").select("low", "high", "component_id")
+
+
+def similar_documents(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, p: int = 3, q: int = 4
+) -> DataFrame:
+    """Groups of documents linked by a Jaccard similarity of at least ``p / q`` of their word n-grams.
+
+    One row per document: ``doc_id``, ``n_shingles`` (its distinct n-grams), ``component_id`` (the smallest id that links
+    reach, its own included). Words are runs of anything but ASCII white space, A-Z lower-cased; a text with fewer than
+    ``size`` words is one n-gram; a text without words, or null, has none and is linked with nothing. Documents
+    with equal sets are one class, whatever their number, and rows may repeat ids. A null id never names a group that
+    has another. Extra columns are ignored; an empty table gives an empty result.
+
+    Pairs that share a signature are verified by counting common elements; no similar pair is without one.
+    """
+    docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    similarity = Similarity(p, q)
+    sets = pin(document_sets(docs, size), "sets")
+    told = pin_result(docs.sparkSession, lambda: _components(docs, sets, size, similarity), "told")
     return sets.join(told, ["low", "high"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
