@@ -121,6 +121,19 @@ def _stars(sign: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return leader, sign[other], least[other], ids[other]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], size: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Batches of short rows joined to some of about ``size`` bytes."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.nbytes
+        if total >= size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 #: from the columns of a batch: ids of its sets, and (set number, signature) of all signatures
 Signer = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -141,7 +154,7 @@ def shared_signatures(rows: DataFrame, signer: Signer, log_buckets: int) -> Data
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in _gathered(batches):
             ids, owner, some = signer(batch)
             if not len(some):
                 continue
