@@ -59,14 +59,32 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tablework-{label}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back.
+#: Spark's switch that a statement's shuffle files go when it ends, and not when the driver's memory runs short
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(df: DataFrame, path: str, codec: str | None = None) -> None:
+    """Write a frame as Parquet. Nothing reads the shuffle files of the statement again, so they go at its end."""
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=codec)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def pin(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it back; ``codec`` is the compression, Spark's own by default.
 
     Cuts lineage, so that values which depend on how rows met in tasks (partition numbers, positions) are fixed
     once, and a lost executor re-reads files instead of recomputing them differently.
     """
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    _write(df, path, codec)
     if (steps := _STEPS.get()) is not None:
         steps.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -87,7 +105,7 @@ def pin_result(spark: SparkSession, build: Callable[[], DataFrame], label: str)
     try:
         df = build()
         path = scratch(spark, label)
-        df.write.parquet(path)
+        _write(df, path)
     finally:
         _STEPS.reset(token)
     if (outer := _STEPS.get()) is not None:
