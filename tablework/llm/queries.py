@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, contamination, exact, jaccard, language, lines, repetition, runs, spelling, toxicity, urls, warc
+from tablework.llm import bpe, chat, contamination, exact, folds, jaccard, language, lines, repetition, runs, spelling, toxicity, urls, warc
 from tablework.plans.registry import Tables
 from tablework.session import pin, prepare, scratch
 
@@ -118,7 +118,7 @@ def op5_line_dedup(t: Tables) -> DataFrame:
 @operator()
 def op6_byte_bpe(t: Tables) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.token_digests(t.documents, ranks, public_tokenizers.PATTERN)
+    return folds.word_digests(t.documents, ranks, public_tokenizers.PATTERN)
 
 
 #: score from which a text counts as toxic
