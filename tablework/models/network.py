@@ -1,8 +1,9 @@
 """Feed-forward classifier of two classes, trained in mini-batches on Spark.
 
 An epoch is one Spark job. Each task starts from the same weights, goes through its rows in mini-batches, and hands on its
-weights with the number of its rows; their weighted mean, made by a tree of tasks, starts the next epoch. With one task
-this is plain mini-batch descent. Several networks, which differ in rate, dropout or held-out fold, train in the same job.
+weights with the number of its rows; their weighted mean, added up per network by tasks, starts the next epoch. With one
+task this is plain mini-batch descent. Several networks, which differ in rate, dropout or held-out fold, train in the same
+job.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import RDD, keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, Param, Params, TypeConverters
@@ -26,7 +27,11 @@ from tablework.models.stored import StoredModel
 from tablework.session import pin
 
 #: rows of a task of training
-TASK_ROWS = 1 << 16
+TASK_ROWS = 1 << 14
+#: tasks of a network whose sums are added by one task; those of more are added in two steps
+ADDED = 64
+#: rows that are scored at once, whose units still fit a core's cache
+SCORED = 1 << 10
 
 _EPSILON, _MOVING = 1e-5, 0.1
 _FIRST, _SECOND = 0.9, 0.999  # decays of Adam's moments
@@ -68,8 +73,8 @@ class Network:
         return self.size - 2 * sum(self.hidden)
 
     def start(self) -> np.ndarray:
-        """Weights and moving moments, then Adam's two moments per weight and its number of steps."""
-        state = np.zeros(self.size + 2 * self.n_weights + 1)
+        """Weights and moving moments, then with Adam's rule its two moments per weight and its number of steps."""
+        state = np.zeros(self.size + (2 * self.n_weights + 1 if self.adam else 0))
         rng = np.random.default_rng(self.seed)
         weights, moving = self._views(state[:self.size])
         for k, w in enumerate(weights):
@@ -85,24 +90,34 @@ class Network:
         kept = []
         for k in range(len(self.hidden)):
             w, offset, gain, shift = weights[4 * k:4 * k + 4]
-            z = x @ w + offset
-            a = np.maximum(z, 0)
+            z = x @ w
+            z += offset
+            normal = np.maximum(z, 0)
             mean, spread = moving[2 * k:2 * k + 2]
-            if rng is not None:
-                own_mean, own_spread = a.mean(0), a.var(0)
+            if rng is None:
+                normal -= mean
+            else:
+                own_mean = normal.mean(0)
+                normal -= own_mean
+                own_spread = _dots(normal, normal) / len(normal)
                 mean += _MOVING * (own_mean - mean)
                 spread += _MOVING * (own_spread - spread)
-                mean, spread = own_mean, own_spread
+                spread = own_spread
             scale = 1 / np.sqrt(spread + _EPSILON)
-            normal = (a - mean) * scale
-            mask = 1.0 if rng is None or not self.dropout else (rng.random(a.shape) >= self.dropout) / (1 - self.dropout)
+            normal *= scale
+            mask = 1.0 if rng is None or not self.dropout else (rng.random(z.shape) >= self.dropout) / (1 - self.dropout)
             kept.append((x, z, normal, scale, mask))
-            x = (normal * gain + shift) * mask
+            x = normal * gain
+            x += shift
+            x *= mask
         return (x @ weights[-2] + weights[-1])[:, 0], x, kept
 
     def logits(self, state: np.ndarray, x: np.ndarray) -> np.ndarray:
         weights, moving = self._views(state[:self.size])
-        return self._forward(weights, moving, x)[0]
+        out = np.empty(len(x))
+        for k in range(0, len(x), SCORED):
+            out[k:k + SCORED] = self._forward(weights, moving, x[k:k + SCORED])[0]
+        return out
 
     def step(self, state: np.ndarray, x: np.ndarray, y: np.ndarray, rng) -> float:
         """One mini-batch; the state is changed in place. Returns the summed loss before the step."""
@@ -115,12 +130,17 @@ class Network:
         delta = delta @ weights[-2].T
         for k in range(len(self.hidden) - 1, -1, -1):
             x, z, normal, scale, mask = kept[k]
-            delta = delta * mask
-            grads[4 * k + 2][:], grads[4 * k + 3][:] = (delta * normal).sum(0), delta.sum(0)
-            delta = delta * weights[4 * k + 2]
-            delta = scale * (delta - delta.mean(0) - normal * (delta * normal).mean(0)) * (z > 0)
+            delta *= mask
+            by_gain, by_shift = _dots(delta, normal), delta.sum(0)
+            grads[4 * k + 2][:], grads[4 * k + 3][:] = by_gain, by_shift
+            # what the mini-batch's own mean and spread take back
+            delta -= by_shift / len(y)
+            delta -= normal * (by_gain / len(y))
+            delta *= weights[4 * k + 2] * scale
+            delta *= z > 0
             grads[4 * k][:], grads[4 * k + 1][:] = x.T @ delta, delta.sum(0)
-            delta = delta @ weights[4 * k].T
+            if k:
+                delta = delta @ weights[4 * k].T
         gradient = gradient[:self.n_weights]
         if self.adam:
             first, second = (state[self.size + k * self.n_weights:][:self.n_weights] for k in (0, 1))
@@ -132,6 +152,11 @@ class Network:
         return float(_losses(logits, y).sum())
 
 
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of like entries, added by column."""
+    return np.einsum("ij,ij->j", a, b)
+
+
 def _sigmoid(logits: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * logits))
 
@@ -180,57 +205,70 @@ def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x.reshape(batch.num_rows, -1), batch.column("y").to_numpy(), batch.column("fold").to_numpy()
 
 
-def _pass(networks: Sequence[tuple[Network, int]], sent, epoch: int, learn: bool) -> Callable:
-    """Goes through a task's rows with the network of its cell: learns from the training rows, scores the held-out ones."""
+def _pass(networks: Sequence[tuple[Network, int]], groups: int, sent, epoch: int, learn: bool) -> Callable:
+    """Goes through a task's rows with the networks of its group, every ``groups``-th one: each learns from its training
+    rows and scores its held-out ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states = sent.value
         totals: dict[int, list] = {}
-        rng = None
+        seed = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if rng is None:  # tasks differ, networks of one task don't
-                rng = np.random.default_rng([epoch, zlib.crc32(_arrays(batch)[0].tobytes())])
-            cell = batch.column("cell")[0].as_py()
-            network, fold = networks[cell]
-            before = sent.value[cell]
-            state, sums = totals.setdefault(cell, [before.copy(), np.zeros(5)])
             x, y, part = _arrays(batch)
-            held = part == fold
-            if held.any():
-                logits = network.logits(before, x[held])
-                sums[2:] += held.sum(), _losses(logits, y[held]).sum(), ((logits >= 0) == (y[held] == 1)).sum()
-            if learn and not held.all():
-                order = rng.permutation(np.flatnonzero(~held))
-                for k in range(0, len(order), network.batch):
-                    some = order[k:k + network.batch]
-                    sums[:2] += len(some), network.step(state, x[some], y[some], rng)
-        for cell, (state, sums) in totals.items():
-            out = np.concatenate([sums, state * sums[0]])
+            if seed is None:  # tasks differ, networks of one task don't
+                seed = [epoch, zlib.crc32(x.tobytes())]
+            for cell in range(batch.column("group")[0].as_py(), len(networks), groups):
+                network, fold = networks[cell]
+                before = states[cell]
+                if cell not in totals:
+                    totals[cell] = [before.copy(), np.zeros(5), np.random.default_rng(seed)]
+                state, sums, rng = totals[cell]
+                held = part == fold
+                if held.any():
+                    logits = network.logits(before, x[held])
+                    sums[2:] += held.sum(), _losses(logits, y[held]).sum(), ((logits >= 0) == (y[held] == 1)).sum()
+                if learn and not held.all():
+                    order = rng.permutation(np.flatnonzero(~held))
+                    for k in range(0, len(order), network.batch):
+                        some = order[k:k + network.batch]
+                        sums[:2] += len(some), network.step(state, x[some], y[some], rng)
+        for cell, (state, sums, _) in totals.items():
+            out = np.concatenate([sums, state * sums[0]]) if learn else sums
             yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([out.tobytes()])], ["cell", "sums"])
 
     return run
 
 
-def _added(a: dict[int, np.ndarray], b: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-    return {k: a[k] + b[k] if k in a and k in b else a.get(k, b.get(k)) for k in a.keys() | b.keys()}
+def _summed(passed: DataFrame, cells: int, tasks: int) -> dict[int, np.ndarray]:
+    """The sums of each cell over all tasks of a pass; the driver gets one array per cell, however many tasks there are."""
+    found = passed.rdd.map(lambda r: (r["cell"], np.frombuffer(r["sums"])))
+    if tasks > ADDED:
+        width = math.isqrt(tasks)
+        parts = found.mapPartitionsWithIndex(lambda i, some: (((cell, i % width), sums) for cell, sums in some))
+        found = parts.reduceByKey(np.add, cells * width).map(lambda r: (r[0][0], r[1]))
+    return dict(found.reduceByKey(np.add, cells).collect())
 
 
 def train(rows: DataFrame, cells: Sequence[tuple[Network, int | None]], epochs: int) -> list[Trained]:
     """Train networks side by side on stored rows, each without the rows of its held-out fold, and score it on these.
 
-    The driver keeps one state per network: three numbers per weight. Held-out rows are scored with the weights of the
-    last epoch in the job that learns the next one, so every epoch reads the rows once, and one more pass ends it.
+    The driver keeps one state per network: a number per weight, three with Adam's rule. Held-out rows are scored with the
+    weights of the last epoch in the job that learns the next one, and one more pass ends it. The networks of a group share
+    a task's rows; there are several groups, which read the rows once each, where rows alone don't keep all cores busy.
     """
     context = rows.sparkSession.sparkContext
     networks = [(network, -2 if fold is None else fold) for network, fold in cells]
-    every = reduce(DataFrame.unionAll, [rows.select("x", "y", "fold", F.lit(k).alias("cell")) for k in range(len(cells))])
+    tasks = rows.rdd.getNumPartitions()
+    groups = min(len(cells), math.ceil(2 * context.defaultParallelism / max(tasks, 1)))
+    every = reduce(DataFrame.unionAll, [rows.select("x", "y", "fold", F.lit(k).alias("group")) for k in range(groups)])
     states = [network.start() for network, _ in networks]
     met: list[list] = [[] for _ in networks]
     for epoch in range(epochs + 1):
         sent = context.broadcast(states)
-        passed = every.mapInArrow(_pass(networks, sent, epoch, epoch < epochs), "cell int, sums binary")
-        sums = passed.rdd.map(lambda r: {r["cell"]: np.frombuffer(r["sums"])}).treeReduce(_added)
+        passed = every.mapInArrow(_pass(networks, groups, sent, epoch, epoch < epochs), "cell int, sums binary")
+        sums = _summed(passed, len(networks), tasks)
         for k in range(len(networks)):
             met[k].append(sums[k][:5] if k in sums else np.zeros(5))
             if epoch < epochs and met[k][-1][0]:

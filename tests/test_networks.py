@@ -115,3 +115,46 @@ def test_rows_without_a_label(spark, points):
     assert training_rows(holes, "features", "inside").count() == 10
     with pytest.raises(ValueError, match="inside"):
         training_rows(points.withColumn("inside", F.lit(None).cast("double")), "features", "inside")
+
+
+def test_driver_gets_one_sum_per_network(points, monkeypatch):
+    """The driver's share of a pass is the same with many tasks as with few, whether they are added in one step or two."""
+    monkeypatch.setattr(network, "TASK_ROWS", 50)
+    points.sparkSession.conf.set("spark.sql.files.openCostInBytes", 1 << 30)  # a task per file
+    try:
+        rows = training_rows(points, "features", "inside")
+        assert rows.rdd.getNumPartitions() == 24
+        net = Network(2, (64, 64), 0.05, 0.2)
+        found, got = [], []
+        collect = network.RDD.collect
+
+        def counted(rdd):
+            got.append(collect(rdd))
+            return got[-1]
+
+        monkeypatch.setattr(network.RDD, "collect", counted)
+        for most in (64, 4):
+            monkeypatch.setattr(network, "ADDED", most)
+            found.append(train(rows, [(net, None), (net, None)], 2))
+        assert [sorted(len(sums) for _, sums in r) for r in got] == [[net.size + 5] * 2, [net.size + 5] * 2, [5, 5]] * 2
+        for one, two in zip(*found):
+            assert np.allclose(one.state, two.state) and one.epochs[0].n_train == two.epochs[0].n_train == 1200
+    finally:
+        points.sparkSession.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_networks_of_a_group_learn_as_alone(points, monkeypatch):
+    """Networks that share a task's rows learn what each of them learns alone."""
+    monkeypatch.setattr(network, "TASK_ROWS", 50)
+    rows = training_rows(folds(points, ["id"], 2), "features", "inside", "fold")
+    cells = [(Network(2, (8, 8), 0.05, 0.2), 0), (Network(2, (8,), 0.01, adam=True), 1), (Network(2, (8, 8), 0.05, 0.2), 1)]
+    monkeypatch.setattr(type(points.sparkSession.sparkContext), "defaultParallelism", 1)
+    together = train(rows, cells, 2)
+    for cell, got in zip(cells, together):
+        alone, = train(rows, [cell], 2)
+        assert np.allclose(alone.state, got.state) and [e.n_held for e in alone.epochs] == [e.n_held for e in got.epochs]
+
+
+def test_state_has_moments_only_with_adam():
+    assert len(Network(2, (8,), 0.1).start()) == Network(2, (8,), 0.1).size
+    assert len(Network(2, (8,), 0.1, adam=True).start()) == Network(2, (8,), 0.1).size + 2 * Network(2, (8,), 0.1).n_weights + 1
