@@ -4,7 +4,7 @@ Points are grouped around pivots, about as many as the square root of their numb
 each group is cut by distance to its pivot into rings of limited size. A query first looks at the ring of its own
 group in which it lies, which bounds the distance to its k-th neighbour. The triangle inequality then rules out the
 groups and rings that cannot hold a closer point, and the query visits the others only. Queries to one ring are cut
-to limited blocks too, so a dense region becomes many tasks. Equal feature vectors are searched once, and of many
+to limited blocks too, so a dense region becomes many tasks, and a task makes the distances of a few queries at a time. Equal feature vectors are searched once, and of many
 equal points only the few with the smallest ids can be neighbours, so copies of one point cost no more than one.
 Tasks return at most k rows per query, never pairs.
 """
@@ -29,6 +29,14 @@ from tablework.session import pin
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _SLACK, _TINY = 1.0 + 1e-9, 1e-12  # keep rounding in the bounds from excluding a tie
+#: distances that a task makes at once, of which it needs a dozen arrays
+DISTANCES = 1 << 19
+
+
+def _parts(n_rows: int, n_columns: int) -> Iterator[slice]:
+    """Rows in parts whose distances to all columns are not too many at once."""
+    step = max(1, DISTANCES // max(1, n_columns))
+    return (slice(start, start + step) for start in range(0, n_rows, step))
 
 
 def _squared(a: np.ndarray, b: np.ndarray, n_numeric: int, mismatch: float) -> np.ndarray:
@@ -42,15 +50,14 @@ def _squared(a: np.ndarray, b: np.ndarray, n_numeric: int, mismatch: float) -> n
     return out
 
 
-def _smallest(d2: np.ndarray, ids: np.ndarray, k: int, within: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the k nearest per row, ties by id, none farther than the row's ``within``."""
+def _smallest(d2: np.ndarray, by_id: np.ndarray, k: int, within: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of the k nearest per row, ties by the columns' place ``by_id``, none farther than the row's
+    ``within``."""
     k = min(k, d2.shape[1])
     limit = np.partition(d2, k - 1, axis=1)[:, k - 1]
     if within is not None:
         limit = np.minimum(limit, within)
     rows, cols = np.nonzero(d2 <= limit[:, None])
-    by_id = np.empty(len(ids), dtype=np.int64)
-    by_id[np.argsort(ids, kind="stable")] = np.arange(len(ids))
     order = np.lexsort((by_id[cols], d2[rows, cols], rows))
     rows, cols = rows[order], cols[order]
     place = np.arange(len(rows)) - np.searchsorted(rows, rows)
@@ -77,10 +84,9 @@ class _Groups:
 
     def to_centers(self, batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
         """Rows with their distances to all centers, few enough rows at once to keep that matrix small."""
-        step = max(1, (4 << 20) // len(self.centers))
         for pdf in batches:
-            for start in range(0, len(pdf), step):
-                part = pdf.iloc[start : start + step]
+            for some in _parts(len(pdf), len(self.centers)):
+                part = pdf.iloc[some]
                 yield part, np.sqrt(self.squared(self.values(part), self.centers))
 
     def assign(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,11 +214,18 @@ def nearest(
         def best(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
             if len(q) == 0 or len(p) == 0:
                 return pd.DataFrame(columns=["_q", "_d2", *n_columns])
-            d2 = groups.squared(groups.values(q), groups.values(p))
+            asked_at, points_at = groups.values(q), groups.values(p)
             within = (q[radius].to_numpy() * _SLACK) ** 2 + _TINY**2 if radius else None
-            rows, cols = _smallest(d2, p["neighbor"].to_numpy(), keep, within)
+            by_id = np.empty(len(p), dtype=np.int64)
+            by_id[np.argsort(p["neighbor"].to_numpy(), kind="stable")] = np.arange(len(p))
+            found = []
+            for some in _parts(len(q), len(p)):
+                d2 = groups.squared(asked_at[some], points_at)
+                rows, cols = _smallest(d2, by_id, keep, None if within is None else within[some])
+                found.append((rows + some.start, cols, d2[rows, cols]))
+            rows, cols, nearest_d2 = (np.concatenate(x) for x in zip(*found))
             out = p[n_columns].iloc[cols].reset_index(drop=True)
-            out.insert(0, "_d2", d2[rows, cols])
+            out.insert(0, "_d2", nearest_d2)
             out.insert(0, "_q", q["_q"].to_numpy()[rows])
             return out
 
