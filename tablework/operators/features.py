@@ -85,14 +85,18 @@ def vocabulary(df: DataFrame, category: str, limit: int = 10_000) -> list[str]:
     return sorted(r[0] for r in rows)
 
 
-def term_counts(df: DataFrame, key: str, text: str, pattern: str = "[A-Za-z]+") -> DataFrame:
+#: bytes of texts whose words a task counts, sorts or joins; they take about twenty times as much memory
+TASK_BYTES = 8 << 20
+
+
+def term_counts(df: DataFrame, key: str, text: str, pattern: str = "[A-Za-z]+", tasks: int | None = None) -> DataFrame:
     """(key, term, tf): lower-cased matches of ``pattern`` per text, whose ``key`` is unique.
 
     Texts are distributed by key before they are cut, since a text is smaller than its words: the count per
-    (key, term) then needs no further shuffle.
+    (key, term) then needs no further shuffle. ``tasks`` are those of the session, if not given.
     """
     found = F.regexp_extract_all(F.col(text), F.lit(f"({pattern})"), F.lit(1))
-    spread = df.select(key, text).repartition(key)
+    spread = df.select(key, text).repartition(*[tasks] if tasks else [], key)
     terms = spread.select(key, F.explode(found).alias("term")).select(key, F.lower("term").alias("term"))
     return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
@@ -101,19 +105,17 @@ def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     """Weights (key, term, weight): count * (ln((1 + n) / (1 + df)) + 1), each row scaled to length 1.
 
     ``key`` is unique. The counts are stored, so that texts are cut into words once and not again for the document
-    frequencies. A term that is in most texts has one count per text, and is joined apart from the others.
+    frequencies. A term that is in most texts has one count per text, and is joined apart from the others. Words are
+    dealt to tasks by the bytes of their texts, so that a task's memory doesn't grow with the table.
     """
-    n = df.agg(F.count("*").alias("n")).scalar()
-    counts = pin(term_counts(df, key, text), "terms")
+    whole = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")).first()
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-whole["bytes"] // TASK_BYTES))
+    counts = pin(term_counts(df, key, text, tasks=tasks), "terms")
     seen = counts.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log((1 + F.col("n").cast("double")) / (1 + F.col("df"))) + 1
-    weighted = (
-        lookup_join(counts, seen, ["term"], "inner")
-        .withColumn("n", n)
-        .select(key, "term", (F.col("tf") * idf).alias("w"))
-    )
+    idf = F.log((1 + F.lit(whole["n"]).cast("double")) / (1 + F.col("df"))) + 1
+    weighted = lookup_join(counts, seen, ["term"], "inner", tasks=tasks).select(key, "term", (F.col("tf") * idf).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-    return weighted.select(key, "term", (F.col("w") / norm).alias("weight"))
+    return weighted.repartition(tasks, key).select(key, "term", (F.col("w") / norm).alias("weight"))
 
 
 def split_train_test(df: DataFrame, keys: Sequence[str], train_percent: int = 67, seed: int = 43) -> DataFrame:

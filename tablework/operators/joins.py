@@ -50,13 +50,15 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", share: float = HOT_SHARE
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", share: float = HOT_SHARE,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Join facts to a lookup with one row per key, where a few keys may hold most of the facts.
 
     A lookup of checked small size is broadcast. Otherwise facts under a hot key meet the few lookup rows of those
     keys by broadcast and stay where they are, and the rest is a shuffled join. Null keys match nothing, however
-    many there are. ``how`` is one of inner, left, left_semi and left_anti.
+    many there are. ``how`` is one of inner, left, left_semi and left_anti. ``tasks`` are those of the shuffled join, by
+    default as many as the session's shuffles have.
     """
     on = list(keys)
     if is_small(lookup):
@@ -64,7 +66,8 @@ def lookup_join(
     if facts.isStreaming:  # keys of a stream cannot be counted ahead; adaptive execution splits skewed batches
         return facts.join(lookup, on, how)
     hot = is_hot(facts, keys, share)
+    rest = facts if hot is None else facts.filter(~hot)
+    rest = rest.repartition(tasks, *on).join(lookup.repartition(tasks, *on), on, how) if tasks else rest.join(lookup, on, how)
     if hot is None:
-        return facts.join(lookup, on, how)
-    hot_part = facts.filter(hot).join(F.broadcast(lookup.filter(hot)), on, how)
-    return hot_part.unionByName(facts.filter(~hot).join(lookup, on, how))
+        return rest
+    return facts.filter(hot).join(F.broadcast(lookup.filter(hot)), on, how).unionByName(rest)
