@@ -167,8 +167,9 @@ USER = "name string, address string, recipes array<long>, delivery int"
 RECIPE = "id long, title string, servings int, delivery int"
 
 
-def _land_arrays(df: DataFrame, path: str, per_file: int = 500) -> None:
-    """Rows as files that hold one array of records each."""
+def _land_arrays(df: DataFrame, path: str, per_file: int = 20_000) -> None:
+    """Rows as files that hold one array of at most ``per_file`` records each: a few megabytes, so that files and folders
+    stay few."""
     rows = df.select(F.to_json(F.struct("*")).alias("r"), F.monotonically_increasing_id().alias("n"))
     files = rows.groupBy(F.floor(F.col("n") / per_file).alias("file")).agg(F.collect_list("r").alias("r"))
     files.select(F.concat(F.lit("["), F.array_join("r", ",\n"), F.lit("]")).alias("value"), "file").repartition("file").write.partitionBy(
