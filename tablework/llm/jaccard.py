@@ -236,11 +236,10 @@ def _texts_of(docs: DataFrame, size: int, taken: Bloom) -> Callable[[DataFrame],
 def _components(docs: DataFrame, sets: DataFrame, size: int, similarity: Similarity) -> DataFrame:
     """(low, high, component_id) of each different set of words."""
     frequent = bloom(sets.select(F.explode("frequent").alias("value")), "value", 22)
-    raw = pin(
-        sets.filter("n > 0").groupBy("low", "high").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("histogram")), "classes"
-    )
-    taken = clashes(raw)
+    some = sets.filter("n > 0")
+    taken = clashes(some.select("low", "high").distinct())
+    raw = some.groupBy("low", "high").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("histogram"))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,7 +247,7 @@ def _components(docs: DataFrame, sets: DataFrame, size: int, similarity: Similar
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids.view(np.int64))], [*batch.schema.names, "id"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    classes = pin(raw.mapInArrow(name, f"low long, high long, doc_id {kind}, n long, histogram binary, id long"), "named")
+    classes = pin(raw.mapInArrow(name, f"low long, high long, doc_id {kind}, n long, histogram binary, id long"), "named", "zstd")
     # about one signature per element; a bucket for each million
     elements = classes.agg(F.sum("n")).first()[0] or 0
     log_buckets = max(3, math.ceil(math.log2(max(1, elements) / (1 << 20))))
@@ -279,7 +278,7 @@ def similar_documents(
     """
     docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     similarity = Similarity(p, q)
-    sets = pin(document_sets(docs, size), "sets")
+    sets = pin(document_sets(docs, size), "sets", "zstd")
     told = pin_result(docs.sparkSession, lambda: _components(docs, sets, size, similarity), "told")
     return sets.join(told, ["low", "high"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
