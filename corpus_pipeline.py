@@ -73,7 +73,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row's text, and whether they decode to its very bytes; a null text has no token."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     texts = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
-    coded = bpe.decode_ids(bpe.encode_texts(texts, ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.encode_and_decode(texts, ranks, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.encode("text", "UTF-8")).alias("round_trip"))

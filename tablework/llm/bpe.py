@@ -7,11 +7,12 @@ import hashlib
 import heapq
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
@@ -182,26 +183,53 @@ def _keep_rank_map(spark, ranks):
     return spark.sparkContext.broadcast(ranks)
 
 
-def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """The rows with an array of token ids per text, in the column ``ids``.
+#: batches with one more column
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-    Each match of ``pattern`` is a word of its own; bytes are merged by rank within it. Null and empty texts have no
-    ids. All other columns stay, and a column already named ``ids`` is replaced.
-    """
-    shared = _keep_rank_map(docs.sparkSession, ranks)
-    docs = docs.drop(ids)
-    at = docs.columns.index(text)
 
+def _encoding(shared: Broadcast, pattern: str, text: str, ids: str) -> Step:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(shared.value, pattern)
         for batch in batches:
-            texts = (t.as_py() or "" for t in batch.column(at))
+            texts = (t.as_py() or "" for t in batch.column(text))
             found = pa.array([np.frombuffer(x, "<i4") for x in encode(texts)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, ids])
 
+    return run
+
+
+def _decoding(shared: Broadcast, ids: str, out: str) -> Step:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = {rank: token for token, rank in shared.value.items()}
+        for batch in batches:
+            found = [None if x is None else b"".join(map(pieces.__getitem__, x)) for x in batch.column(ids).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, out])
+
+    return run
+
+
+def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """The rows with an array of token ids per text, in the column ``ids``.
+
+    Each match of ``pattern`` is a word of its own; bytes are merged by rank within it. Null and empty texts have no
+    ids. All other columns stay, and a column already named ``ids`` is replaced.
+    """
+    docs = docs.drop(ids)
+    run = _encoding(_keep_rank_map(docs.sparkSession, ranks), pattern, text, ids)
     return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(ids, ArrayType(IntegerType())))
 
 
+def encode_and_decode(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded"
+) -> DataFrame:
+    """``decode_ids`` of ``encode_texts``, one after the other on each batch, so that a task has one Python worker and not two."""
+    docs = docs.drop(ids, out)
+    shared = _keep_rank_map(docs.sparkSession, ranks)
+    encode, decode = _encoding(shared, pattern, text, ids), _decoding(shared, ids, out)
+    kind = StructType([*docs.schema.fields]).add(ids, ArrayType(IntegerType())).add(out, BinaryType())
+    return docs.mapInArrow(lambda batches: decode(encode(batches)), kind)
+
+
 def token_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document ``doc_id``, ``n_tokens``, ``ids_sha256`` (ids as little-endian unsigned 32-bit integers) and
     ``decoded_sha256`` (of the bytes that the ids decode to). Texts are encoded, and the ids decoded, in one pass."""
@@ -227,14 +255,6 @@ def token_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: st
 
 def decode_ids(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded") -> DataFrame:
     """The rows with the bytes that their ids stand for, in the column ``out``; null ids give null."""
-    shared = _keep_rank_map(rows.sparkSession, ranks)
     rows = rows.drop(out)
-    at = rows.columns.index(ids)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = {rank: token for token, rank in shared.value.items()}
-        for batch in batches:
-            found = [None if x is None else b"".join(map(pieces.__getitem__, x)) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, out])
-
+    run = _decoding(_keep_rank_map(rows.sparkSession, ranks), ids, out)
     return rows.mapInArrow(run, StructType([*rows.schema.fields]).add(out, BinaryType()))
