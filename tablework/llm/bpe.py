@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
+from tablework.llm.words import pieces
+
 #: distinct words that a task remembers; a forgotten word is folded again
 REMEMBERED = 1 << 20
 
@@ -191,18 +193,23 @@ def _encoding(shared: Broadcast, pattern: str, text: str, ids: str) -> Step:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(shared.value, pattern)
         for batch in batches:
-            texts = (t.as_py() or "" for t in batch.column(text))
-            found = pa.array([np.frombuffer(x, "<i4") for x in encode(texts)], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, ids])
+            # ids take more than their texts, and a batch may have tens of megabytes of these
+            for part in pieces(batch.column(text)):
+                some = batch.slice(part.first_row, len(part))
+                texts = (t.as_py() or "" for t in some.column(text))
+                found = pa.array([np.frombuffer(x, "<i4") for x in encode(texts)], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*some.columns, found], [*some.schema.names, ids])
 
     return run
 
 
 def _decoding(shared: Broadcast, ids: str, out: str) -> Step:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = {rank: token for token, rank in shared.value.items()}
+        token = {rank: token for token, rank in shared.value.items()}
         for batch in batches:
-            found = [None if x is None else b"".join(map(pieces.__getitem__, x)) for x in batch.column(ids).to_pylist()]
+            # one row's ids at a time are Python numbers, each several times larger than in Arrow
+            found = [
+                b"".join(map(token.__getitem__, x.values.to_numpy().tolist())) if x.is_valid else None for x in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, out])
 
     return run

@@ -1,8 +1,11 @@
 """Encoding and decoding take one Python worker a task, and give what they give one after the other."""
 
+import tracemalloc
+
 import corpora
 import corpus_pipeline
 import public_tokenizers
+import pyarrow as pa
 
 from tablework.llm import bpe
 
@@ -21,3 +24,18 @@ def test_both_at_once_equal_one_after_the_other(spark):
     apart = bpe.decode_ids(bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN), ranks)
     assert both.schema == apart.schema
     assert sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_ids_of_a_batch_are_decoded_row_by_row():
+    shared = type("Shared", (), {"value": {bytes([k % 256]) + str(k).encode(): k for k in range(20_000)}})()
+    ids = [[(k * 37 + j) % 20_000 for j in range(2000)] for k in range(500)] + [None, []]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.list_(pa.int32()))], ["ids"])
+    token = {rank: token for token, rank in shared.value.items()}
+    tracemalloc.start()
+    try:
+        out = next(bpe._decoding(shared, "ids", "decoded")(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert out["decoded"].to_pylist() == [None if x is None else b"".join(token[k] for k in x) for x in ids]
+    assert peak < 5 * batch.nbytes
